@@ -229,6 +229,11 @@ HAVING count(DISTINCT c._id) = n.need
 SELECT _id, student_name, department_id FROM students WHERE department_id < 13
 UNION ALL
 SELECT _id, student_name || ' (new)', department_id FROM students WHERE department_id >= 13
+""",
+    "snk_2_stream": """
+SELECT _id, student_name, department_id FROM students WHERE department_id < 13
+UNION ALL
+SELECT _id, student_name || ' (new)', department_id FROM students WHERE department_id >= 13
 """,
     "snk_3_update": """
 SELECT c_custkey AS _id,
@@ -400,15 +405,11 @@ WHERE rn <= 3
 """,
     "arr_1": "SELECT student_id AS _id, course_id FROM enrollments",
     "arr_1_outer": "SELECT s._id, e.course_id FROM students s LEFT JOIN enrollments e ON e.student_id = s._id",
-    "arr_2": f"""
-, q40 AS (
-  SELECT DISTINCT o.o_custkey AS cust, l.l_partkey AS part
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_quantity >= {R.DIVISION_MIN_QTY})
+    "arr_2": """
 SELECT s._id, NOT EXISTS (
-    SELECT 1 FROM q40 a WHERE a.cust = s._id
-      AND NOT EXISTS (SELECT 1 FROM enrollments e WHERE e.student_id = a.cust AND e.course_id = a.part)
-  ) AS covered
-FROM students s WHERE s._id IN (SELECT cust FROM q40)
+    SELECT 1 FROM enrollments e
+    WHERE e.student_id = s._id AND CAST(e.course_id % 25 AS INTEGER) <> s.department_id) AS covered
+FROM students s
 """,
     "arr_3_4": f"""
 SELECT n.n_nationkey, printf('%s-%03d', {REGION_CASE}, n.n_nationkey) AS code

@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docrel import schemas
-from docrel.functions.arrays import (array_size0, is_subset, map_lookup, md5_int,
-                                     rand_in_range, sorted_join, unwind, zero_pad)
+from docrel.functions.arrays import (array_size0, is_subset, map_lookup, rand_in_range,
+                                     sorted_join, unwind, zero_pad)
 from docrel.operators import division, documents, grouping, integrity, membership, sampling
 from docrel.plans import layout, queries as Q, testmap
 from docrel.session import scratch_path
 from docrel.sources import io, sinks
+from docrel import streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -144,6 +145,22 @@ def snk_2_absent(spark, sf):
     return spark.read.parquet(p2)
 
 
+def snk_2_stream(spark, sf):
+    """SNK-2 on a file stream: the batch arrives as files, one per micro-batch."""
+    s = _cols(spark, sf)["students"].select("_id", "student_name", "department_id")
+    target = scratch_path(spark, "stream_target")
+    source = scratch_path(spark, "stream_source")
+    sinks.write_versioned(s.filter(F.col("department_id") < 13), target)
+    batch = s.filter(F.col("department_id") >= 8) \
+             .withColumn("student_name", F.concat("student_name", F.lit(" (new)")))
+    batch.write.mode("append").parquet(source)
+    batch.write.mode("append").parquet(source)  # the same rows again, in later files
+    src = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 4).parquet(source)
+    q = streaming.stream_append_if_absent(src, target, ["_id"])
+    q.awaitTermination()
+    return spark.read.parquet(target)
+
+
 def snk_3_update(spark, sf):
     c = _raw(spark, sf)["customer"]
     target = c.select(F.col("c_custkey").alias("_id"), F.col("c_mktsegment").alias("segment"))
@@ -472,14 +489,12 @@ def arr_1_outer(spark, sf):
 
 
 def arr_2(spark, sf):
-    raw = _raw(spark, sf)
-    li = raw["lineitem"].filter(F.col("l_quantity") >= DIVISION_MIN_QTY).select("l_orderkey", "l_partkey")
-    o = raw["orders"].select("o_orderkey", "o_custkey")
-    q40 = li.join(o, li["l_orderkey"] == o["o_orderkey"]) \
-            .groupBy(F.col("o_custkey").alias("_cid")).agg(F.collect_set("l_partkey").alias("q40"))
+    """Every enrolled course lies in the student's own department (the
+    reference draws enrolments from the student's department only)."""
     s = _cols(spark, sf)["students"]
-    return s.join(q40, s["_id"] == q40["_cid"]) \
-            .select("_id", is_subset("q40", "enrolled_courses").alias("covered"))
+    course_depts = F.transform("enrolled_courses",
+                               lambda x: (x % testmap.N_DEPARTMENTS_FOR_COURSES).cast("int"))
+    return s.select("_id", is_subset(course_depts, F.array("department_id")).alias("covered"))
 
 
 def arr_3_4(spark, sf):

@@ -66,8 +66,10 @@ def set_fields(target: DataFrame, updates: DataFrame, key: str, fields: Sequence
 
 
 def write_versioned(df: DataFrame, out_path: str, *, fmt: str = "parquet") -> str:
-    """Write a new version of a table (never the path being read); returns it."""
-    df.write.mode("errorifexists").format(fmt).save(out_path)
+    """Write a new version of a table to ``out_path`` — never the path being
+    read — and return it.  Overwrite mode makes a re-run after a failed
+    attempt replace the partial output instead of failing on it."""
+    df.write.mode("overwrite").format(fmt).save(out_path)
     return out_path
 
 
