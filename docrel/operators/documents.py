@@ -1,12 +1,17 @@
 """Documents ⇄ tables: AGG-6 embed, JOIN-5 fold, JOIN-6..9 lookups, FLT-4,
 PRJ-3/4, and the Q-7 migration (``build_collections``) with its inverse.
 
-Lookups that only feed a count never build an array (``lookup_count``): the
-count is a partial aggregate, which stays cheap whatever the fan-out.  The
-array-building forms (``embed``, ``lookup``, ``lookup_in_array``) produce one
-row per parent holding all its children — that *is* the document — so their
-size per row is the parent's fan-out.  They are meant for document output, not
-as a step inside a query.
+Array-building forms (``embed``, ``lookup``, ``lookup_in_array``) collect a
+parent's children into an array.  With ``max_len`` set they follow the bucket
+pattern: a parent with more than ``max_len`` children becomes several rows
+(``_chunk`` 0, 1, ...) of at most about ``max_len`` elements each, so no row —
+and no aggregation group — grows with the data.  Chunks are chosen by a hash
+of the element, so every copy of a value sits in the same chunk (membership
+tests and de-duplication stay per row), and chunk 0 always holds the parent's
+smallest element, so each parent has exactly one chunk-0 "head" row.  Parents
+with at most ``max_len`` children get one row, chunk 0: the plain document.
+
+Lookups that only feed a count never build an array (``lookup_count``).
 """
 
 from __future__ import annotations
@@ -16,26 +21,71 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docrel.functions.arrays import md5_int
+
+CHUNK = "_chunk"
+
+
+def _chunk_arrays(pairs: DataFrame, max_len: int | None, sort: bool) -> DataFrame:
+    """``pairs(_k, _v, _h)`` → ``(_k, _chunk, _arr)``: values of each key in
+    arrays of about ``max_len`` (``_h`` is what the chunk is hashed on)."""
+    pairs = pairs.filter(F.col("_v").isNotNull())
+    agg = F.collect_list("_v")
+    if sort:
+        agg = F.array_sort(agg)
+    if max_len is None:
+        return pairs.groupBy("_k").agg(agg.alias("_arr")).withColumn(CHUNK, F.lit(0))
+    if max_len < 1:
+        raise ValueError("max_len must be >= 1")
+    # per-key size and smallest hash key: partial aggregates, one row per key
+    stats = pairs.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_h").alias("_hmin"))
+    nch = F.ceil(F.col("_n") / F.lit(max_len)).cast("long")
+    chunk = F.when((nch <= 1) | (F.col("_h") == F.col("_hmin")), F.lit(0).cast("long")) \
+             .otherwise(F.pmod(md5_int(F.col("_h")), nch))
+    tagged = pairs.join(stats, pairs["_k"].eqNullSafe(stats["_k"])).drop(stats["_k"]) \
+                  .select("_k", "_v", chunk.alias(CHUNK))
+    return tagged.groupBy("_k", CHUNK).agg(agg.alias("_arr"))
+
+
+def _attach(left: DataFrame, left_key: str, arrays: DataFrame, as_: str, *, fill_empty: bool,
+            null_safe: bool = False, chunked: bool) -> DataFrame:
+    """Left rows × their chunk rows; unmatched left rows get one chunk-0 row."""
+    cond = left[left_key].eqNullSafe(arrays["_k"]) if null_safe else left[left_key] == arrays["_k"]
+    out = left.join(arrays, cond, "left").drop("_k").withColumnRenamed("_arr", as_)
+    if fill_empty:
+        out = out.withColumn(as_, F.coalesce(F.col(as_), F.array().cast(arrays.schema["_arr"].dataType)))
+    if chunked:
+        return out.withColumn(CHUNK, F.coalesce(F.col(CHUNK), F.lit(0).cast("long")))
+    return out.drop(CHUNK)
+
+
+def heads(df: DataFrame) -> DataFrame:
+    """One row per document: the chunk-0 rows of a chunked collection (no-op
+    on a collection without ``_chunk``)."""
+    if CHUNK in df.columns:
+        return df.filter(F.col(CHUNK) == 0).drop(CHUNK)
+    return df
+
 
 # AGG-6 ------------------------------------------------------------------------
 def embed(parent: DataFrame, children: DataFrame, parent_key: str, child_fk: str,
-          value: str, as_: str, *, empty: str = "missing", sort: bool = True) -> DataFrame:
-    """Collect child values into an array field of the parent (one row each).
+          value: str, as_: str, *, empty: str = "missing", sort: bool = True,
+          max_len: int | None = None) -> DataFrame:
+    """Collect child values into an array field of the parent.
 
     ``empty="missing"`` leaves parents without children with a NULL field (what
     a per-parent ``$set`` does: the field is never written); ``"empty"`` gives
-    ``[]``.  Duplicated children are kept; ``sort`` makes the order repeatable.
+    ``[]``.  Duplicated children are kept; NULL values are not embedded;
+    ``sort`` makes the order repeatable.  ``max_len``: bucket pattern (module
+    docstring), output gains ``_chunk``.
     """
-    agg = F.collect_list(F.col(value))
-    if sort:
-        agg = F.array_sort(agg)
-    arrays = children.groupBy(F.col(child_fk).alias("_emb_key")).agg(agg.alias(as_))
-    out = parent.join(arrays, parent[parent_key] == arrays["_emb_key"], "left").drop("_emb_key")
-    if empty == "empty":
-        out = out.withColumn(as_, F.coalesce(F.col(as_), F.array().cast(arrays.schema[as_].dataType)))
-    elif empty != "missing":
+    if empty not in ("missing", "empty"):
         raise ValueError("empty must be 'missing' or 'empty'")
-    return out
+    pairs = children.select(F.col(child_fk).alias("_k"), F.col(value).alias("_v"),
+                            F.col(value).alias("_h")).filter(F.col("_k").isNotNull())
+    arrays = _chunk_arrays(pairs, max_len, sort)
+    return _attach(parent, parent_key, arrays, as_, fill_empty=empty == "empty",
+                   chunked=max_len is not None)
 
 
 # JOIN-5 -----------------------------------------------------------------------
@@ -60,26 +110,32 @@ def _docs(right: DataFrame) -> Column:
 
 
 def lookup(left: DataFrame, right: DataFrame, local: str, foreign: str, as_: str, *,
-           null_safe: bool = False) -> DataFrame:
+           null_safe: bool = False, max_len: int | None = None,
+           chunk_by: str | None = None) -> DataFrame:
     """JOIN-6 — ``$lookup``: each left row gets the array of matching right
-    documents, ``[]`` when none.  ``null_safe=True`` also matches NULL with
-    NULL (the document store treats missing and null as equal)."""
-    grouped = right.groupBy(F.col(foreign).alias("_lk")).agg(F.collect_list(_docs(right)).alias(as_))
-    cond = left[local].eqNullSafe(grouped["_lk"]) if null_safe else left[local] == grouped["_lk"]
-    out = left.join(grouped, cond, "left").drop("_lk")
-    return out.withColumn(as_, F.coalesce(F.col(as_), F.array().cast(grouped.schema[as_].dataType)))
+    documents (sorted), ``[]`` when none.  ``null_safe=True`` also matches NULL
+    with NULL (the document store treats missing and null as equal).
+    ``max_len``: bucket pattern, chunks hashed on ``chunk_by`` (default: the
+    first right column)."""
+    h = chunk_by or right.columns[0]
+    pairs = right.select(F.col(foreign).alias("_k"), _docs(right).alias("_v"), F.col(h).alias("_h"))
+    if not null_safe:
+        pairs = pairs.filter(F.col("_k").isNotNull())
+    arrays = _chunk_arrays(pairs, max_len, sort=True)
+    return _attach(left, local, arrays, as_, fill_empty=True, null_safe=null_safe,
+                   chunked=max_len is not None)
 
 
 def lookup_in_array(left: DataFrame, right: DataFrame, local: str, foreign_array: str,
-                    as_: str) -> DataFrame:
+                    as_: str, *, max_len: int | None = None, chunk_by: str | None = None) -> DataFrame:
     """JOIN-7 — ``$lookup`` whose foreign field is an array: a right document
     matches when the array contains the local value (once, however often)."""
-    unwound = right.select(F.explode(F.array_distinct(F.col(foreign_array))).alias("_lk"),
-                           _docs(right).alias("_doc"))
-    grouped = unwound.filter(F.col("_lk").isNotNull()) \
-                     .groupBy("_lk").agg(F.collect_list("_doc").alias(as_))
-    out = left.join(grouped, left[local] == grouped["_lk"], "left").drop("_lk")
-    return out.withColumn(as_, F.coalesce(F.col(as_), F.array().cast(grouped.schema[as_].dataType)))
+    h = chunk_by or right.columns[0]
+    pairs = right.select(F.explode(F.array_distinct(F.col(foreign_array))).alias("_k"),
+                         _docs(right).alias("_v"), F.col(h).alias("_h")) \
+                 .filter(F.col("_k").isNotNull())
+    arrays = _chunk_arrays(pairs, max_len, sort=True)
+    return _attach(left, local, arrays, as_, fill_empty=True, chunked=max_len is not None)
 
 
 def lookup_count(left: DataFrame, right: DataFrame, local: str, foreign: str, as_: str, *,
@@ -159,13 +215,16 @@ def project_doc(df: DataFrame, include: Sequence[str], *, exclude_id: bool = Fal
 
 
 # Q-7 --------------------------------------------------------------------------
-def build_collections(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build_collections(tables: dict[str, DataFrame], *,
+                      max_array: int | None = None) -> dict[str, DataFrame]:
     """Q-7 — six relational tables → four collections.
 
     * departments, instructors: primary key renamed to ``_id``;
     * courses: ``teaches`` folded into a nullable ``instructor_id`` (JOIN-5);
     * students: ``enrollments`` embedded as ``enrolled_courses`` (AGG-6),
-      missing (NULL) for students without enrolments, duplicates kept.
+      missing (NULL) for students without enrolments, duplicates kept;
+      with ``max_array`` a student with more enrolments spans several
+      ``_chunk`` rows (bucket pattern), each with the scalar fields.
     """
     d, s, i, c = (tables[k] for k in ("departments", "students", "instructors", "courses"))
     departments = d.select(F.col("department_id").alias("_id"), "department_name")
@@ -176,9 +235,10 @@ def build_collections(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     courses = courses.select(F.col("course_id").alias("_id"), "course_code", "department_id",
                              "is_core_course", "offering_year", "instructor_id")
     students = embed(s, tables["enrollments"], "student_id", "student_id", "course_id",
-                     "enrolled_courses")
+                     "enrolled_courses", max_len=max_array)
     students = students.select(F.col("student_id").alias("_id"), "student_name",
-                               "student_email", "department_id", "enrolled_courses")
+                               "student_email", "department_id", "enrolled_courses",
+                               *([CHUNK] if max_array is not None else []))
     return {"departments": departments, "students": students,
             "instructors": instructors, "courses": courses}
 

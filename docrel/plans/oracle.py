@@ -68,14 +68,32 @@ rel_instructors AS (SELECT _id AS instructor_id, instructor_name, instructor_ema
 REGION_CASE = "CASE r.r_name " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in R.REGION_CODES.items()) + " END"
 
-STUDENT_FLAT = """
-SELECT s._id, s.student_name, s.student_email, s.department_id,
-       count(e.course_id) AS n_courses,
-       string_agg(CAST(e.course_id AS VARCHAR), ',' ORDER BY e.course_id) AS courses
-FROM students s LEFT JOIN enrollments e ON e.student_id = s._id
-GROUP BY s._id, s.student_name, s.student_email, s.department_id
+def chunked(pairs: str, key: str, val: str, max_len: int) -> str:
+    """Rows ``(key, val, _chunk)`` of the bucket pattern over a pairs subquery:
+    chunk 0 if the key has at most ``max_len`` values or for its smallest value,
+    else md5(value) mod ceil(n / max_len)."""
+    nch = f"CAST(ceil(st.n / {max_len}) AS BIGINT)"
+    return f"""(
+  SELECT p.{key}, p.{val},
+         CASE WHEN {nch} <= 1 OR p.{val} = st.hmin THEN 0 ELSE {md5i('p.' + val)} % {nch} END AS _chunk
+  FROM ({pairs}) p
+  JOIN (SELECT {key}, count(*) AS n, min({val}) AS hmin FROM ({pairs}) q GROUP BY {key}) st
+    ON st.{key} = p.{key})"""
+
+
+def student_flat(max_len: int) -> str:
+    c = chunked("SELECT student_id, course_id FROM enrollments", "student_id", "course_id", max_len)
+    return f"""
+SELECT s._id, coalesce(c._chunk, 0) AS _chunk, s.student_name, s.student_email, s.department_id,
+       count(c.course_id) AS n_courses,
+       string_agg(CAST(c.course_id AS VARCHAR), ',' ORDER BY c.course_id) AS courses
+FROM students s LEFT JOIN {c} c ON c.student_id = s._id
+GROUP BY s._id, c._chunk, s.student_name, s.student_email, s.department_id
 """
 
+
+STUDENT_FLAT = student_flat(R.testmap.MAX_ARRAY)
+
 Q1 = f"""
 SELECT s.student_name, s.student_email FROM students s
 WHERE s._id IN (SELECT student_id FROM enrollments WHERE course_id = {R.COURSE_Q1})
@@ -220,6 +238,7 @@ HAVING count(DISTINCT c._id) = n.need
 """,
     "q_6": Q6,
     "q_7": STUDENT_FLAT,
+    "q_7_chunked": student_flat(R.SMALL_ARRAY),
     "q_7_courses": COURSES_ALL,
     "q_7_roundtrip": "SELECT student_id, course_id, count(*) AS n FROM enrollments GROUP BY student_id, course_id",
     "src_1_collection": STUDENT_FLAT,
@@ -303,17 +322,21 @@ SELECT c.course_id AS _id, i._id AS instructor_id, i.instructor_name
 FROM rel_courses c LEFT JOIN teaches t ON t.course_id = c.course_id
 LEFT JOIN instructors i ON i._id = t.instructor_id
 """,
-    "join_6_lookup": """
-SELECT d._id, count(i._id) AS n_instructors,
-       coalesce(string_agg(CAST(i._id AS VARCHAR), ',' ORDER BY i._id), '') AS instructor_ids
-FROM departments d LEFT JOIN instructors i ON i.department_id = d._id
-GROUP BY d._id
-""",
-    "join_7_lookup_array": """
-SELECT c._id, count(e.student_id) AS n_students,
-       coalesce(string_agg(CAST(e.student_id AS VARCHAR), ',' ORDER BY e.student_id), '') AS student_ids
-FROM courses c LEFT JOIN edges e ON e.course_id = c._id
-GROUP BY c._id
+    "join_6_lookup": f"""
+SELECT d._id, coalesce(c._chunk, 0) AS _chunk, count(c._iid) AS n_instructors,
+       coalesce(string_agg(CAST(c._iid AS VARCHAR), ',' ORDER BY c._iid), '') AS instructor_ids
+FROM departments d
+LEFT JOIN {chunked("SELECT department_id AS k, _id AS _iid FROM instructors", "k", "_iid", R.testmap.MAX_ARRAY)} c
+  ON c.k = d._id
+GROUP BY d._id, c._chunk
+""",
+    "join_7_lookup_array": f"""
+SELECT c._id, coalesce(x._chunk, 0) AS _chunk, count(x._sid) AS n_students,
+       coalesce(string_agg(CAST(x._sid AS VARCHAR), ',' ORDER BY x._sid), '') AS student_ids
+FROM courses c
+LEFT JOIN {chunked("SELECT course_id AS k, student_id AS _sid FROM edges", "k", "_sid", R.testmap.MAX_ARRAY)} x
+  ON x.k = c._id
+GROUP BY c._id, x._chunk
 """,
     "join_7_count": """
 SELECT c._id, count(e.student_id) AS n_students
@@ -350,11 +373,13 @@ SELECT o_custkey, o_orderkey, o_orderdate FROM (
   FROM orders) x
 WHERE rn = 1
 """,
-    "agg_6_embed": """
-SELECT s._id, count(e.course_id) AS n_courses,
-       coalesce(string_agg(CAST(e.course_id AS VARCHAR), ',' ORDER BY e.course_id), '') AS courses
-FROM students s LEFT JOIN enrollments e ON e.student_id = s._id
-GROUP BY s._id
+    "agg_6_embed": f"""
+SELECT s._id, coalesce(c._chunk, 0) AS _chunk, count(c.course_id) AS n_courses,
+       coalesce(string_agg(CAST(c.course_id AS VARCHAR), ',' ORDER BY c.course_id), '') AS courses
+FROM students s
+LEFT JOIN {chunked("SELECT student_id, course_id FROM enrollments", "student_id", "course_id",
+                   R.testmap.MAX_ARRAY)} c ON c.student_id = s._id
+GROUP BY s._id, c._chunk
 """,
     "agg_7_empty": Q2_INNER.format(ins=R.UNKNOWN_INSTRUCTOR).replace(
         "SELECT avg", "SELECT 'sql' AS mode, avg", 1) + "\nUNION ALL\n" + Q2_INNER.format(

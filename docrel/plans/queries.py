@@ -1,7 +1,9 @@
 """The six end-to-end queries over the four collections.
 
 ``cols`` is the dict returned by ``build_collections`` (or read back from
-storage): ``departments, students, instructors, courses``.  Each function
+storage): ``departments, students, instructors, courses``; ``students`` may
+be bucketed (``_chunk``): membership reads every chunk row, per-student
+counts read the head rows.  Each function
 returns a lazy DataFrame; options select between the variants the reference
 disagrees on (SURVEY §2.11).
 """
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docrel.operators.division import divide
+from docrel.operators.documents import heads
 from docrel.operators.grouping import count_per_group, first_per_key, mean_of_counts, top_k
 from docrel.operators.membership import membership_edges, membership_filter
 
@@ -55,7 +58,7 @@ def q3_department_courses(cols: dict[str, DataFrame], department_id: int = 1) ->
 
 def q4_students_per_department(cols: dict[str, DataFrame]) -> DataFrame:
     """Q-4 — number of students per department, with the department name."""
-    counts = count_per_group(cols["students"], "department_id", "total_students")
+    counts = count_per_group(heads(cols["students"]), "department_id", "total_students")
     d = cols["departments"]
     return counts.join(d, counts["department_id"] == d["_id"]) \
         .select("department_name", "total_students")

@@ -35,11 +35,17 @@ SAMPLE_K_RANGE = (3, 5)
 GRID_SLOTS = (4, 6)
 GRID_YEARS = (2020, 2021, 2022)
 DIVISION_MIN_QTY = 40
+SMALL_ARRAY = 4  # q_7_chunked: bucket size small enough to split students here
 REGION_CODES = {"AFRICA": "AF", "AMERICA": "AM", "ASIA": "AS", "EUROPE": "EU", "MIDDLE EAST": "ME"}
 
 
-def _cols(spark, sf):
-    return testmap.collections(spark, sf)
+def _cols(spark, sf, max_array=testmap.MAX_ARRAY):
+    return testmap.collections(spark, sf, max_array)
+
+
+def _students(cols) -> DataFrame:
+    """One row per student (head rows of the bucketed collection)."""
+    return documents.heads(cols["students"])
 
 
 def _rel(spark, sf):
@@ -51,7 +57,7 @@ def _raw(spark, sf):
 
 
 def _flat_students(students: DataFrame) -> DataFrame:
-    return students.select("_id", "student_name", "student_email", "department_id",
+    return students.select("_id", "_chunk", "student_name", "student_email", "department_id",
                            array_size0("enrolled_courses").cast("long").alias("n_courses"),
                            sorted_join("enrolled_courses").alias("courses"))
 
@@ -98,6 +104,10 @@ def q_7(spark, sf):
     return _flat_students(_cols(spark, sf)["students"])
 
 
+def q_7_chunked(spark, sf):
+    return _flat_students(_cols(spark, sf, SMALL_ARRAY)["students"])
+
+
 def q_7_courses(spark, sf):
     return _cols(spark, sf)["courses"]
 
@@ -111,7 +121,7 @@ def q_7_roundtrip(spark, sf):
 def src_1_collection(spark, sf):
     path = scratch_path(spark, "students_json")
     sinks.refresh(_cols(spark, sf)["students"], path, fmt="json")
-    back = io.read_collection(spark, path, fmt="json", schema=schemas.STUDENT_DOCS)
+    back = io.read_collection(spark, path, fmt="json", schema=schemas.with_chunk(schemas.STUDENT_DOCS))
     return _flat_students(back)
 
 
@@ -131,7 +141,7 @@ def snk_1_refresh(spark, sf):
 
 
 def snk_2_absent(spark, sf):
-    s = _cols(spark, sf)["students"].select("_id", "student_name", "department_id")
+    s = _students(_cols(spark, sf)).select("_id", "student_name", "department_id")
     target = s.filter(F.col("department_id") < 13)
     batch = s.filter(F.col("department_id") >= 8) \
              .withColumn("student_name", F.concat("student_name", F.lit(" (new)")))
@@ -147,7 +157,7 @@ def snk_2_absent(spark, sf):
 
 def snk_2_stream(spark, sf):
     """SNK-2 on a file stream: the batch arrives as files, one per micro-batch."""
-    s = _cols(spark, sf)["students"].select("_id", "student_name", "department_id")
+    s = _students(_cols(spark, sf)).select("_id", "student_name", "department_id")
     target = scratch_path(spark, "stream_target")
     source = scratch_path(spark, "stream_source")
     sinks.write_versioned(s.filter(F.col("department_id") < 13), target)
@@ -186,7 +196,7 @@ def sch_2_notnull(spark, sf):
     cols = _cols(spark, sf)
     a = integrity.column_rule_report("courses", cols["courses"], ["course_code", "instructor_id"],
                                      {"course_code": 14})
-    b = integrity.column_rule_report("students", cols["students"], ["enrolled_courses"],
+    b = integrity.column_rule_report("students", _students(cols), ["enrolled_courses"],
                                      {"student_name": 18, "student_email": 10})
     return a.unionByName(b)
 
@@ -275,7 +285,7 @@ def join_2(spark, sf):
 def join_3(spark, sf):
     cols = _cols(spark, sf)
     d = layout.checked_broadcast(cols["departments"], 100_000)
-    s = cols["students"]
+    s = _students(cols)
     return s.join(d, s["department_id"] == d["_id"]).select(s["_id"], "department_name")
 
 
@@ -287,7 +297,7 @@ def join_9(spark, sf):
 
 
 def join_4_share(spark, sf):
-    s = _cols(spark, sf)["students"]
+    s = _students(_cols(spark, sf))
     per = grouping.count_per_group(s, "department_id", "total_students")
     return grouping.attach_scalar(per, grouping.scalar_count(s, "all_students"))
 
@@ -304,16 +314,16 @@ def join_5_fold(spark, sf):
 def join_6_lookup(spark, sf):
     cols = _cols(spark, sf)
     j = documents.lookup(cols["departments"], cols["instructors"], "_id", "department_id",
-                         "dept_instructors")
-    return j.select("_id", F.size("dept_instructors").cast("long").alias("n_instructors"),
+                         "dept_instructors", max_len=testmap.MAX_ARRAY)
+    return j.select("_id", "_chunk", F.size("dept_instructors").cast("long").alias("n_instructors"),
                     sorted_join(F.col("dept_instructors._id")).alias("instructor_ids"))
 
 
 def join_7_lookup_array(spark, sf):
     cols = _cols(spark, sf)
     j = documents.lookup_in_array(cols["courses"], cols["students"], "_id", "enrolled_courses",
-                                  "enrolled_students")
-    return j.select("_id", F.size("enrolled_students").cast("long").alias("n_students"),
+                                  "enrolled_students", max_len=testmap.MAX_ARRAY)
+    return j.select("_id", "_chunk", F.size("enrolled_students").cast("long").alias("n_students"),
                     sorted_join(F.col("enrolled_students._id")).alias("student_ids"))
 
 
@@ -337,7 +347,7 @@ def join_8_sub(spark, sf):
 
 def join_10(spark, sf):
     cols = _cols(spark, sf)
-    out = sampling.candidate_counts(cols["students"].select("_id", "department_id"),
+    out = sampling.candidate_counts(_students(cols).select("_id", "department_id"),
                                     cols["courses"].select("department_id"), "department_id")
     return out.select("_id", "n_candidates")
 
@@ -351,7 +361,7 @@ def join_11(spark, sf):
 
 # AGG ------------------------------------------------------------------------------
 def agg_1(spark, sf):
-    return grouping.count_per_group(_cols(spark, sf)["students"], "department_id", "total_students")
+    return grouping.count_per_group(_students(_cols(spark, sf)), "department_id", "total_students")
 
 
 def agg_2(spark, sf):
@@ -377,8 +387,8 @@ def agg_5(spark, sf):
 def agg_6_embed(spark, sf):
     rel = _rel(spark, sf)
     s = documents.embed(rel["students"], rel["enrollments"], "student_id", "student_id",
-                        "course_id", "enrolled_courses", empty="empty")
-    return s.select(F.col("student_id").alias("_id"),
+                        "course_id", "enrolled_courses", empty="empty", max_len=testmap.MAX_ARRAY)
+    return s.select(F.col("student_id").alias("_id"), "_chunk",
                     F.size("enrolled_courses").cast("long").alias("n_courses"),
                     sorted_join("enrolled_courses").alias("courses"))
 
@@ -416,7 +426,7 @@ def agg_9_division(spark, sf):
 # WIN ------------------------------------------------------------------------------
 def _sample(spark, sf, k):
     cols = _cols(spark, sf)
-    ents = cols["students"].select(F.col("_id").alias("student_id"), "department_id")
+    ents = _students(cols).select(F.col("_id").alias("student_id"), "department_id")
     items = cols["courses"].select("department_id", F.col("_id").alias("course_id"))
     kk = k if not isinstance(k, tuple) else rand_in_range(k[0], k[1], F.lit(SEED), F.col("student_id"))
     return sampling.sample_per_entity(ents, items, "student_id", "department_id", "course_id", kk, SEED)
@@ -431,7 +441,7 @@ def win_1_range(spark, sf):
 
 
 def win_2_range(spark, sf):
-    s = _cols(spark, sf)["students"]
+    s = _students(_cols(spark, sf))
     lo, hi = SAMPLE_K_RANGE
     return s.select("_id", rand_in_range(lo, hi, F.lit(SEED), F.col("_id")).alias("k"))
 
@@ -494,7 +504,8 @@ def arr_2(spark, sf):
     s = _cols(spark, sf)["students"]
     course_depts = F.transform("enrolled_courses",
                                lambda x: (x % testmap.N_DEPARTMENTS_FOR_COURSES).cast("int"))
-    return s.select("_id", is_subset(course_depts, F.array("department_id")).alias("covered"))
+    per_row = s.select("_id", is_subset(course_depts, F.array("department_id")).alias("covered"))
+    return per_row.groupBy("_id").agg(F.bool_and("covered").alias("covered"))
 
 
 def arr_3_4(spark, sf):
@@ -508,7 +519,7 @@ def arr_3_4(spark, sf):
 
 # PHY ------------------------------------------------------------------------------
 def phy_1_cache(spark, sf):
-    s = _cols(spark, sf)["students"].select("department_id").persist()
+    s = _students(_cols(spark, sf)).select("department_id").persist()
     per = grouping.count_per_group(s, "department_id", "total_students")
     return grouping.attach_scalar(per, grouping.scalar_count(s, "all_students"))
 
@@ -549,7 +560,7 @@ def phy_6_inverted(spark, sf):
     layout.write_inverted_index(cols["students"], "_id", "enrolled_courses", path,
                                 item_as="course_id", owner_as="student_id")
     hit = layout.index_lookup(spark, path, COURSE_Q1, item_as="course_id", owner_as="student_id")
-    s = cols["students"]
+    s = _students(cols)
     return s.join(hit, s["_id"] == hit["student_id"], "left_semi").select("student_name", "student_email")
 
 

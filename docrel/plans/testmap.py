@@ -33,6 +33,8 @@ CORE_MIN_SIZE = 25
 FIRST_YEAR = 1998
 N_YEARS = 5
 
+MAX_ARRAY = 10_000  # bucket size of embedded arrays (one row per student at these scales)
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
@@ -82,6 +84,7 @@ def relational(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
             "courses": courses, "teaches": teaches, "enrollments": enrollments}
 
 
-def collections(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def collections(spark: SparkSession, sf_dir: str, max_array: int | None = MAX_ARRAY
+                ) -> dict[str, DataFrame]:
     """The four collections (Q-7 applied to the mapped tables)."""
-    return build_collections(relational(load(spark, sf_dir)))
+    return build_collections(relational(load(spark, sf_dir)), max_array=max_array)

@@ -46,6 +46,11 @@ COURSE_DOCS = _s(("_id", ID, False), ("course_code", T.StringType(), True),
                  ("department_id", DEPT, True), ("is_core_course", T.BooleanType(), True),
                  ("offering_year", T.IntegerType(), True), ("instructor_id", ID, True))
 
+def with_chunk(schema: T.StructType) -> T.StructType:
+    """A collection schema plus the ``_chunk`` column of the bucket pattern."""
+    return T.StructType(schema.fields + [T.StructField("_chunk", T.LongType(), False)])
+
+
 COLLECTIONS = {
     "departments": DEPARTMENT_DOCS, "students": STUDENT_DOCS,
     "instructors": INSTRUCTOR_DOCS, "courses": COURSE_DOCS,
