@@ -26,7 +26,8 @@ from docrel.functions.arrays import md5_int
 CHUNK = "_chunk"
 
 
-def _chunk_arrays(pairs: DataFrame, max_len: int | None, sort: bool) -> DataFrame:
+def _chunk_arrays(pairs: DataFrame, max_len: int | None, sort: bool,
+                  null_safe: bool = False) -> DataFrame:
     """``pairs(_k, _v, _h)`` → ``(_k, _chunk, _arr)``: values of each key in
     arrays of about ``max_len`` (``_h`` is what the chunk is hashed on)."""
     pairs = pairs.filter(F.col("_v").isNotNull())
@@ -42,9 +43,16 @@ def _chunk_arrays(pairs: DataFrame, max_len: int | None, sort: bool) -> DataFram
     nch = F.ceil(F.col("_n") / F.lit(max_len)).cast("long")
     chunk = F.when((nch <= 1) | (F.col("_h") == F.col("_hmin")), F.lit(0).cast("long")) \
              .otherwise(F.pmod(md5_int(F.col("_h")), nch))
-    tagged = pairs.join(stats, pairs["_k"].eqNullSafe(stats["_k"])).drop(stats["_k"]) \
-                  .select("_k", "_v", chunk.alias(CHUNK))
-    return tagged.groupBy("_k", CHUNK).agg(agg.alias("_arr"))
+    on = pairs["_k"].eqNullSafe(stats["_k"]) if null_safe else pairs["_k"] == stats["_k"]
+    tagged = pairs.join(stats, on).drop(stats["_k"]) \
+                  .select(F.struct("_k", chunk.alias(CHUNK)).alias("_ck"), "_v")
+    # Grouping on one struct column, not on (_k, _chunk): the join's hash
+    # partitioning on _k would otherwise satisfy the grouping, leaving a hot
+    # key's join and aggregation in one task.  With the struct key, Spark puts
+    # an exchange (preceded by a partial aggregate) after the join, so AQE can
+    # split a skewed join partition.
+    out = tagged.groupBy("_ck").agg(agg.alias("_arr"))
+    return out.select(F.col("_ck._k").alias("_k"), F.col(f"_ck.{CHUNK}").alias(CHUNK), "_arr")
 
 
 def _attach(left: DataFrame, left_key: str, arrays: DataFrame, as_: str, *, fill_empty: bool,
@@ -121,7 +129,7 @@ def lookup(left: DataFrame, right: DataFrame, local: str, foreign: str, as_: str
     pairs = right.select(F.col(foreign).alias("_k"), _docs(right).alias("_v"), F.col(h).alias("_h"))
     if not null_safe:
         pairs = pairs.filter(F.col("_k").isNotNull())
-    arrays = _chunk_arrays(pairs, max_len, sort=True)
+    arrays = _chunk_arrays(pairs, max_len, sort=True, null_safe=null_safe)
     return _attach(left, local, arrays, as_, fill_empty=True, null_safe=null_safe,
                    chunked=max_len is not None)
 
