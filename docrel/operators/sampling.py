@@ -18,11 +18,9 @@ from docrel.operators.integrity import assign_ids
 
 
 def number_within_group(items: DataFrame, group: str, item: str, idx_as: str = "idx") -> DataFrame:
-    """Items numbered 0..m-1 inside each group (in ``item`` order) and the group
-    size ``m`` — via :func:`assign_ids`, so a huge group is not one task."""
-    numbered = assign_ids(items.select(group, item), [item], idx_as, start=0, group_cols=[group])
-    sizes = numbered.groupBy(group).agg(F.count(F.lit(1)).alias("_m"))
-    return numbered.join(sizes, group)
+    """Items numbered 0..m-1 inside each group (in ``item`` order) — via
+    :func:`assign_ids`, so a huge group is not one task."""
+    return assign_ids(items.select(group, item), [item], idx_as, start=0, group_cols=[group])
 
 
 def sample_per_entity(entities: DataFrame, items: DataFrame, entity: str, group: str,
@@ -40,7 +38,7 @@ def sample_per_entity(entities: DataFrame, items: DataFrame, entity: str, group:
     Output: ``entity, item`` (renamed to ``item_as``), one row per drawn item.
     """
     numbered = number_within_group(items, group, item, "_idx")
-    sizes = numbered.select(group, "_m").distinct()
+    sizes = items.groupBy(group).agg(F.count(F.lit(1)).alias("_m"))  # one row per group
     kk = F.lit(k) if not isinstance(k, Column) else k
     e = entities.select(entity, group, kk.cast("long").alias("_k")).join(sizes, group)
     e = e.withColumn("_n", F.least(F.col("_k"), F.col("_m"))).filter(F.col("_n") > 0)
