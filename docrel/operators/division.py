@@ -31,20 +31,25 @@ def _g(group) -> list[str]:
 
 def divide(dividend: DataFrame, divisor: DataFrame, entity: str, item: str, *,
            group=None, empty_divisor: str = "none",
-           entities: DataFrame | None = None) -> DataFrame:
+           entities: DataFrame | None = None, unique_pairs: bool = False) -> DataFrame:
     """AGG-8 — rows ``(group..., entity)`` such that, within the group, the entity
     is paired with every divisor item.
 
     ``dividend`` has columns ``group..., entity, item``; ``divisor`` has
     ``group..., item``.  With ``empty_divisor="all"`` and no group, an empty
     divisor returns every entity of ``entities`` (default: of the dividend).
+    ``unique_pairs=True`` declares the (group, entity, item) rows of the
+    dividend already distinct (e.g. a functional dependency item → entity),
+    which saves the de-duplicating shuffle.
     """
     if empty_divisor not in ("none", "all"):
         raise ValueError("empty_divisor must be 'none' or 'all'")
     g = _g(group)
     need_items = divisor.select(*g, item).filter(F.col(item).isNotNull()).distinct()
     need = need_items.groupBy(*g).agg(F.count(F.lit(1)).alias("_need"))
-    pairs = dividend.select(*g, entity, item).filter(F.col(entity).isNotNull()).distinct()
+    pairs = dividend.select(*g, entity, item).filter(F.col(entity).isNotNull())
+    if not unique_pairs:
+        pairs = pairs.distinct()
     have = (pairs.join(need_items, g + [item], "left_semi")
             .groupBy(*g, entity).agg(F.count(F.lit(1)).alias("_have")))
     if g:

@@ -74,8 +74,9 @@ def q5_instructors_teaching_all_core(cols: dict[str, DataFrame], department_id:
     taught = courses.filter(F.col("instructor_id").isNotNull()) \
         .select("instructor_id", F.col("_id").alias("course_id"))
     ins = cols["instructors"]
+    # a course document names one instructor: (instructor, course) pairs are unique
     hit = divide(taught, core, "instructor_id", "course_id", empty_divisor=empty_divisor,
-                 entities=ins.select(F.col("_id").alias("instructor_id")))
+                 entities=ins.select(F.col("_id").alias("instructor_id")), unique_pairs=True)
     return ins.join(hit, ins["_id"] == hit["instructor_id"], "left_semi").select("instructor_name")
 
 
@@ -86,7 +87,8 @@ def q5_grouped(cols: dict[str, DataFrame]) -> DataFrame:
         .select("department_id", F.col("_id").alias("course_id"))
     taught = courses.filter(F.col("instructor_id").isNotNull()) \
         .select("department_id", "instructor_id", F.col("_id").alias("course_id"))
-    return divide(taught, core, "instructor_id", "course_id", group="department_id")
+    return divide(taught, core, "instructor_id", "course_id", group="department_id",
+                  unique_pairs=True)
 
 
 def q6_top_courses(cols: dict[str, DataFrame], k: int = 10, *,
