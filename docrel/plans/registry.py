@@ -335,14 +335,16 @@ def join_7_count(spark, sf):
 
 
 def join_8_sub(spark, sf):
+    """JOIN-8 at scale: every instructor of department 3 carries the same
+    uncorrelated sub-result (size and first id of the department-1 core
+    courses).  Attached as a one-row aggregate; the array form
+    (``lookup_uncorrelated``) is for sub-results of checked, bounded size."""
     cols = _cols(spark, sf)
     c = cols["courses"]
-    core = c.filter((F.col("department_id") == DEPARTMENT_Q3) & F.col("is_core_course")) \
-            .select("_id", "course_code")
+    core = c.filter((F.col("department_id") == DEPARTMENT_Q3) & F.col("is_core_course"))
+    summary = core.agg(F.count(F.lit(1)).alias("n_core"), F.min("_id").alias("first_core"))
     ins = cols["instructors"].filter(F.col("department_id") == DEPARTMENT_FLT4).select("_id")
-    j = documents.lookup_uncorrelated(ins, core, "all_core_courses")
-    return j.select("_id", F.size("all_core_courses").cast("long").alias("n_core"),
-                    F.array_min("all_core_courses._id").alias("first_core"))
+    return grouping.attach_scalar(ins, summary)
 
 
 def join_10(spark, sf):
@@ -519,9 +521,14 @@ def arr_3_4(spark, sf):
 
 # PHY ------------------------------------------------------------------------------
 def phy_1_cache(spark, sf):
-    s = _students(_cols(spark, sf)).select("department_id").persist()
-    per = grouping.count_per_group(s, "department_id", "total_students")
-    return grouping.attach_scalar(per, grouping.scalar_count(s, "all_students"))
+    """PHY-1: one cached intermediate read by two consumers (the per-department
+    counts and the total) in one job, released after the result is written."""
+    s = _students(_cols(spark, sf)).select("department_id")
+    out = scratch_path(spark, "share")
+    with layout.cached(s) as c:
+        per = grouping.count_per_group(c, "department_id", "total_students")
+        sinks.write_versioned(grouping.attach_scalar(per, grouping.scalar_count(c, "all_students")), out)
+    return spark.read.parquet(out)
 
 
 def phy_2_repartition(spark, sf):

@@ -46,13 +46,20 @@ def append_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], *
     return target.unionByName(fresh)
 
 
-def set_fields(target: DataFrame, updates: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+def set_fields(target: DataFrame, updates: DataFrame, key: str, fields: Sequence[str], *,
+               order: Sequence[str] | None = None) -> DataFrame:
     """SNK-3 — ``update_one({key: k}, {"$set": {...}})`` for every update row.
 
     Matched rows take the update's values for ``fields``; unmatched target rows
     are untouched; updates without a target row are dropped (no upsert).
-    ``updates`` must hold one row per key (see ``first_per_key``).
+    ``updates`` should hold one row per key; with ``order`` given, several
+    updates of one key are reduced to the first in that order (otherwise
+    duplicate keys would duplicate target rows).
     """
+    if order:
+        updates = first_per_key(updates.select(key, *fields, *[o for o in order if o not in fields
+                                                                and o != key]),
+                                [key], list(order))
     u = updates.select(F.col(key).alias("_uk"), F.lit(True).alias("_hit"),
                        *[F.col(f).alias(f"_u_{f}") for f in fields])
     j = target.join(u, target[key] == u["_uk"], "left")

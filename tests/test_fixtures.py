@@ -138,3 +138,21 @@ def test_fk_composite_ignores_nulls(spark):
     child = spark.createDataFrame([(1, 1), (2, None), (3, 7)], "a long, b long")
     parent = spark.createDataFrame([(1, 1)], "x long, y long")
     assert rows(integrity.fk_violations(child, parent, ["a", "b"], ["x", "y"])) == [(3, 7)]
+
+
+def test_lookup_uncorrelated_array_and_bound(cols):
+    core = cols["courses"].filter("department_id = 1 AND is_core_course").select("_id")
+    out = documents.lookup_uncorrelated(cols["instructors"].select("_id"), core, "all_core")
+    assert sorted((r["_id"], sorted(d["_id"] for d in r["all_core"])) for r in out.collect()) == \
+        [(1, [1, 2]), (2, [1, 2])]
+    none = documents.lookup_uncorrelated(cols["instructors"].select("_id"), core.filter("_id < 0"), "x")
+    assert [len(r["x"]) for r in none.collect()] == [0, 0]
+    with pytest.raises(ValueError):
+        documents.lookup_uncorrelated(cols["instructors"], core, "x", max_rows=1)
+
+
+def test_containment_refuses_large_divisor(spark):
+    dividend = spark.createDataFrame([(1, "a")], "e long, i string")
+    divisor = spark.createDataFrame([("a",), ("b",)], "i string")
+    with pytest.raises(ValueError):
+        division.divide_by_containment(dividend, divisor, "e", "i", max_divisor=1)

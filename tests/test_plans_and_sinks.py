@@ -125,3 +125,17 @@ def test_keyed_split_options():
     assert o == {"partitionColumn": "id", "lowerBound": "0", "upperBound": "100", "numPartitions": "4"}
     with pytest.raises(ValueError):
         io.keyed_split_options("id", 5, 1, 4)
+
+
+def test_set_fields_reduces_duplicate_updates(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    upd = spark.createDataFrame([(2, "z", 2), (2, "y", 1)], "k long, v string, ts long")
+    out = sinks.set_fields(target, upd, "k", ["v"], order=["ts"])
+    assert _table(out) == [(1, "a"), (2, "y")]
+
+
+def test_cached_releases(spark):
+    df = spark.range(10)
+    with layout.cached(df) as c:
+        assert c.is_cached and c.count() == 10
+    assert not df.is_cached
