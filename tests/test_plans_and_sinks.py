@@ -139,3 +139,21 @@ def test_cached_releases(spark):
     with layout.cached(df) as c:
         assert c.is_cached and c.count() == 10
     assert not df.is_cached
+
+
+def test_bucketed_tables_join_without_shuffle(spark, cols):
+    from docrel.operators.documents import heads
+    s = heads(cols["students"]).select("_id", "department_id")
+    e = membership.membership_edges(cols["students"], "_id", "enrolled_courses",
+                                    owner_as="_id", item_as="course_id")
+    layout.bucket_table(s, "b_students", 4, ["_id"], ["_id"])
+    layout.bucket_table(e, "b_edges", 4, ["_id"], ["_id"])
+    j = spark.table("b_students").join(spark.table("b_edges"), "_id")
+    old_threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in p and "Exchange" not in p
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_threshold)
+    assert j.count() == e.count()
