@@ -43,13 +43,17 @@ def scalar_value(df: DataFrame):
     return None if row is None else row[0]
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows — a bounded action that
+    stops after ``max_rows + 1`` rows, the size proof behind a broadcast."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def checked_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
     """JOIN-3 — mark ``small`` for broadcast only if it has at most
-    ``max_rows`` rows (a bounded action reading at most ``max_rows + 1``
-    rows); otherwise leave the join to AQE (sort-merge or runtime broadcast)."""
-    if small.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(small)
-    return small
+    ``max_rows`` rows (:func:`fits`); otherwise leave the join to AQE
+    (sort-merge or runtime broadcast)."""
+    return F.broadcast(small) if fits(small, max_rows) else small
 
 
 def write_layout(df: DataFrame, path: str, *, partition_by: Sequence[str] = (),

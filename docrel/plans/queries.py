@@ -17,6 +17,7 @@ from docrel.operators.division import divide
 from docrel.operators.documents import heads
 from docrel.operators.grouping import count_per_group, first_per_key, mean_of_counts, top_k
 from docrel.operators.membership import membership_edges, membership_filter
+from docrel.plans.layout import fits
 
 
 def enrollment_edges(cols: dict[str, DataFrame]) -> DataFrame:
@@ -32,17 +33,28 @@ def q1_students_in_course(cols: dict[str, DataFrame], course_id: int = 15) -> Da
 
 
 def q2_mean_enrolment(cols: dict[str, DataFrame], instructor_id: int = 2, *,
-                      include_empty: bool = False, drop_empty: bool = False) -> DataFrame:
+                      include_empty: bool = False, drop_empty: bool = False,
+                      broadcast_rows: int = 1_000_000) -> DataFrame:
     """Q-2 — mean number of students over the courses taught by ``instructor_id``.
 
     ``include_empty=False``: courses without students do not count (Spark
     baseline); ``True``: they count as 0 (pipeline).  ``drop_empty=True``: no
     row at all when the instructor teaches nothing (pipeline) instead of a
     NULL mean (SQL).
+
+    Plan: if the instructor's courses number at most ``broadcast_rows``
+    (checked by a bounded action) they are broadcast and filter the edges
+    map-side before anything is shuffled; otherwise edges are counted per
+    course first (partial aggregation, skew-safe) and the counts semi-joined.
     """
     taught = cols["courses"].filter(F.col("instructor_id") == instructor_id).select("_id")
-    edges = enrollment_edges(cols).join(taught, F.col("course_id") == taught["_id"], "left_semi")
-    counts = count_per_group(edges, "course_id", "num_students")
+    edges = enrollment_edges(cols)
+    if fits(taught, broadcast_rows):
+        kept = edges.join(F.broadcast(taught), F.col("course_id") == taught["_id"], "left_semi")
+        counts = count_per_group(kept, "course_id", "num_students")
+    else:
+        counts = count_per_group(edges, "course_id", "num_students")
+        counts = counts.join(taught, counts["course_id"] == taught["_id"], "left_semi")
     if include_empty:
         counts = taught.join(counts, taught["_id"] == counts["course_id"], "left") \
             .select(F.coalesce("num_students", F.lit(0).cast("long")).alias("num_students"))

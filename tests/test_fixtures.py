@@ -156,3 +156,10 @@ def test_containment_refuses_large_divisor(spark):
     divisor = spark.createDataFrame([("a",), ("b",)], "i string")
     with pytest.raises(ValueError):
         division.divide_by_containment(dividend, divisor, "e", "i", max_divisor=1)
+
+
+def test_q2_both_plans_agree(cols):
+    for inc in (False, True):
+        a = rows(Q.q2_mean_enrolment(cols, 2, include_empty=inc))
+        b = rows(Q.q2_mean_enrolment(cols, 2, include_empty=inc, broadcast_rows=0))
+        assert a == b
