@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -22,7 +21,7 @@ from docrel import schemas  # noqa: E402
 from docrel.operators import documents, grouping, membership, sampling  # noqa: E402
 from docrel.operators.documents import heads  # noqa: E402
 from docrel.plans import layout, queries as Q, registry, testmap  # noqa: E402
-from docrel.session import get_session  # noqa: E402
+from docrel.session import get_session, scratch_path  # noqa: E402
 from docrel.sources import io, sinks  # noqa: E402
 
 
@@ -35,7 +34,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")}
     spark = get_session(f"local[{cpus}]", cpus * 2, app="docrel-bench", extra=extra)
-    scratch = tempfile.mkdtemp(prefix="docrel-bench-")
+    scratch = scratch_path(spark, "bench")
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
 
     # warm-up (JIT, metadata): the migration and a query on a small scale, not timed

@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from docrel import schemas  # noqa: E402
 from docrel.operators import documents, membership  # noqa: E402
 from docrel.plans import layout, queries as Q, registry, testmap  # noqa: E402
-from docrel.session import get_session  # noqa: E402
+from docrel.session import get_session, scratch_path  # noqa: E402
 from docrel.sources import io, sinks  # noqa: E402
 
 
@@ -44,7 +43,7 @@ def summarise(plan: str) -> dict:
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("local[8]", 16)
-    scratch = tempfile.mkdtemp(prefix="docrel-plans-")
+    scratch = scratch_path(spark, "plans")
     built = testmap.collections(spark, sf_dir)
     paths = {k: f"{scratch}/{k}" for k in built}
     for k, df in built.items():
