@@ -388,6 +388,12 @@ GROUP BY s._id, c._chunk
     "agg_8_division": DIVISION_DIVIDEND + """
 SELECT c_custkey FROM dividend GROUP BY c_custkey
 HAVING count(*) = (SELECT count(DISTINCT p_type) FROM part)
+""",
+    "agg_8_grouped": DIVISION_DIVIDEND + """
+, g AS (SELECT c.c_nationkey, d.c_custkey, d.p_type FROM dividend d JOIN customer c ON c.c_custkey = d.c_custkey)
+SELECT g.c_nationkey, g.c_custkey FROM g
+GROUP BY g.c_nationkey, g.c_custkey
+HAVING count(DISTINCT g.p_type) = (SELECT count(DISTINCT p_type) FROM g g2 WHERE g2.c_nationkey = g.c_nationkey)
 """,
     "agg_9_division": DIVISION_DIVIDEND + """
 SELECT DISTINCT d.c_custkey FROM dividend d

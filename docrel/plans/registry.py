@@ -420,6 +420,18 @@ def agg_8_division(spark, sf):
     return division.divide(dividend, divisor, "c_custkey", "p_type")
 
 
+def agg_8_grouped(spark, sf):
+    """Grouped division with a divisor per group: per nation, the customers
+    whose large lines (quantity >= 40) cover every part type that any customer
+    of their nation bought in large lines."""
+    raw = _raw(spark, sf)
+    dividend, _ = _type_division_inputs(spark, sf)
+    c = raw["customer"].select("c_custkey", "c_nationkey")
+    grouped = dividend.join(c, "c_custkey").select("c_nationkey", "c_custkey", "p_type")
+    divisor = grouped.select("c_nationkey", "p_type")
+    return division.divide(grouped, divisor, "c_custkey", "p_type", group="c_nationkey")
+
+
 def agg_9_division(spark, sf):
     dividend, divisor = _type_division_inputs(spark, sf)
     return division.divide_by_containment(dividend, divisor, "c_custkey", "p_type")
