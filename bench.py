@@ -41,8 +41,7 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.01")
     if os.path.isdir(warm_dir):
         warm = testmap.collections(spark, warm_dir)
-        for k, df in warm.items():
-            sinks.refresh(df, f"{scratch}/warm/{k}")
+        sinks.refresh_all(warm, {k: f"{scratch}/warm/{k}" for k in warm})
         force(Q.q6_top_courses(warm, 10))
 
     times: dict[str, float] = {}
@@ -56,9 +55,7 @@ def main() -> None:
     index_path = f"{scratch}/enrolled_index"
 
     def migrate():
-        built = testmap.collections(spark, sf_dir)
-        for k, df in built.items():
-            sinks.refresh(df, paths[k])
+        sinks.refresh_all(testmap.collections(spark, sf_dir), paths)
 
     timed("q7_migrate", migrate)
     schemas_ = dict(schemas.COLLECTIONS, students=schemas.with_chunk(schemas.STUDENT_DOCS))

@@ -27,6 +27,19 @@ def refresh(df: DataFrame, path: str, *, fmt: str = "parquet", partition_by=None
     w.save(path)
 
 
+def refresh_all(tables: dict[str, DataFrame], paths: dict[str, str], *, fmt: str = "parquet",
+                max_parallel: int = 4) -> None:
+    """SNK-1 for a set of independent tables (the four collections of a
+    migration): each is a full refresh; their jobs are submitted together so
+    small tables run alongside big ones instead of after them."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(tables)))) as pool:
+        futures = [pool.submit(refresh, df, paths[k], fmt=fmt) for k, df in tables.items()]
+        for f in futures:
+            f.result()
+
+
 def append_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], *,
                      order: Sequence[str] | None = None) -> DataFrame:
     """SNK-2 — the target plus the batch rows whose key is not yet present.

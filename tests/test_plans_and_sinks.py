@@ -169,3 +169,10 @@ def test_micro_batch_append_survives_replay(spark):
     sink(b1, 0)          # the same epoch replayed after a failure
     sink(b2, 1)
     assert _table(spark.read.parquet(target)) == [(1, "a"), (2, "b"), (3, "d")]
+
+
+def test_refresh_all_writes_every_table(spark, cols):
+    paths = {k: scratch_path(spark, k) for k in cols}
+    sinks.refresh_all(cols, paths)
+    for k, df in cols.items():
+        assert _table(spark.read.parquet(paths[k])) == _table(df)

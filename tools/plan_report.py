@@ -46,8 +46,7 @@ def main(argv):
     scratch = scratch_path(spark, "plans")
     built = testmap.collections(spark, sf_dir)
     paths = {k: f"{scratch}/{k}" for k in built}
-    for k, df in built.items():
-        sinks.refresh(df, paths[k])
+    sinks.refresh_all(built, paths)
     sch = dict(schemas.COLLECTIONS, students=schemas.with_chunk(schemas.STUDENT_DOCS))
     cols = {k: io.read_collection(spark, p, schema=sch[k]) for k, p in paths.items()}
     idx = layout.write_inverted_index(cols["students"], "_id", "enrolled_courses", f"{scratch}/idx",
