@@ -41,13 +41,12 @@ def column_rule_report(table_name: str, df: DataFrame, not_null: Sequence[str] =
 
 
 # SCH-3 ------------------------------------------------------------------------
-def unique_violations(df: DataFrame, keys: Sequence[str], *, primary: bool = False,
+def unique_violations(df: DataFrame, keys: Sequence[str], *,
                       count_as: str = "n_rows") -> DataFrame:
-    """Key values held by more than one row.
+    """Key values held by more than one row, with their row count.
 
-    UNIQUE ignores rows with a NULL in the key (SQL semantics); a PRIMARY KEY
-    also forbids NULLs, which :func:`column_rule_report` reports.  ``primary``
-    therefore only changes nothing here but documents intent.
+    Rows with a NULL in the key are ignored (SQL UNIQUE); the NOT NULL half of
+    a PRIMARY KEY is reported by :func:`column_rule_report`.
     """
     keys = list(keys)
     nn = F.lit(True)
@@ -57,6 +56,33 @@ def unique_violations(df: DataFrame, keys: Sequence[str], *, primary: bool = Fal
             .filter(F.col(count_as) > 1))
 
 
+def key_violation_counts(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
+    """Number of violating key values for several key sets of one table in one
+    pass: ``(set_index, violations)``, one row per set.
+
+    One aggregation over grouping sets (a table's PRIMARY KEY and UNIQUE
+    constraints together); ``grouping_id()`` tells the sets apart, and groups
+    with a NULL in their key are dropped (UNIQUE ignores them).
+    """
+    sets = [list(ks) for ks in key_sets]
+    cols = sorted({c for ks in sets for c in ks})
+    gids = [sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in ks) for ks in sets]
+    agg = df.select(*cols).groupingSets(sets, *cols) \
+            .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
+    keyed = F.lit(False)
+    for gid, ks in zip(gids, sets):
+        nn = F.lit(True)
+        for k in ks:
+            nn = nn & F.col(k).isNotNull()
+        keyed = keyed | ((F.col("_gid") == gid) & nn)
+    bad = agg.filter((F.col("_n") > 1) & keyed).groupBy("_gid").agg(F.count(F.lit(1)).alias("_v"))
+    index = F.create_map(*[x for i, gid in enumerate(gids) for x in (F.lit(gid), F.lit(i))])
+    per_set = df.sparkSession.range(len(sets)).select(F.col("id").cast("int").alias("set_index"))
+    counted = bad.select(F.element_at(index, F.col("_gid")).alias("set_index"), "_v")
+    return per_set.join(counted, "set_index", "left") \
+                  .select("set_index", F.coalesce("_v", F.lit(0).cast("long")).alias("violations"))
+
+
 # SCH-4 ------------------------------------------------------------------------
 def fk_violations(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
                   parent_cols: Sequence[str]) -> DataFrame:
@@ -82,10 +108,12 @@ def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
                                         schemas.VARCHAR_LIMITS.get(name)))
         key_sets = ([("primary_key", schemas.PRIMARY_KEYS[name])] if name in schemas.PRIMARY_KEYS else []) \
             + [("unique", u) for u in schemas.UNIQUE_KEYS.get(name, [])]
-        for rule, keys in key_sets:
-            v = unique_violations(df, keys).agg(F.count(F.lit(1)).cast("long").alias("violations"))
-            parts.append(v.select(F.lit(name).alias("table_name"), F.lit(rule).alias("rule"),
-                                  F.lit(",".join(keys)).alias("column_name"), "violations"))
+        if key_sets:
+            v = key_violation_counts(df, [k for _, k in key_sets])
+            rule = F.element_at(F.array(*[F.lit(r) for r, _ in key_sets]), F.col("set_index") + 1)
+            col = F.element_at(F.array(*[F.lit(",".join(k)) for _, k in key_sets]), F.col("set_index") + 1)
+            parts.append(v.select(F.lit(name).alias("table_name"), rule.alias("rule"),
+                                  col.alias("column_name"), "violations"))
         for ccols, ptable, pcols in schemas.FOREIGN_KEYS.get(name, []):
             if ptable not in tables:
                 continue

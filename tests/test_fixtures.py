@@ -163,3 +163,12 @@ def test_q2_both_plans_agree(cols):
         a = rows(Q.q2_mean_enrolment(cols, 2, include_empty=inc))
         b = rows(Q.q2_mean_enrolment(cols, 2, include_empty=inc, broadcast_rows=0))
         assert a == b
+
+
+def test_key_violation_counts_one_pass(spark):
+    df = spark.createDataFrame(
+        [(1, "a", "x"), (1, "b", "x"), (2, None, "y"), (3, None, "y"), (4, "c", None), (5, "c", None)],
+        "id long, email string, code string")
+    out = dict(tuple(r) for r in integrity.key_violation_counts(df, [["id"], ["email"], ["code"]]).collect())
+    # id 1 twice; email 'c' twice (NULL emails ignored); code 'x' and 'y' twice (NULL ignored)
+    assert out == {0: 1, 1: 1, 2: 2}
