@@ -32,7 +32,9 @@ def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) ->
 
 def hash_partition(df: DataFrame, n: int, *keys: str) -> DataFrame:
     """PHY-2 — hash repartition on ``keys``.  Pays off only right before a
-    join/aggregate on the same keys, whose exchange it then replaces."""
+    join/aggregate on the same keys, whose exchange it then replaces.  Use it on
+    keys without hot values: rows are moved before any map-side aggregation,
+    so a key holding a third of the rows lands in one task (aggregate first)."""
     return df.repartition(n, *keys)
 
 
@@ -61,7 +63,9 @@ def write_layout(df: DataFrame, path: str, *, partition_by: Sequence[str] = (),
                  mode: str = "overwrite") -> str:
     """PHY-5 — write ``df`` partitioned into directories by ``partition_by``
     (equality filters prune whole directories) and range-clustered by
-    ``cluster_by`` inside them (row-group min/max statistics skip data)."""
+    ``cluster_by`` inside them (row-group min/max statistics skip data).
+    ``cluster_by`` should end in a high-cardinality column (e.g. the key) so
+    that a hot directory value is still split over several writers."""
     out = df
     if cluster_by:
         n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -544,11 +544,14 @@ def phy_1_cache(spark, sf):
 
 
 def phy_2_repartition(spark, sf):
+    """PHY-2 where it pays: courses (unique ``_id``, so no hot key) are hash
+    partitioned on the join key the per-course counts are already partitioned
+    on, so the join adds no exchange.  Edges are never repartitioned raw: that
+    would send a hot course to one task before any pre-aggregation."""
     cols = _cols(spark, sf)
-    e = layout.hash_partition(Q.enrollment_edges(cols), int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              "course_id")
-    cnt = grouping.count_per_group(e, "course_id", "num_enrollments")
-    c = cols["courses"].select("_id", "course_code")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cnt = grouping.count_per_group(Q.enrollment_edges(cols), "course_id", "num_enrollments")
+    c = layout.hash_partition(cols["courses"].select("_id", "course_code"), n, "_id")
     j = c.join(cnt, c["_id"] == cnt["course_id"]).select("_id", "course_code", "num_enrollments")
     return grouping.top_k(j, F.col("num_enrollments").desc(), 10, F.col("_id").asc())
 
