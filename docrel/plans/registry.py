@@ -355,10 +355,13 @@ def join_10(spark, sf):
 
 
 def join_11(spark, sf):
+    """JOIN-11 — courses nobody takes.  Anti-joined against the per-course
+    counts (one pre-aggregated row per course), not the raw edges, so a hot
+    course is never a hot key of the join."""
     cols = _cols(spark, sf)
-    e = Q.enrollment_edges(cols)
+    taken = _course_counts(cols).select("course_id")
     c = cols["courses"]
-    return c.join(e, c["_id"] == e["course_id"], "left_anti").select("_id", "course_code")
+    return c.join(taken, c["_id"] == taken["course_id"], "left_anti").select("_id", "course_code")
 
 
 # AGG ------------------------------------------------------------------------------
