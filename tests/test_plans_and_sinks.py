@@ -176,3 +176,11 @@ def test_refresh_all_writes_every_table(spark, cols):
     sinks.refresh_all(cols, paths)
     for k, df in cols.items():
         assert _table(spark.read.parquet(paths[k])) == _table(df)
+
+
+def test_q2_plan_paths(cols):
+    small = plan(Q.q2_mean_enrolment(cols, 2))
+    assert "BroadcastHashJoin" in small and "LeftSemi" in small
+    big = plan(Q.q2_mean_enrolment(cols, 2, broadcast_rows=0))
+    # count-first: the per-course partial count sits below the semi join
+    assert big.index("LeftSemi") < big.index("partial_count")
