@@ -5,7 +5,6 @@ from collections import Counter, defaultdict
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from docrel.operators import division, documents, grouping, integrity, sampling
 
