@@ -31,7 +31,8 @@ def _g(group) -> list[str]:
 
 def divide(dividend: DataFrame, divisor: DataFrame, entity: str, item: str, *,
            group=None, empty_divisor: str = "none",
-           entities: DataFrame | None = None, unique_pairs: bool = False) -> DataFrame:
+           entities: DataFrame | None = None, unique_pairs: bool = False,
+           unique_divisor: bool = False) -> DataFrame:
     """AGG-8 — rows ``(group..., entity)`` such that, within the group, the entity
     is paired with every divisor item.
 
@@ -40,12 +41,15 @@ def divide(dividend: DataFrame, divisor: DataFrame, entity: str, item: str, *,
     divisor returns every entity of ``entities`` (default: of the dividend).
     ``unique_pairs=True`` declares the (group, entity, item) rows of the
     dividend already distinct (e.g. a functional dependency item → entity),
-    which saves the de-duplicating shuffle.
+    which saves the de-duplicating shuffle; ``unique_divisor=True`` does the
+    same for divisor rows (e.g. items that are primary keys).
     """
     if empty_divisor not in ("none", "all"):
         raise ValueError("empty_divisor must be 'none' or 'all'")
     g = _g(group)
-    need_items = divisor.select(*g, item).filter(F.col(item).isNotNull()).distinct()
+    need_items = divisor.select(*g, item).filter(F.col(item).isNotNull())
+    if not unique_divisor:
+        need_items = need_items.distinct()
     need = need_items.groupBy(*g).agg(F.count(F.lit(1)).alias("_need"))
     pairs = dividend.select(*g, entity, item).filter(F.col(entity).isNotNull())
     if not unique_pairs:

@@ -86,9 +86,11 @@ def q5_instructors_teaching_all_core(cols: dict[str, DataFrame], department_id:
     taught = courses.filter(F.col("instructor_id").isNotNull()) \
         .select("instructor_id", F.col("_id").alias("course_id"))
     ins = cols["instructors"]
-    # a course document names one instructor: (instructor, course) pairs are unique
+    # a course document names one instructor, and _id is the key: pairs and
+    # divisor rows are unique
     hit = divide(taught, core, "instructor_id", "course_id", empty_divisor=empty_divisor,
-                 entities=ins.select(F.col("_id").alias("instructor_id")), unique_pairs=True)
+                 entities=ins.select(F.col("_id").alias("instructor_id")), unique_pairs=True,
+                 unique_divisor=True)
     return ins.join(hit, ins["_id"] == hit["instructor_id"], "left_semi").select("instructor_name")
 
 
@@ -100,7 +102,7 @@ def q5_grouped(cols: dict[str, DataFrame]) -> DataFrame:
     taught = courses.filter(F.col("instructor_id").isNotNull()) \
         .select("department_id", "instructor_id", F.col("_id").alias("course_id"))
     return divide(taught, core, "instructor_id", "course_id", group="department_id",
-                  unique_pairs=True)
+                  unique_pairs=True, unique_divisor=True)
 
 
 def q6_top_courses(cols: dict[str, DataFrame], k: int = 10, *,
