@@ -86,9 +86,12 @@ def key_violation_counts(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> Da
 # SCH-4 ------------------------------------------------------------------------
 def fk_violations(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
                   parent_cols: Sequence[str]) -> DataFrame:
-    """Child rows whose (all non-NULL) key has no parent row (MATCH SIMPLE)."""
+    """Child rows whose (all non-NULL) key has no parent row (MATCH SIMPLE).
+
+    An anti join keeps a child row iff no parent matches, so repeated parent
+    keys change nothing and are not de-duplicated (no extra shuffle)."""
     child_cols, parent_cols = list(child_cols), list(parent_cols)
-    p = parent.select(*[F.col(pc).alias(f"_p{i}") for i, pc in enumerate(parent_cols)]).distinct()
+    p = parent.select(*[F.col(pc).alias(f"_p{i}") for i, pc in enumerate(parent_cols)])
     nn = F.lit(True)
     cond = F.lit(True)
     for i, cc in enumerate(child_cols):
