@@ -33,6 +33,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times for analysis, off by default
+        extra.update({"spark.eventLog.enabled": "true",
+                      "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
     spark = get_session(f"local[{cpus}]", cpus * 2, app="docrel-bench", extra=extra)
     scratch = scratch_path(spark, "bench")
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
