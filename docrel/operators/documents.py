@@ -113,20 +113,22 @@ def fold_link(base: DataFrame, link: DataFrame, base_key: str, link_base: str, l
 
 
 # JOIN-6 / 7 / 8 / 9 -----------------------------------------------------------
-def _docs(right: DataFrame) -> Column:
-    return F.struct(*[F.col(c) for c in right.columns])
+def _docs(right: DataFrame, cols: Sequence[str] | None = None) -> Column:
+    return F.struct(*[F.col(c) for c in (cols or right.columns)])
 
 
 def lookup(left: DataFrame, right: DataFrame, local: str, foreign: str, as_: str, *,
            null_safe: bool = False, max_len: int | None = None,
-           chunk_by: str | None = None) -> DataFrame:
+           chunk_by: str | None = None, doc_cols: Sequence[str] | None = None) -> DataFrame:
     """JOIN-6 — ``$lookup``: each left row gets the array of matching right
     documents (sorted), ``[]`` when none.  ``null_safe=True`` also matches NULL
     with NULL (the document store treats missing and null as equal).
     ``max_len``: bucket pattern, chunks hashed on ``chunk_by`` (default: the
-    first right column)."""
+    first right column).  ``doc_cols`` keeps only those fields of the
+    matched documents (a projection after the lookup, applied before it)."""
     h = chunk_by or right.columns[0]
-    pairs = right.select(F.col(foreign).alias("_k"), _docs(right).alias("_v"), F.col(h).alias("_h"))
+    pairs = right.select(F.col(foreign).alias("_k"), _docs(right, doc_cols).alias("_v"),
+                         F.col(h).alias("_h"))
     if not null_safe:
         pairs = pairs.filter(F.col("_k").isNotNull())
     arrays = _chunk_arrays(pairs, max_len, sort=True, null_safe=null_safe)
@@ -135,12 +137,17 @@ def lookup(left: DataFrame, right: DataFrame, local: str, foreign: str, as_: str
 
 
 def lookup_in_array(left: DataFrame, right: DataFrame, local: str, foreign_array: str,
-                    as_: str, *, max_len: int | None = None, chunk_by: str | None = None) -> DataFrame:
+                    as_: str, *, max_len: int | None = None, chunk_by: str | None = None,
+                    doc_cols: Sequence[str] | None = None) -> DataFrame:
     """JOIN-7 — ``$lookup`` whose foreign field is an array: a right document
-    matches when the array contains the local value (once, however often)."""
+    matches when the array contains the local value (once, however often).
+
+    Every match copies the matched document, so a document whose array has n
+    entries is copied n times; pass ``doc_cols`` to copy only the fields needed
+    (leaving out the array itself keeps the volume linear in the matches)."""
     h = chunk_by or right.columns[0]
     pairs = right.select(F.explode(F.array_distinct(F.col(foreign_array))).alias("_k"),
-                         _docs(right).alias("_v"), F.col(h).alias("_h")) \
+                         _docs(right, doc_cols).alias("_v"), F.col(h).alias("_h")) \
                  .filter(F.col("_k").isNotNull())
     arrays = _chunk_arrays(pairs, max_len, sort=True)
     return _attach(left, local, arrays, as_, fill_empty=True, chunked=max_len is not None)

@@ -40,15 +40,19 @@ def membership_edges(owners: DataFrame, owner_key: str, array_col: str, *,
 
 
 def membership_join(items: DataFrame, owners: DataFrame, item_key: str, array_col: str,
-                    *, how: str = "inner") -> DataFrame:
+                    *, how: str = "inner", keep_array: bool = False) -> DataFrame:
     """JOIN-1 — ``items ⋈ owners`` on ``item_key ∈ owners.array_col`` as an equi join.
 
-    Returns the columns of both sides (the array stays on the owner side), one
-    row per (item, owner) with the item in the owner's array.
+    Returns the columns of both sides, one row per (item, owner) with the item
+    in the owner's array.  The array itself is dropped unless ``keep_array``:
+    copied onto each of its n matches it would make the output quadratic in
+    the fan-out.
     """
     tag = "_member_item"
     unwound = owners.withColumn(tag, F.explode(F.array_distinct(F.col(array_col)))) \
                     .filter(F.col(tag).isNotNull())
+    if not keep_array:
+        unwound = unwound.drop(array_col)
     return items.join(unwound, items[item_key] == unwound[tag], how).drop(tag)
 
 

@@ -322,7 +322,8 @@ def join_6_lookup(spark, sf):
 def join_7_lookup_array(spark, sf):
     cols = _cols(spark, sf)
     j = documents.lookup_in_array(cols["courses"], cols["students"], "_id", "enrolled_courses",
-                                  "enrolled_students", max_len=testmap.MAX_ARRAY)
+                                  "enrolled_students", max_len=testmap.MAX_ARRAY,
+                                  doc_cols=["_id", "student_name"])
     return j.select("_id", "_chunk", F.size("enrolled_students").cast("long").alias("n_students"),
                     sorted_join(F.col("enrolled_students._id")).alias("student_ids"))
 
