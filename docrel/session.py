@@ -52,8 +52,18 @@ def _conf_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting one only where none is set."""
-    sc = spark.sparkContext
+    """Return the shared checkpoint folder, setting one only where none is set.
+
+    On a Spark Connect session (no SparkContext on the client) the server's
+    ``spark.checkpoint.dir`` is used as is; it must be configured there.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: checkpointing is configured server-side
+        base = _conf_dir(spark)
+        if base is None:
+            raise RuntimeError("set spark.checkpoint.dir on the Spark Connect server")
+        return base
     current = sc.getCheckpointDir()
     if current:
         return _conf_dir(spark) or current
