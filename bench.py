@@ -21,6 +21,7 @@ from docrel import schemas  # noqa: E402
 from docrel.operators import documents, grouping, membership, sampling  # noqa: E402
 from docrel.operators.documents import heads  # noqa: E402
 from docrel.plans import layout, queries as Q, registry, testmap  # noqa: E402
+from docrel.plans.migration import migrate  # noqa: E402
 from docrel.session import get_session, scratch_path  # noqa: E402
 from docrel.sources import io, sinks  # noqa: E402
 
@@ -57,10 +58,10 @@ def main() -> None:
     paths = {k: f"{scratch}/{k}" for k in schemas.COLLECTIONS}
     index_path = f"{scratch}/enrolled_index"
 
-    def migrate():
-        sinks.refresh_all(testmap.collections(spark, sf_dir), paths)
+    def run_migration():
+        migrate(testmap.relational(testmap.load(spark, sf_dir)), scratch)
 
-    timed("q7_migrate", migrate)
+    timed("q7_migrate", run_migration)
     schemas_ = dict(schemas.COLLECTIONS, students=schemas.with_chunk(schemas.STUDENT_DOCS))
     cols = {k: io.read_collection(spark, p, schema=schemas_[k]) for k, p in paths.items()}
     timed("phy6_index_build", lambda: layout.write_inverted_index(

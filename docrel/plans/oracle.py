@@ -239,6 +239,9 @@ HAVING count(DISTINCT c._id) = n.need
     "q_6": Q6,
     "q_7": STUDENT_FLAT,
     "q_7_chunked": student_flat(R.SMALL_ARRAY),
+    "q_7_indexed": """
+SELECT course_id, student_id, (SELECT count(*) FROM students) AS n_students FROM edges
+""",
     "q_7_courses": COURSES_ALL,
     "q_7_roundtrip": "SELECT student_id, course_id, count(*) AS n FROM enrollments GROUP BY student_id, course_id",
     "src_1_collection": STUDENT_FLAT,

@@ -108,6 +108,18 @@ def q_7_chunked(spark, sf):
     return _flat_students(_cols(spark, sf, SMALL_ARRAY)["students"])
 
 
+def q_7_indexed(spark, sf):
+    """Q-7 with indexes: the written multikey index on enrolled_courses holds
+    exactly the distinct (course, student) pairs; the department-partitioned
+    copies hold every document."""
+    from docrel.plans.migration import migrate
+    paths = migrate(_rel(spark, sf), scratch_path(spark, "migrated"), with_indexes=True)
+    idx = spark.read.parquet(paths["students_by_course"])
+    by_dept = spark.read.parquet(paths["students_by_department"]).filter(F.col("_chunk") == 0)
+    n = by_dept.agg(F.count(F.lit(1)).alias("n_students"))
+    return idx.select("course_id", "student_id").crossJoin(F.broadcast(n))
+
+
 def q_7_courses(spark, sf):
     return _cols(spark, sf)["courses"]
 
