@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docrel.functions.arrays import is_subset
+from docrel.operators.grouping import reshuffled_agg
 
 
 def _g(group) -> list[str]:
@@ -49,8 +50,9 @@ def divide(dividend: DataFrame, divisor: DataFrame, entity: str, item: str, *,
     g = _g(group)
     need_items = divisor.select(*g, item).filter(F.col(item).isNotNull())
     if not unique_divisor:
-        need_items = need_items.distinct()
-    need = need_items.groupBy(*g).agg(F.count(F.lit(1)).alias("_need"))
+        need_items = reshuffled_agg(need_items, g + [item])  # distinct, re-shuffled for the join
+    need = (reshuffled_agg(need_items, g, F.count(F.lit(1)).alias("_need")) if g
+            else need_items.agg(F.count(F.lit(1)).alias("_need")))
     pairs = dividend.select(*g, entity, item).filter(F.col(entity).isNotNull())
     if not unique_pairs:
         pairs = pairs.distinct()

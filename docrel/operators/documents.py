@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docrel.functions.arrays import md5_int
+from docrel.operators.grouping import reshuffled_agg
 
 CHUNK = "_chunk"
 
@@ -38,8 +39,9 @@ def _chunk_arrays(pairs: DataFrame, max_len: int | None, sort: bool,
         return pairs.groupBy("_k").agg(agg.alias("_arr")).withColumn(CHUNK, F.lit(0))
     if max_len < 1:
         raise ValueError("max_len must be >= 1")
-    # per-key size and smallest hash key: partial aggregates, one row per key
-    stats = pairs.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_h").alias("_hmin"))
+    # per-key size and smallest hash key: partial aggregates, one row per key,
+    # re-shuffled for the join below so AQE can split a hot key's partition
+    stats = reshuffled_agg(pairs, ["_k"], F.count(F.lit(1)).alias("_n"), F.min("_h").alias("_hmin"))
     nch = F.ceil(F.col("_n") / F.lit(max_len)).cast("long")
     chunk = F.when((nch <= 1) | (F.col("_h") == F.col("_hmin")), F.lit(0).cast("long")) \
              .otherwise(F.pmod(md5_int(F.col("_h")), nch))

@@ -23,6 +23,23 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def reshuffled_agg(df: DataFrame, keys, *aggs: Column) -> DataFrame:
+    """``groupBy(keys).agg(*aggs)`` (or distinct ``keys`` without aggs) whose
+    result a later join on ``keys`` re-shuffles.
+
+    An aggregate joined straight on its own grouping keys is read without an
+    exchange; AQE can split a skewed join partition only when *both* join
+    inputs are shuffle stages.  Grouping on one struct column hides the hash
+    partitioning, so the small aggregate side is shuffled again and a hot key
+    on the other side can be split.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    g = df.groupBy(F.struct(*keys).alias("_gk"))
+    out = g.agg(*aggs) if aggs else g.count().drop("count")
+    return out.select(*[F.col(f"_gk.{k}").alias(k) for k in keys],
+                      *[c for c in out.columns if c != "_gk"])
+
+
 def count_per_group(df: DataFrame, keys, alias: str = "count") -> DataFrame:
     """AGG-1 — rows per group."""
     return df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias(alias))

@@ -184,3 +184,33 @@ def test_q2_plan_paths(cols):
     big = plan(Q.q2_mean_enrolment(cols, 2, broadcast_rows=0))
     # count-first: the per-course partial count sits below the semi join
     assert big.index("LeftSemi") < big.index("partial_count")
+
+
+def test_hot_parent_join_is_split_by_aqe(spark):
+    """A parent with a third of all children: the bucketing join must be a
+    skew-split sort-merge join, and the result stays whole."""
+    from docrel.operators.documents import embed
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        child = spark.range(120000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 2000 + 1).alias("k"),
+            (F.col("id") * 7 % 100003).alias("v"))
+        parent = spark.range(2001).select(F.col("id").alias("k"))
+        out = embed(parent, child, "k", "k", "v", "arr", max_len=1000)
+        res = out.groupBy((F.col("k") == 0).alias("hot")).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(F.size("arr")).alias("elems"))
+        assert sorted(tuple(r) for r in res.collect()) == [(False, 2000, 80000), (True, 40, 40000)]
+        assert "SortMergeJoin(skew=true)" in res._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
