@@ -166,7 +166,9 @@ def lookup_count(left: DataFrame, right: DataFrame, local: str, foreign: str, as
         keys = right.select(F.explode(F.array_distinct(F.col(foreign))).alias("_lk"))
     else:
         keys = right.select(F.col(foreign).alias("_lk"))
-    counts = keys.filter(F.col("_lk").isNotNull()).groupBy("_lk").agg(F.count(F.lit(1)).alias(as_))
+    # re-shuffled so a left key shared by many left rows can be split by AQE
+    counts = reshuffled_agg(keys.filter(F.col("_lk").isNotNull()), ["_lk"],
+                            F.count(F.lit(1)).alias(as_))
     out = left.join(counts, left[local] == counts["_lk"], "left").drop("_lk")
     return out.withColumn(as_, F.coalesce(F.col(as_), F.lit(0).cast("long")))
 
