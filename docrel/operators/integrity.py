@@ -155,8 +155,10 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str], id_col: str = "id", *,
     ensure_checkpoint_dir(spark)
     g = list(group_cols)
     keys = g + list(order_cols)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # without an explicit count AQE sizes the range partitions from the data
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions \
+        else df.repartitionByRange(*keys)
+    tagged = (ranged.sortWithinPartitions(*keys)
               .withColumn("_pos", F.monotonically_increasing_id()))
     frozen = tagged.checkpoint(eager=True)
     frozen = frozen.withColumn("_part", F.shiftright("_pos", _LOCAL_BITS)) \

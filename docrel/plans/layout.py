@@ -68,9 +68,10 @@ def write_layout(df: DataFrame, path: str, *, partition_by: Sequence[str] = (),
     that a hot directory value is still split over several writers."""
     out = df
     if cluster_by:
-        n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartitionByRange(n, *[*partition_by, *cluster_by]) \
-                 .sortWithinPartitions(*[*partition_by, *cluster_by])
+        keys = [*partition_by, *cluster_by]
+        # without num_files AQE sizes the range partitions (and so the files)
+        out = out.repartitionByRange(num_files, *keys) if num_files else out.repartitionByRange(*keys)
+        out = out.sortWithinPartitions(*keys)
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -101,11 +102,12 @@ def write_inverted_index(owners: DataFrame, owner_key: str, array_col: str, path
     whose item range excludes ``v``.
     """
     edges = membership_edges(owners, owner_key, array_col, owner_as=owner_as, item_as=item_as)
-    n = num_files or int(owners.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # range on (item, owner): files stay clustered by item, yet an item held by
-    # a third of all owners is spread over several writers instead of one
-    edges.repartitionByRange(n, item_as, owner_as).sortWithinPartitions(item_as, owner_as) \
-         .write.mode("overwrite").parquet(path)
+    # a third of all owners is spread over several writers instead of one;
+    # without num_files AQE sizes the range partitions (and so the files)
+    ranged = edges.repartitionByRange(num_files, item_as, owner_as) if num_files \
+        else edges.repartitionByRange(item_as, owner_as)
+    ranged.sortWithinPartitions(item_as, owner_as).write.mode("overwrite").parquet(path)
     return path
 
 
