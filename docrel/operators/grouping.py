@@ -112,7 +112,13 @@ def top_k_with_ties(df: DataFrame, value: str, k: int, *, descending: bool = Tru
 
 def top_k_per_group(df: DataFrame, group, by, k: int, tiebreak=None,
                     rank_as: str | None = None) -> DataFrame:
-    """ORD-3 per group — first ``k`` rows of each group in a total order."""
+    """ORD-3 per group — first ``k`` rows of each group in a total order.
+
+    Spark turns ``row_number() <= k`` into a window group limit that keeps k
+    rows per group in every map task before the shuffle, so a hot group sends
+    at most k rows per task.  That rewrite applies while k is within
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (default 1000).
+    """
     order = _cols(by) + (_cols(tiebreak) if tiebreak is not None else [])
     w = Window.partitionBy(*_cols(group)).orderBy(*order)
     rn = rank_as or "_rn"
