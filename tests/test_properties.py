@@ -123,3 +123,25 @@ def test_sampling_matches_python(spark, items, k, seed):
         its = sorted(by_g.get(g, []))
         want += [(e, its[p]) for p in py_sample(seed, e, len(its), k)]
     assert got == sorted(want)
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.integers(0, 6), max_size=8), min_size=1, max_size=25), st.integers(1, 4))
+def test_bucketed_lookup_in_array_matches_counts(spark, arrays, max_len):
+    owners = spark.createDataFrame([(i, a) for i, a in enumerate(arrays)], "_id long, arr array<long>")
+    items = spark.createDataFrame([(k,) for k in range(8)], "k long")
+    out = documents.lookup_in_array(items, owners, "k", "arr", "docs", max_len=max_len,
+                                    doc_cols=["_id"]).collect()
+    got = defaultdict(list)
+    heads = set()
+    for r in out:
+        got[r["k"]] += [d["_id"] for d in r["docs"]]
+        if r["_chunk"] == 0:
+            heads.add(r["k"])
+    assert heads == set(range(8))                       # one head row per item
+    for k in range(8):
+        want = sorted(i for i, a in enumerate(arrays) if k in a)
+        assert sorted(got[k]) == want                    # each owner once, none lost
+    counts = {r["k"]: r["n"] for r in documents.lookup_count(
+        items, owners, "k", "arr", "n", foreign_is_array=True).collect()}
+    assert counts == {k: len(got[k]) for k in range(8)}
