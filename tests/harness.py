@@ -65,8 +65,9 @@ def compare(spark, name: str, sf_dir: str, fn, sql: str, con=None) -> dict:
     scols, s = canon(df.columns, srows)
     dc, d = canon(dcols, drows)
     ok = scols == dc and s == d
+    plan = df._jdf.queryExecution().executedPlan().toString()
     info = {"name": name, "ok": ok, "spark_rows": len(srows), "oracle_rows": len(drows),
-            "spark_sec": round(t1 - t0, 2)}
+            "spark_sec": round(t1 - t0, 2), "cartesian": plan.count("CartesianProduct")}
     if scols != dc:
         info["columns"] = (scols, dc)
     elif not ok:
