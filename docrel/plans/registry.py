@@ -168,7 +168,8 @@ def snk_2_absent(spark, sf):
 
 
 def snk_2_stream(spark, sf):
-    """SNK-2 on a file stream: the batch arrives as files, one per micro-batch."""
+    """SNK-2 on a file stream: the batch (twice over) arrives as files read in
+    several micro-batches; the target ends as with the batch form."""
     s = _students(_cols(spark, sf)).select("_id", "student_name", "department_id")
     target = scratch_path(spark, "stream_target")
     source = scratch_path(spark, "stream_source")
