@@ -10,6 +10,9 @@ of the element, so every copy of a value sits in the same chunk (membership
 tests and de-duplication stay per row), and chunk 0 always holds the parent's
 smallest element, so each parent has exactly one chunk-0 "head" row.  Parents
 with at most ``max_len`` children get one row, chunk 0: the plain document.
+A value repeated more than ``max_len`` times for one parent keeps ``max_len``
+copies in its chunk; the rest go to overflow rows (negative ``_chunk``), so
+even one group of copies holding a third of all rows makes bounded rows.
 
 Lookups that only feed a count never build an array (``lookup_count``).
 """
@@ -27,34 +30,59 @@ from docrel.operators.grouping import reshuffled_agg
 CHUNK = "_chunk"
 
 
+OVERFLOW_PIECES = 1 << 20  # overflow chunk id = -(md5(value) * OVERFLOW_PIECES + piece)
+
+
 def _chunk_arrays(pairs: DataFrame, max_len: int | None, sort: bool,
                   null_safe: bool = False) -> DataFrame:
     """``pairs(_k, _v, _h)`` → ``(_k, _chunk, _arr)``: values of each key in
-    arrays of about ``max_len`` (``_h`` is what the chunk is hashed on)."""
+    arrays of about ``max_len`` (``_h`` is what the chunk is hashed on).
+
+    Copies of one value are counted first (partial aggregation collapses them
+    map-side); up to ``max_len`` copies go to the value's home chunk (>= 0),
+    further copies to overflow rows with negative ``_chunk`` of at most
+    ``max_len`` copies each.  Overflow rows only repeat values already present
+    in a home chunk, so membership readers skip them.
+    """
     pairs = pairs.filter(F.col("_v").isNotNull())
-    agg = F.collect_list("_v")
-    if sort:
-        agg = F.array_sort(agg)
     if max_len is None:
+        agg = F.collect_list("_v")
+        if sort:
+            agg = F.array_sort(agg)
         return pairs.groupBy("_k").agg(agg.alias("_arr")).withColumn(CHUNK, F.lit(0))
     if max_len < 1:
         raise ValueError("max_len must be >= 1")
+    m = F.lit(max_len)
+    counted = pairs.groupBy("_k", "_v", "_h").agg(F.count(F.lit(1)).alias("_c"))
+    home = F.least(F.col("_c"), m)
     # per-key size and smallest hash key: partial aggregates, one row per key,
     # re-shuffled for the join below so AQE can split a hot key's partition
-    stats = reshuffled_agg(pairs, ["_k"], F.count(F.lit(1)).alias("_n"), F.min("_h").alias("_hmin"))
-    nch = F.ceil(F.col("_n") / F.lit(max_len)).cast("long")
+    stats = reshuffled_agg(counted, ["_k"], F.sum(home).alias("_n"), F.min("_h").alias("_hmin"))
+    nch = F.ceil(F.col("_n") / m).cast("long")
     chunk = F.when((nch <= 1) | (F.col("_h") == F.col("_hmin")), F.lit(0).cast("long")) \
              .otherwise(F.pmod(md5_int(F.col("_h")), nch))
-    on = pairs["_k"].eqNullSafe(stats["_k"]) if null_safe else pairs["_k"] == stats["_k"]
-    tagged = pairs.join(stats, on).drop(stats["_k"]) \
-                  .select(F.struct("_k", chunk.alias(CHUNK)).alias("_ck"), "_v")
+    on = counted["_k"].eqNullSafe(stats["_k"]) if null_safe else counted["_k"] == stats["_k"]
+    tagged = counted.join(stats, on).drop(stats["_k"])
     # Grouping on one struct column, not on (_k, _chunk): the join's hash
     # partitioning on _k would otherwise satisfy the grouping, leaving a hot
     # key's join and aggregation in one task.  With the struct key, Spark puts
     # an exchange (preceded by a partial aggregate) after the join, so AQE can
     # split a skewed join partition.
-    out = tagged.groupBy("_ck").agg(agg.alias("_arr"))
-    return out.select(F.col("_ck._k").alias("_k"), F.col(f"_ck.{CHUNK}").alias(CHUNK), "_arr")
+    homes = tagged.select(F.struct("_k", chunk.alias(CHUNK)).alias("_ck"),
+                          F.array_repeat("_v", home.cast("int")).alias("_rep"))
+    arr = F.flatten(F.collect_list("_rep"))
+    if sort:
+        arr = F.array_sort(arr)
+    out = homes.groupBy("_ck").agg(arr.alias("_arr")) \
+               .select(F.col("_ck._k").alias("_k"), F.col(f"_ck.{CHUNK}").alias(CHUNK), "_arr")
+    pieces = F.explode(F.sequence(F.lit(1).cast("long"),
+                                  F.ceil((F.col("_c") - m) / m).cast("long")))
+    over = tagged.filter(F.col("_c") > m).select("_k", "_v", "_h", "_c", pieces.alias("_j"))
+    over = over.select(
+        "_k",
+        (-(md5_int(F.col("_h")) * F.lit(OVERFLOW_PIECES) + F.col("_j"))).alias(CHUNK),
+        F.array_repeat("_v", F.least(m, F.col("_c") - m * F.col("_j")).cast("int")).alias("_arr"))
+    return out.unionByName(over)
 
 
 def _attach(left: DataFrame, left_key: str, arrays: DataFrame, as_: str, *, fill_empty: bool,
@@ -69,6 +97,14 @@ def _attach(left: DataFrame, left_key: str, arrays: DataFrame, as_: str, *, fill
     return out.drop(CHUNK)
 
 
+def member_rows(df: DataFrame) -> DataFrame:
+    """Rows that carry membership: all rows, minus the overflow rows (negative
+    ``_chunk``) of a bucketed collection, which only repeat values."""
+    if CHUNK in df.columns:
+        return df.filter(F.col(CHUNK) >= 0)
+    return df
+
+
 def heads(df: DataFrame) -> DataFrame:
     """One row per document: the chunk-0 rows of a chunked collection (no-op
     on a collection without ``_chunk``)."""
@@ -148,6 +184,7 @@ def lookup_in_array(left: DataFrame, right: DataFrame, local: str, foreign_array
     entries is copied n times; pass ``doc_cols`` to copy only the fields needed
     (leaving out the array itself keeps the volume linear in the matches)."""
     h = chunk_by or right.columns[0]
+    right = member_rows(right)
     pairs = right.select(F.explode(F.array_distinct(F.col(foreign_array))).alias("_k"),
                          _docs(right, doc_cols).alias("_v"), F.col(h).alias("_h")) \
                  .filter(F.col("_k").isNotNull())
@@ -163,7 +200,7 @@ def lookup_count(left: DataFrame, right: DataFrame, local: str, foreign: str, as
     the left rows, so a hot key costs one pre-aggregated row.
     """
     if foreign_is_array:
-        keys = right.select(F.explode(F.array_distinct(F.col(foreign))).alias("_lk"))
+        keys = member_rows(right).select(F.explode(F.array_distinct(F.col(foreign))).alias("_lk"))
     else:
         keys = right.select(F.col(foreign).alias("_lk"))
     # re-shuffled so a left key shared by many left rows can be split by AQE

@@ -18,9 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _members(owners: DataFrame) -> DataFrame:
+    # overflow rows of a bucketed collection (negative _chunk) only repeat values
+    return owners.filter(F.col("_chunk") >= 0) if "_chunk" in owners.columns else owners
+
+
 def membership_filter(owners: DataFrame, array_col: str, value) -> DataFrame:
     """FLT-1 — owners whose array contains ``value``; NULL array -> no row."""
-    return owners.filter(F.coalesce(F.array_contains(F.col(array_col), F.lit(value)), F.lit(False)))
+    return _members(owners).filter(F.coalesce(F.array_contains(F.col(array_col), F.lit(value)), F.lit(False)))
 
 
 def membership_edges(owners: DataFrame, owner_key: str, array_col: str, *,
@@ -35,7 +40,7 @@ def membership_edges(owners: DataFrame, owner_key: str, array_col: str, *,
     arr = F.col(array_col)
     if distinct:
         arr = F.array_distinct(arr)
-    return (owners.select(F.col(owner_key).alias(owner_as), F.explode(arr).alias(item_as))
+    return (_members(owners).select(F.col(owner_key).alias(owner_as), F.explode(arr).alias(item_as))
             .filter(F.col(item_as).isNotNull()))
 
 
@@ -49,7 +54,7 @@ def membership_join(items: DataFrame, owners: DataFrame, item_key: str, array_co
     the fan-out.
     """
     tag = "_member_item"
-    unwound = owners.withColumn(tag, F.explode(F.array_distinct(F.col(array_col)))) \
+    unwound = _members(owners).withColumn(tag, F.explode(F.array_distinct(F.col(array_col)))) \
                     .filter(F.col(tag).isNotNull())
     if not keep_array:
         unwound = unwound.drop(array_col)

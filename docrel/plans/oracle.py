@@ -69,15 +69,24 @@ REGION_CASE = "CASE r.r_name " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in R.REGION_CODES.items()) + " END"
 
 def chunked(pairs: str, key: str, val: str, max_len: int) -> str:
-    """Rows ``(key, val, _chunk)`` of the bucket pattern over a pairs subquery:
-    chunk 0 if the key has at most ``max_len`` values or for its smallest value,
-    else md5(value) mod ceil(n / max_len)."""
-    nch = f"CAST(ceil(st.n / {max_len}) AS BIGINT)"
+    """Rows ``(key, val, _chunk)`` of the bucket pattern over a pairs subquery.
+    The first ``max_len`` copies of a value go to its home chunk: 0 if the key
+    has at most ``max_len`` home copies in all or for its smallest value, else
+    md5(value) mod ceil(n / max_len); copy r > max_len goes to overflow chunk
+    -(md5(value) * 2^20 + (r - 1) // max_len)."""
+    m = max_len
+    nch = f"CAST(ceil(st.n / {m}) AS BIGINT)"
+    h = md5i("p." + val)
     return f"""(
   SELECT p.{key}, p.{val},
-         CASE WHEN {nch} <= 1 OR p.{val} = st.hmin THEN 0 ELSE {md5i('p.' + val)} % {nch} END AS _chunk
-  FROM ({pairs}) p
-  JOIN (SELECT {key}, count(*) AS n, min({val}) AS hmin FROM ({pairs}) q GROUP BY {key}) st
+         CASE WHEN p._rn > {m} THEN -({h} * {1 << 20} + (p._rn - 1) // {m})
+              WHEN {nch} <= 1 OR p.{val} = st.hmin THEN 0
+              ELSE {h} % {nch} END AS _chunk
+  FROM (SELECT {key}, {val}, row_number() OVER (PARTITION BY {key}, {val}) AS _rn
+        FROM ({pairs}) q0) p
+  JOIN (SELECT {key}, sum(least(c, {m})) AS n, min({val}) AS hmin
+        FROM (SELECT {key}, {val}, count(*) AS c FROM ({pairs}) q GROUP BY {key}, {val}) q1
+        GROUP BY {key}) st
     ON st.{key} = p.{key})"""
 
 
@@ -239,6 +248,7 @@ HAVING count(DISTINCT c._id) = n.need
     "q_6": Q6,
     "q_7": STUDENT_FLAT,
     "q_7_chunked": student_flat(R.SMALL_ARRAY),
+    "q_7_overflow": student_flat(R.TINY_ARRAY),
     "q_7_indexed": """
 SELECT course_id, student_id, (SELECT count(*) FROM students) AS n_students FROM edges
 """,

@@ -36,6 +36,7 @@ GRID_SLOTS = (4, 6)
 GRID_YEARS = (2020, 2021, 2022)
 DIVISION_MIN_QTY = 40
 SMALL_ARRAY = 4  # q_7_chunked: bucket size small enough to split students here
+TINY_ARRAY = 1   # q_7_overflow: repeated enrolments spill into overflow rows
 REGION_CODES = {"AFRICA": "AF", "AMERICA": "AM", "ASIA": "AS", "EUROPE": "EU", "MIDDLE EAST": "ME"}
 
 
@@ -120,6 +121,12 @@ def q_7_indexed(spark, sf):
     return idx.select("course_id", "student_id").crossJoin(F.broadcast(n))
 
 
+def q_7_overflow(spark, sf):
+    """Q-7 with a bucket of one: every repeated enrolment goes to an overflow
+    row (negative ``_chunk``)."""
+    return _flat_students(_cols(spark, sf, TINY_ARRAY)["students"])
+
+
 def q_7_courses(spark, sf):
     return _cols(spark, sf)["courses"]
 

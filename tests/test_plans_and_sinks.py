@@ -186,6 +186,22 @@ def test_q2_plan_paths(cols):
     assert big.index("LeftSemi") < big.index("partial_count")
 
 
+def test_hot_copies_make_bounded_rows(spark):
+    """One (parent, value) pair repeated far beyond the bucket size: home row
+    plus overflow rows of at most max_len copies; membership sees it once."""
+    from docrel.operators.documents import embed
+    child = spark.range(25000).select(F.lit(1).cast("long").alias("k"),
+                                      F.when(F.col("id") < 20000, F.lit(7)).otherwise(F.col("id")).alias("v"))
+    parent = spark.createDataFrame([(1,)], "k long")
+    rows = embed(parent, child, "k", "k", "v", "arr", max_len=1000).collect()
+    assert max(len(r["arr"]) for r in rows) <= 2000
+    assert sum(r["arr"].count(7) for r in rows) == 20000 and sum(len(r["arr"]) for r in rows) == 25000
+    assert [r["_chunk"] for r in rows if 7 in r["arr"] and r["_chunk"] >= 0].__len__() == 1
+    edges = membership.membership_edges(
+        embed(parent, child, "k", "k", "v", "arr", max_len=1000), "k", "arr")
+    assert edges.count() == 5001
+
+
 def test_hot_parent_join_is_split_by_aqe(spark):
     """A parent with a third of all children: the bucketing join must be a
     skew-split sort-merge join, and the result stays whole."""
@@ -199,14 +215,14 @@ def test_hot_parent_join_is_split_by_aqe(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        child = spark.range(120000).select(
-            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 2000 + 1).alias("k"),
+        child = spark.range(300000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000 + 1).alias("k"),
             (F.col("id") * 7 % 100003).alias("v"))
-        parent = spark.range(2001).select(F.col("id").alias("k"))
+        parent = spark.range(5001).select(F.col("id").alias("k"))
         out = embed(parent, child, "k", "k", "v", "arr", max_len=1000)
         res = out.groupBy((F.col("k") == 0).alias("hot")).agg(
             F.count(F.lit(1)).alias("rows"), F.sum(F.size("arr")).alias("elems"))
-        assert sorted(tuple(r) for r in res.collect()) == [(False, 2000, 80000), (True, 40, 40000)]
+        assert sorted(tuple(r) for r in res.collect()) == [(False, 5000, 200000), (True, 100, 100000)]
         assert "SortMergeJoin(skew=true)" in res._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():

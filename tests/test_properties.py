@@ -62,8 +62,14 @@ def test_bucketed_embed_invariants(spark, children, max_len):
         assert 0 in chunks[k]                                    # one head row per parent
         if vals:
             assert min(vals) in chunks[k][0]
-            for v in set(vals):                                  # all copies in one chunk
-                assert sum(v in (a or []) for a in chunks[k].values()) == 1
+            home = {c: a for c, a in chunks[k].items() if c >= 0}
+            over = {c: a for c, a in chunks[k].items() if c < 0}
+            for v in set(vals):                                  # one home row per value
+                assert sum(v in a for a in home.values()) == 1
+                assert max(a.count(v) for a in home.values()) == min(max_len, vals.count(v))
+            for a in over.values():                              # overflow: bounded repeats
+                assert 0 < len(a) <= max_len and len(set(a)) == 1
+                assert any(a[0] in h for h in home.values())
         else:
             assert chunks[k] == {0: None}
 
