@@ -41,6 +41,10 @@ COMMENTARY = """## Reading these plans at 100 TB
 * **Q-6** counts edges per course with map-side combine (a hot course is reduced in every map
   task), joins one row per course, and keeps 10 rows per task (`TakeOrderedAndProject`).
 * **Per-group top-k** trims each group to k rows before its shuffle (`WindowGroupLimit Partial`).
+* **Q-7 students** (the bucketed embed): copies are counted per (student, course) first (partial
+  aggregate), per-student sizes are re-shuffled before they meet the counts (both join sides are
+  shuffle stages, so AQE can split a hot student), and chunks are grouped on one struct key so
+  an exchange with a partial `collect_list` follows the join; no row exceeds the bucket size.
 
 At this scale factor AQE broadcasts most small sides at run time; at 100 TB the same plans keep
 their shape with sort-merge joins on unique keys wherever a side outgrows the threshold. No plan
@@ -95,6 +99,7 @@ def main(argv):
         "Q-5 teaches all core courses (division)": Q.q5_instructors_teaching_all_core(cols, 1),
         "Q-5 grouped by department": Q.q5_grouped(cols),
         "Q-6 top-10 courses": Q.q6_top_courses(cols, 10),
+        "Q-7 students collection (bucketed embed, from the raw tables)": built["students"],
         "ORD-3 top-3 per department": registry.grouping.top_k_per_group(
             cols["courses"].join(counts, F.col("_id") == F.col("course_id")), "department_id",
             F.col("n").desc(), 3, F.col("_id")),
