@@ -230,3 +230,16 @@ def test_hot_parent_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_indexed_migration_prunes_by_department(spark):
+    from docrel.plans import migration
+    rel = testmap.relational(testmap.load(spark, SF))
+    paths = migration.migrate(rel, scratch_path(spark, "mig"), with_indexes=True)
+    c = spark.read.parquet(paths["courses_by_department"]).filter(F.col("department_id") == 3)
+    p = c._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(department_id" in p and "= 3)" in p
+    assert c.count() == spark.read.parquet(paths["courses"]).filter("department_id = 3").count()
+    idx = layout.index_lookup(spark, paths["students_by_course"], 15, item_as="course_id",
+                              owner_as="student_id")
+    assert "EqualTo(course_id,15)" in plan(idx)
