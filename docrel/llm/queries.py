@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from docrel.llm import (exact_dedup, langid, mixing, packing, quality, secret_scan, simhash)
+from docrel.llm import (exact_dedup, langid, mixing, order_minhash, packing, quality, secret_scan,
+                        simhash, surrogates, token_counts)
 from docrel.llm.common import documents
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash of every document, its edited text and the next document."""
+    return order_minhash.edited_report(documents(spark, sf_dir))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cost-balanced packing of all documents into sequences of 2048 tokens."""
     return packing.pieces(documents(spark, sf_dir))
@@ -24,6 +29,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.membership(documents(spark, sf_dir))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after edits, by segment trees."""
+    return token_counts.report(documents(spark, sf_dir))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by error-correcting output codes."""
     return langid.identified(documents(spark, sf_dir))
@@ -34,6 +44,15 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(documents(spark, sf_dir))
 
 
+#: Key of the surrogates that the query draws; a deployment passes its own secret.
+SURROGATE_KEY = "public-demonstration-key"
+
+
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by surrogates."""
+    return surrogates.scrubbed(documents(spark, sf_dir), SURROGATE_KEY)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by class dictionaries."""
     docs = documents(spark, sf_dir)
@@ -46,7 +65,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_packing, op3_mixing, op4_exact_dedup, op6_langid, op7_secrets,
+    return {f.__name__: f for f in (op1_order_minhash, op2_packing, op3_mixing, op4_exact_dedup,
+                                    op5_token_counts, op6_langid, op7_secrets, op8_surrogates,
                                     op9_quality, op10_simhash)}
 
 
