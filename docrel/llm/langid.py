@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docrel.llm.common import fresh, stored
+from docrel.llm.common import fresh
 
 UNDETERMINED = "und"
 #: Bound of the training sample: documents of a language, about.
@@ -231,17 +231,18 @@ def _weigh(model: Model, rows: DataFrame) -> None:
 
 
 def predict(df: DataFrame, model: Model, cols: list[str], text_col: str = "text") -> DataFrame:
-    """``cols`` and lang_pred, score, second (the next nearest language), ambiguous.
+    """``cols`` and lang_pred, score, second (the next nearest language), ambiguous;
+    these names are lengthened where ``cols`` has them.
 
     Without a letter (or null): ``und``, score 0, no second.  If no language was
     learned every text is ``und``.
     """
-    src = df.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias(fresh(df, "langid_text")))
-    schema = src.select(*[F.col(f"`{c}`") for c in cols], F.lit("").alias("lang_pred"),
-                        F.lit(0.0).alias("score"), F.lit("").alias("second"),
-                        F.lit(False).alias("ambiguous")).schema
-    for name in ("lang_pred", "score", "second", "ambiguous"):
-        schema[name].nullable = True
+    own = [F.col(f"`{c}`") for c in cols]
+    src = df.select(*own, F.col(text_col).alias(fresh(df, "langid_text")))
+    schema = df.select(*own).schema
+    kinds = (("lang_pred", "string"), ("score", "double"), ("second", "string"), ("ambiguous", "boolean"))
+    for name, kind in kinds:
+        schema = schema.add(fresh(src, name), kind)
     held = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +277,7 @@ def identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     an empty table gives none.
     """
     model = train(df, lang_col, id_col, text_col)
-    out = predict(df, model, [id_col], text_col)
+    out = predict(df.select(id_col, text_col), model, [id_col], text_col)
     return out.select(id_col, F.coalesce(_held_out(id_col), F.lit(True)).alias("held_out"),
                       "lang_pred", "score", "second", "ambiguous")
 
@@ -287,10 +288,9 @@ def accepted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     model = train(df, lang_col, id_col, text_col)
     cols = list(df.columns)
     got = predict(df, model, cols, text_col)
-    return got.toDF(*cols, *[fresh(df, f"langid_{i}") for i in range(4)]) \
-              .filter(F.col(fresh(df, "langid_0")) != UNDETERMINED) \
-              .filter(F.col(fresh(df, "langid_1")) > least) \
+    lang, score = got.columns[len(cols):len(cols) + 2]
+    return got.filter((F.col(lang) != UNDETERMINED) & (F.col(score) > least)) \
               .select(*[F.col(f"`{c}`") for c in cols])
 
 
-__all__ = ["accepted", "codewords", "identified", "ngram_counts", "predict", "stored", "train"]
+__all__ = ["accepted", "codewords", "identified", "ngram_counts", "predict", "train"]

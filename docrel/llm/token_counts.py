@@ -3,10 +3,10 @@
 Each document keeps a segment tree over its pre-tokens: a leaf covers a run of
 ``LEAF_WORDS`` words and starts at a word, an inner node holds the sum of its
 children.  The tokenizer never joins words, so the counts of leaves add up to the
-document's, and an edit changes only the leaves that it touches and, as it may
-join words over a leaf's end, the leaf before and after.  Those are encoded
-anew as one region and the sums above them are brought up to date; the rest of
-the text is not encoded again.
+document's, and an edit changes only the leaves that it touches and, where it may
+join words over a leaf's end, the leaves beside them.  Those are encoded anew as
+one region and the sums above them are brought up to date; the rest of the text
+is not encoded again.
 
 Trees are a table of their own: (id, tie, starts, tree).  ``starts`` are the code
 point offsets of the leaves, ``tree`` the nodes: node 1 is the root, the children
@@ -29,6 +29,7 @@ from docrel.llm.tokens import WordTokens, default_path
 LEAF_WORDS = 64
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
 
 
 def leaf_starts(text: str, leaf_words: int = LEAF_WORDS) -> list[int]:
@@ -75,9 +76,15 @@ def edit(text: str, starts: np.ndarray, tree: np.ndarray, at: int, length: int,
     """
     at = max(0, min(at, len(text)))
     length = max(0, min(length, len(text) - at))
-    # with the leaf before and the leaf after: words may join over their ends
-    first = max(0, int(np.searchsorted(starts, at, "right")) - 2)
-    last = min(len(starts) - 1, int(np.searchsorted(starts, at + length, "right")))
+    spaced = lambda i: bool(_SPACE.match(text, i - 1))
+    # from the leaf's start, if a space before it still parts its first word from the last leaf
+    first = int(np.searchsorted(starts, at, "right")) - 1
+    while first and not spaced(int(starts[first])):
+        first -= 1
+    # to the next leaf's start, if a space before it is left
+    last = int(np.searchsorted(starts, at + length, "right")) - 1
+    while last + 1 < len(starts) and not (starts[last + 1] > at + length and spaced(int(starts[last + 1]))):
+        last += 1
     begin = int(starts[first])
     end = int(starts[last + 1]) if last + 1 < len(starts) else len(text)
     region = text[begin:at] + new + text[at + length:end]
