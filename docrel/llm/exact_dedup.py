@@ -51,9 +51,11 @@ def frequent(df: DataFrame, col: str, tracked: int = TRACKED,
     """Values of the long column that may be frequent; at most ``candidates``."""
     part = df.groupBy((F.spark_partition_id() % MERGE_FAN).alias("fan")).agg(
         F.expr(f"approx_top_k_accumulate(`{col}`, {tracked})").alias("s"))
-    row = part.agg(F.expr(
-        f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {candidates})").alias("t")).first()
-    return sorted(x["item"] for x in row["t"] or [] if x["item"] is not None and x["count"] > 1)
+    # grouped by a constant: merging summaries fails in Spark where a task has none
+    merged = part.groupBy(F.lit("all").alias("all")).agg(F.expr(
+        f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {min(candidates, tracked)})").alias("t")).collect()
+    return sorted(x["item"] for row in merged for x in row["t"] or []
+                  if x["item"] is not None and x["count"] > 1)
 
 
 def _in(col: str, values: list[int]) -> Column:
