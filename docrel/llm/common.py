@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,9 +43,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, so that what a task makes of one stays small."""
+    for b in batches:
+        for i in range(0, len(b), rows):
+            yield b.slice(i, rows)
 
 
 __all__ = ["SPACES", "WORD", "documents", "ensure_checkpoint_dir", "fresh", "scratch_path",
-           "shuffle_partitions", "stored", "text_of"]
+           "slices", "stored", "text_of"]

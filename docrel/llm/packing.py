@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docrel.llm.common import fresh
+from docrel.llm.common import fresh, slices
 from docrel.llm.tokens import WordTokens, default_path
 
 SEQUENCE = 2048
@@ -104,7 +104,7 @@ def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokens(path)
-        for b in batches:
+        for b in slices(batches):
             doc, start, length, crcs, tokens, rest = [], [], [], [], [], []
             for i, text in enumerate(b.column(1)):
                 ids = np.append(words.ids(text.as_py()), np.uint32(end_id))

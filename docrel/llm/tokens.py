@@ -16,7 +16,7 @@ import re
 import numpy as np
 
 #: The cache starts anew when it holds so many pieces or characters of pieces.
-MAX_PIECES = 400_000
+MAX_PIECES = 150_000
 MAX_CHARS = 8 << 20
 
 # How the tokenizer file cuts a lower-case text, for the characters of Latin-1.
