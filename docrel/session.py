@@ -1,8 +1,9 @@
 """Session helpers.
 
 The library never assumes a local disk: lineage cuts and scratch output go to the
-folder the cluster names in ``spark.checkpoint.dir``.  Only when that setting is
-absent (tests, a laptop) do we fall back to a private temporary folder.
+folder the cluster names in ``spark.checkpoint.dir``.  Only a ``local`` master without
+that setting (tests, a laptop) gets a private temporary folder; a cluster without
+it is an error, as its executors could not read each other's files there.
 """
 
 from __future__ import annotations
@@ -69,7 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return _conf_dir(spark) or current
     base = _conf_dir(spark)
     if base is None:
-        # No cluster folder configured: we are in a test or on one machine.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="docrel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     sc.setCheckpointDir(base)
@@ -77,6 +79,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for intermediate tables."""
+    """A fresh path under the shared checkpoint folder for intermediate tables;
+    it is dropped when the session's JVM ends (or by :func:`drop_scratch`)."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "docrel-scratch", uuid.uuid4().hex, name)
+    folder = os.path.join(base, "docrel-scratch", uuid.uuid4().hex)
+    fs, path = _hadoop(spark, folder)
+    if fs is not None:
+        fs.deleteOnExit(path)
+    return os.path.join(folder, name)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Drop the folder of a :func:`scratch_path` that is no longer read."""
+    fs, folder = _hadoop(spark, os.path.dirname(path))
+    if fs is not None:
+        fs.delete(folder, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """File system and path object, or (None, None) on a Spark Connect session."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:
+        return None, None
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf), p

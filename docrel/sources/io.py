@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+FILE_FORMATS = ("parquet", "json", "orc", "csv", "text")
+
+
 def read_collection(spark: SparkSession, path_or_name: str, *, fmt: str = "parquet",
                     schema: T.StructType | None = None, **options) -> DataFrame:
     """SRC-1 — a document collection as a DataFrame with nested fields.
@@ -23,7 +26,7 @@ def read_collection(spark: SparkSession, path_or_name: str, *, fmt: str = "parqu
     r = spark.read.format(fmt).options(**{k: str(v) for k, v in options.items()})
     if schema is not None:
         r = r.schema(schema)
-    if fmt in ("parquet", "json", "orc", "csv", "text"):
+    if fmt in FILE_FORMATS:
         return r.load(path_or_name)
     return r.load()
 
@@ -38,6 +41,16 @@ def keyed_split_options(column: str, lower: int, upper: int, num_partitions: int
             "numPartitions": str(num_partitions)}
 
 
+def connector_split_options(partitioner: str, key: str, num_partitions: int) -> dict:
+    """SRC-2 — options that split a document-store read on ``key`` into
+    ``num_partitions`` parts by the connector's ``partitioner``; pass them to
+    :func:`read_collection`.  (Fixed values: the connector's option names.)"""
+    if num_partitions < 1:
+        raise ValueError("need num_partitions >= 1")
+    return {"partitioner": partitioner, "partitionerOptions.partitionKey": key,
+            "partitionerOptions.numberOfPartitions": str(num_partitions)}
+
+
 def read_table(spark: SparkSession, path_or_table: str, *, fmt: str = "parquet",
                schema: T.StructType | None = None, columns: list[str] | None = None,
                split: dict | None = None, **options) -> DataFrame:
@@ -51,6 +64,8 @@ def read_table(spark: SparkSession, path_or_table: str, *, fmt: str = "parquet",
     """
     r = spark.read.format(fmt)
     opts = dict(options)
+    if split and fmt in FILE_FORMATS:
+        raise ValueError("a keyed split needs a store that can run range queries")
     if fmt == "jdbc":
         opts["dbtable"] = path_or_table
         opts.update(split or {})

@@ -16,15 +16,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docrel.operators.grouping import first_per_key
+from docrel.sources.io import FILE_FORMATS
 
 
-def refresh(df: DataFrame, path: str, *, fmt: str = "parquet", partition_by=None,
+def refresh(df: DataFrame, path_or_name: str | None = None, *, fmt: str = "parquet", partition_by=None,
             **options) -> None:
-    """SNK-1 — drop-and-reload: the target holds exactly ``df`` afterwards."""
-    w = df.write.mode("overwrite").format(fmt).options(**options)
+    """SNK-1 — drop-and-reload: the target holds exactly ``df`` afterwards.
+
+    File formats write to the path.  Other formats (JDBC, a document-store
+    connector) are addressed by their options: for ``jdbc`` the name is the
+    ``dbtable``, for a connector nothing but the options says where to write.
+    """
+    if fmt == "jdbc" and path_or_name:
+        options["dbtable"] = path_or_name
+    w = df.write.mode("overwrite").format(fmt).options(**{k: str(v) for k, v in options.items()})
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    w.save(path)
+    w.save(path_or_name if fmt in FILE_FORMATS else None)
 
 
 def refresh_all(tables: dict[str, DataFrame], paths: dict[str, str], *, fmt: str = "parquet",
@@ -64,17 +72,17 @@ def set_fields(target: DataFrame, updates: DataFrame, key: str, fields: Sequence
     """SNK-3 — ``update_one({key: k}, {"$set": {...}})`` for every update row.
 
     Matched rows take the update's values for ``fields``; unmatched target rows
-    are untouched; updates without a target row are dropped (no upsert).
-    ``updates`` should hold one row per key; with ``order`` given, several
-    updates of one key are reduced to the first in that order (otherwise
-    duplicate keys would duplicate target rows).
+    are untouched; updates without a target row are dropped (no upsert).  Several
+    updates of one key act as successive ``$set``s: the last in ``order`` (make it
+    total; NULLs come first) wins.  Without ``order`` a repeated key fails the job.
     """
-    if order:
-        updates = first_per_key(updates.select(key, *fields, *[o for o in order if o not in fields
-                                                                and o != key]),
-                                [key], list(order))
-    u = updates.select(F.col(key).alias("_uk"), F.lit(True).alias("_hit"),
-                       *[F.col(f).alias(f"_u_{f}") for f in fields])
+    values = F.struct(*[F.col(f).alias(f"_u_{f}") for f in fields])
+    pick = F.max_by(values, F.struct(*order)) if order else \
+        F.when(F.count(F.lit(1)) == 1, F.first(values)).otherwise(
+            F.raise_error(F.concat(F.lit("several updates without an order for key "),
+                                   F.first(F.col(key).cast("string")))))
+    u = updates.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_uk")).agg(pick.alias("_u")) \
+               .select("_uk", F.lit(True).alias("_hit"), "_u.*")
     j = target.join(u, target[key] == u["_uk"], "left")
     cols = []
     for c in target.columns:
@@ -93,11 +101,31 @@ def write_versioned(df: DataFrame, out_path: str, *, fmt: str = "parquet") -> st
     return out_path
 
 
+#: How CSV files are written and read: every string is quoted, a quote in it
+#: doubled, and an unquoted mark stands for NULL, so that line breaks, quotes, empty
+#: strings and NULLs come back as they were.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "lineSep": "\n", "emptyValue": "",
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+CSV_NULL = "\\N"
+
+
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """SNK-4 — CSV with a header line, no index column, one part file per task."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """SNK-4 — CSV with a header line, no index column, one part file per task.
+
+    NULL is written as ``\\N``; a string that is just that mark fails the job, as
+    it could not be told from NULL.
+    """
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            c = F.when(c == CSV_NULL, F.raise_error(F.lit(f"{f.name} holds the mark of NULL"))).otherwise(c)
+        cols.append(c.alias(f.name))
+    df.select(*cols).write.mode(mode).options(**CSV_OPTIONS, nullValue=CSV_NULL, quoteAll=True).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read back what :func:`write_csv` wrote, with a declared schema."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+    """Read back what :func:`write_csv` wrote, with a declared schema; a row that
+    does not fit it fails the job."""
+    return spark.read.options(**CSV_OPTIONS, nullValue=CSV_NULL, multiLine=True, mode="FAILFAST") \
+                .schema(schema).csv(path)

@@ -14,47 +14,63 @@ from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docrel.operators.grouping import first_per_key
 from docrel.session import scratch_path
 
 
-def _present_keys(spark, path: str, fmt: str, keys: list[str]) -> DataFrame | None:
+def _table(spark, path: str, fmt: str) -> DataFrame | None:
+    """The target, or None if there is none yet; any other failure is raised."""
     try:
-        return spark.read.format(fmt).load(path).select(*keys)
-    except AnalysisException:  # no table yet: the first batch creates it
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
 def append_absent_batch(target_path: str, keys: Sequence[str], *, order: Sequence[str] | None = None,
-                        fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+                        fmt: str = "parquet", partition_by: str | None = None
+                        ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function appending the rows of each micro-batch whose
-    key is not yet in the table at ``target_path``."""
+    key is not yet in the table at ``target_path``.
+
+    ``partition_by`` names one of the keys (a date, a hash bucket) that the target
+    is partitioned by: a micro-batch then reads only the partitions it touches.
+    """
     keys = list(keys)
+    if partition_by is not None and partition_by not in keys:
+        raise ValueError("partition_by must be one of the keys")
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         rest = [c for c in batch.columns if c not in keys]
         fresh = first_per_key(batch, keys, list(order) if order else rest).select(*batch.columns) \
             if rest else batch.dropDuplicates(keys)
-        present = _present_keys(spark, target_path, fmt, keys)
+        present = _table(spark, target_path, fmt)
         if present is not None:
-            fresh = fresh.join(present, keys, "left_anti")
-        fresh.write.mode("append").format(fmt).save(target_path)
+            if partition_by is not None:  # a value for each partition of the batch
+                touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
+                present = present.filter(F.col(partition_by).isin(touched))
+            fresh = fresh.join(present.select(*keys), keys, "left_anti")
+        w = fresh.write.mode("append").format(fmt)
+        (w.partitionBy(partition_by) if partition_by else w).save(target_path)
 
     return run
 
 
 def stream_append_if_absent(source: DataFrame, target_path: str, keys: Sequence[str], *,
                             checkpoint: str | None = None, order: Sequence[str] | None = None,
-                            available_now: bool = True, fmt: str = "parquet") -> StreamingQuery:
+                            available_now: bool = True, fmt: str = "parquet",
+                            partition_by: str | None = None) -> StreamingQuery:
     """Start a streaming query that feeds ``source`` (a streaming DataFrame)
     into ``target_path`` with insert-if-absent semantics.  The checkpoint goes
     to the shared checkpoint folder unless given."""
     ckpt = checkpoint or scratch_path(source.sparkSession, "stream-ckpt")
-    w = source.writeStream.foreachBatch(append_absent_batch(target_path, keys, order=order, fmt=fmt)) \
-        .option("checkpointLocation", ckpt)
+    sink = append_absent_batch(target_path, keys, order=order, fmt=fmt, partition_by=partition_by)
+    w = source.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
     if available_now:
         w = w.trigger(availableNow=True)
     return w.start()
