@@ -19,11 +19,10 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from docrel import schemas  # noqa: E402
 from docrel.operators import documents, grouping, membership, sampling  # noqa: E402
-from docrel.operators.documents import heads  # noqa: E402
 from docrel.plans import layout, queries as Q, registry, testmap  # noqa: E402
-from docrel.plans.migration import migrate  # noqa: E402
+from docrel.plans.migration import migrate, read_migrated  # noqa: E402
 from docrel.session import get_session, scratch_path  # noqa: E402
-from docrel.sources import io, sinks  # noqa: E402
+from docrel.sources import sinks  # noqa: E402
 
 
 def force(df) -> None:
@@ -62,15 +61,14 @@ def main() -> None:
         migrate(testmap.relational(testmap.load(spark, sf_dir)), scratch)
 
     timed("q7_migrate", run_migration)
-    schemas_ = dict(schemas.COLLECTIONS, students=schemas.with_chunk(schemas.STUDENT_DOCS))
-    cols = {k: io.read_collection(spark, p, schema=schemas_[k]) for k, p in paths.items()}
+    cols = read_migrated(spark, paths)
     timed("phy6_index_build", lambda: layout.write_inverted_index(
-        cols["students"], "_id", "enrolled_courses", index_path,
+        cols["enrolled"], "_id", "enrolled_courses", index_path,
         item_as="course_id", owner_as="student_id"))
 
     timed("q1", lambda: force(Q.q1_students_in_course(cols, registry.COURSE_Q1)))
     timed("q1_indexed", lambda: force(
-        heads(cols["students"]).join(layout.index_lookup(spark, index_path, registry.COURSE_Q1,
+        cols["students"].join(layout.index_lookup(spark, index_path, registry.COURSE_Q1,
                                                   item_as="course_id", owner_as="student_id"),
                               F.col("_id") == F.col("student_id"), "left_semi")
         .select("student_name", "student_email")))
@@ -82,15 +80,15 @@ def main() -> None:
     timed("q6", lambda: force(Q.q6_top_courses(cols, 10)))
 
     # operators over the stored collections
-    students = heads(cols["students"])
-    counts = membership.membership_counts(cols["students"], "_id", "enrolled_courses",
+    students = cols["students"]
+    counts = membership.membership_counts(cols["enrolled"], "_id", "enrolled_courses",
                                           item_as="course_id", count_as="n")
     timed("win_1_sample", lambda: force(sampling.sample_per_entity(
         students.select(F.col("_id").alias("student_id"), "department_id"),
         cols["courses"].select("department_id", F.col("_id").alias("course_id")),
         "student_id", "department_id", "course_id", registry.SAMPLE_K, registry.SEED)))
     timed("join_7_count", lambda: force(documents.lookup_count(
-        cols["courses"], cols["students"], "_id", "enrolled_courses", "n", foreign_is_array=True)))
+        cols["courses"], cols["enrolled"], "_id", "enrolled_courses", "n", foreign_is_array=True)))
     timed("agg_4_zero_mean", lambda: force(
         membership.counts_for_items(cols["courses"].filter(F.col("instructor_id").isNotNull()),
                                     "_id", counts, "course_id", "n", include_empty=True)

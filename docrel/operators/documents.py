@@ -1,18 +1,18 @@
 """Documents ⇄ tables: AGG-6 embed, JOIN-5 fold, JOIN-6..9 lookups, FLT-4,
 PRJ-3/4, and the Q-7 migration (``build_collections``) with its inverse.
 
-Array-building forms (``embed``, ``lookup``, ``lookup_in_array``) collect a
-parent's children into an array.  With ``max_len`` set they follow the bucket
-pattern: a parent with more than ``max_len`` children becomes several rows
-(``_chunk`` 0, 1, ...) of at most about ``max_len`` elements each, so no row —
-and no aggregation group — grows with the data.  Chunks are chosen by a hash
-of the element, so every copy of a value sits in the same chunk (membership
-tests and de-duplication stay per row), and chunk 0 always holds the parent's
-smallest element, so each parent has exactly one chunk-0 "head" row.  Parents
-with at most ``max_len`` children get one row, chunk 0: the plain document.
-A value repeated more than ``max_len`` times for one parent keeps ``max_len``
-copies in its chunk; the rest go to overflow rows (negative ``_chunk``), so
-even one group of copies holding a third of all rows makes bounded rows.
+A collection has one row per document, always.  An array that grows with the
+data (a student's courses, a lookup's matches) is kept in a *side collection*
+``(key, _chunk, array)`` of arrays of bounded length, as the bucket pattern does
+in document stores; only functions on that array read it, so no answer depends
+on the bucket size and nothing else pays for the array.
+
+Chunks are chosen by a hash of the element, so every copy of a value sits in the
+same chunk (membership tests and de-duplication stay per row).  A key with at
+most ``max_len`` elements has one row, chunk 0.  A value repeated more than
+``max_len`` times for one key keeps ``max_len`` copies in its chunk; the rest go
+to overflow rows (negative ``_chunk``), so even one group of copies holding a
+third of all rows makes bounded rows.
 
 Lookups that only feed a count never build an array (``lookup_count``).
 """
@@ -28,12 +28,13 @@ from docrel.functions.arrays import md5_int
 from docrel.operators.grouping import reshuffled_agg
 
 CHUNK = "_chunk"
+#: Default bound of an array's length.
+MAX_LEN = 10_000
 
+OVERFLOW_PIECES = 1 << 30  # overflow chunk id = -(md5(value) * OVERFLOW_PIECES + piece)
 
-OVERFLOW_PIECES = 1 << 20  # overflow chunk id = -(md5(value) * OVERFLOW_PIECES + piece)
 
-
-def _chunk_arrays(pairs: DataFrame, max_len: int | None, sort: bool,
+def _chunk_arrays(pairs: DataFrame, max_len: int, sort: bool,
                   null_safe: bool = False) -> DataFrame:
     """``pairs(_k, _v, _h)`` → ``(_k, _chunk, _arr)``: values of each key in
     arrays of about ``max_len`` (``_h`` is what the chunk is hashed on).
@@ -45,11 +46,6 @@ def _chunk_arrays(pairs: DataFrame, max_len: int | None, sort: bool,
     in a home chunk, so membership readers skip them.
     """
     pairs = pairs.filter(F.col("_v").isNotNull())
-    if max_len is None:
-        agg = F.collect_list("_v")
-        if sort:
-            agg = F.array_sort(agg)
-        return pairs.groupBy("_k").agg(agg.alias("_arr")).withColumn(CHUNK, F.lit(0))
     if max_len < 1:
         raise ValueError("max_len must be >= 1")
     m = F.lit(max_len)
@@ -85,53 +81,76 @@ def _chunk_arrays(pairs: DataFrame, max_len: int | None, sort: bool,
     return out.unionByName(over)
 
 
-def _attach(left: DataFrame, left_key: str, arrays: DataFrame, as_: str, *, fill_empty: bool,
-            null_safe: bool = False, chunked: bool) -> DataFrame:
-    """Left rows × their chunk rows; unmatched left rows get one chunk-0 row."""
-    cond = left[left_key].eqNullSafe(arrays["_k"]) if null_safe else left[left_key] == arrays["_k"]
-    out = left.join(arrays, cond, "left").drop("_k").withColumnRenamed("_arr", as_)
-    if fill_empty:
-        out = out.withColumn(as_, F.coalesce(F.col(as_), F.array().cast(arrays.schema["_arr"].dataType)))
-    if chunked:
-        return out.withColumn(CHUNK, F.coalesce(F.col(CHUNK), F.lit(0).cast("long")))
-    return out.drop(CHUNK)
+def _side(left: DataFrame, left_key: str, arrays: DataFrame, as_: str, *, fill_empty: bool,
+          null_safe: bool = False) -> DataFrame:
+    """``(left_key, _chunk, as_)`` for the keys of ``left``; with ``fill_empty`` a
+    chunk-0 row with ``[]`` for those without elements.
+
+    Semi and anti joins against keys, so AQE can split a hot key's rows: they are
+    always on the preserved, left side.
+    """
+    keys = reshuffled_agg(left.select(F.col(left_key).alias("_lk")), ["_lk"])
+    def cond(a, b):
+        return a["_k"].eqNullSafe(b["_lk"]) if null_safe else a["_k"] == b["_lk"]
+    out = arrays.join(keys, cond(arrays, keys), "left_semi") \
+                .select(F.col("_k").alias(left_key), CHUNK, F.col("_arr").alias(as_))
+    if not fill_empty:
+        return out
+    have = reshuffled_agg(arrays.select("_k"), ["_k"])
+    none = keys.join(have, cond(have, keys), "left_anti")
+    return out.unionByName(none.select(
+        F.col("_lk").alias(left_key), F.lit(0).cast("long").alias(CHUNK),
+        F.array().cast(arrays.schema["_arr"].dataType).alias(as_)))
 
 
 def member_rows(df: DataFrame) -> DataFrame:
     """Rows that carry membership: all rows, minus the overflow rows (negative
-    ``_chunk``) of a bucketed collection, which only repeat values."""
+    ``_chunk``) of a side collection, which only repeat values."""
     if CHUNK in df.columns:
         return df.filter(F.col(CHUNK) >= 0)
     return df
 
 
-def heads(df: DataFrame) -> DataFrame:
-    """One row per document: the chunk-0 rows of a chunked collection (no-op
-    on a collection without ``_chunk``)."""
-    if CHUNK in df.columns:
-        return df.filter(F.col(CHUNK) == 0).drop(CHUNK)
-    return df
+def attach(parent: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """Parents with the rows of a side collection: one row per parent and chunk,
+    and one (chunk 0, NULL array) for parents without any.
+
+    An inner join, of which AQE can split either side, and the parents that it
+    leaves out; a left outer join could not split a hot parent's chunks.
+    """
+    hit = parent.join(side, key)
+    none = parent.join(reshuffled_agg(side, [key]), key, "left_anti")
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != CHUNK
+            else F.lit(0).cast("long").alias(CHUNK) for f in side.schema.fields if f.name != key]
+    return hit.unionByName(none.select("*", *rest))
 
 
 # AGG-6 ------------------------------------------------------------------------
 def embed(parent: DataFrame, children: DataFrame, parent_key: str, child_fk: str,
           value: str, as_: str, *, empty: str = "missing", sort: bool = True,
-          max_len: int | None = None) -> DataFrame:
-    """Collect child values into an array field of the parent.
-
-    ``empty="missing"`` leaves parents without children with a NULL field (what
-    a per-parent ``$set`` does: the field is never written); ``"empty"`` gives
-    ``[]``.  Duplicated children are kept; NULL values are not embedded;
-    ``sort`` makes the order repeatable.  ``max_len``: bucket pattern (module
-    docstring), output gains ``_chunk``.
+          max_len: int = MAX_LEN) -> DataFrame:
+    """Collect child values into an array field of the parent: the side
+    collection ``(parent_key, _chunk, as_)``.
+
+    ``empty="missing"`` gives parents without children no row (what a per-parent
+    ``$set`` does: the field is never written); ``"empty"`` gives them ``[]``.
+    Duplicated children are kept; NULL values and children without a parent are
+    not embedded; ``sort`` makes the order repeatable.
     """
     if empty not in ("missing", "empty"):
         raise ValueError("empty must be 'missing' or 'empty'")
     pairs = children.select(F.col(child_fk).alias("_k"), F.col(value).alias("_v"),
                             F.col(value).alias("_h")).filter(F.col("_k").isNotNull())
-    arrays = _chunk_arrays(pairs, max_len, sort)
-    return _attach(parent, parent_key, arrays, as_, fill_empty=empty == "empty",
-                   chunked=max_len is not None)
+    return _side(parent, parent_key, _chunk_arrays(pairs, max_len, sort), as_,
+                 fill_empty=empty == "empty")
+
+
+def set_array(side: DataFrame, keys: DataFrame, children: DataFrame, key: str, child_fk: str,
+              value: str, as_: str, *, max_len: int = MAX_LEN) -> DataFrame:
+    """SNK-3 on an array field: the side collection with the arrays of ``keys``
+    replaced by their ``children`` (none: the field goes)."""
+    kept = side.join(reshuffled_agg(keys, [key]), key, "left_anti")
+    return kept.unionByName(embed(keys, children, key, child_fk, value, as_, max_len=max_len))
 
 
 # JOIN-5 -----------------------------------------------------------------------
@@ -156,29 +175,30 @@ def _docs(right: DataFrame, cols: Sequence[str] | None = None) -> Column:
 
 
 def lookup(left: DataFrame, right: DataFrame, local: str, foreign: str, as_: str, *,
-           null_safe: bool = False, max_len: int | None = None,
+           null_safe: bool = False, max_len: int = MAX_LEN,
            chunk_by: str | None = None, doc_cols: Sequence[str] | None = None) -> DataFrame:
-    """JOIN-6 — ``$lookup``: each left row gets the array of matching right
-    documents (sorted), ``[]`` when none.  ``null_safe=True`` also matches NULL
-    with NULL (the document store treats missing and null as equal).
-    ``max_len``: bucket pattern, chunks hashed on ``chunk_by`` (default: the
-    first right column).  ``doc_cols`` keeps only those fields of the
-    matched documents (a projection after the lookup, applied before it)."""
+    """JOIN-6 — ``$lookup``: the side collection ``(local, _chunk, as_)`` of the
+    matching right documents (sorted) of every distinct left key, ``[]`` when none.
+    ``null_safe=True`` also matches NULL with NULL (the document store treats
+    missing and null as equal).  Chunks are hashed on ``chunk_by`` (default: the
+    first right column).  ``doc_cols`` keeps only those fields of the matched
+    documents (a projection after the lookup, applied before it)."""
     h = chunk_by or right.columns[0]
     pairs = right.select(F.col(foreign).alias("_k"), _docs(right, doc_cols).alias("_v"),
                          F.col(h).alias("_h"))
     if not null_safe:
         pairs = pairs.filter(F.col("_k").isNotNull())
     arrays = _chunk_arrays(pairs, max_len, sort=True, null_safe=null_safe)
-    return _attach(left, local, arrays, as_, fill_empty=True, null_safe=null_safe,
-                   chunked=max_len is not None)
+    return _side(left, local, arrays, as_, fill_empty=True, null_safe=null_safe)
 
 
 def lookup_in_array(left: DataFrame, right: DataFrame, local: str, foreign_array: str,
-                    as_: str, *, max_len: int | None = None, chunk_by: str | None = None,
+                    as_: str, *, max_len: int = MAX_LEN, chunk_by: str | None = None,
                     doc_cols: Sequence[str] | None = None) -> DataFrame:
     """JOIN-7 — ``$lookup`` whose foreign field is an array: a right document
     matches when the array contains the local value (once, however often).
+    ``right`` holds the array inline or is a side collection; the result is a
+    side collection ``(local, _chunk, as_)`` as in :func:`lookup`.
 
     Every match copies the matched document, so a document whose array has n
     entries is copied n times; pass ``doc_cols`` to copy only the fields needed
@@ -189,7 +209,7 @@ def lookup_in_array(left: DataFrame, right: DataFrame, local: str, foreign_array
                          _docs(right, doc_cols).alias("_v"), F.col(h).alias("_h")) \
                  .filter(F.col("_k").isNotNull())
     arrays = _chunk_arrays(pairs, max_len, sort=True)
-    return _attach(left, local, arrays, as_, fill_empty=True, chunked=max_len is not None)
+    return _side(left, local, arrays, as_, fill_empty=True)
 
 
 def lookup_count(left: DataFrame, right: DataFrame, local: str, foreign: str, as_: str, *,
@@ -200,6 +220,7 @@ def lookup_count(left: DataFrame, right: DataFrame, local: str, foreign: str, as
     the left rows, so a hot key costs one pre-aggregated row.
     """
     if foreign_is_array:
+        # distinct per document: a document's chunks share no value
         keys = member_rows(right).select(F.explode(F.array_distinct(F.col(foreign))).alias("_lk"))
     else:
         keys = right.select(F.col(foreign).alias("_lk"))
@@ -210,19 +231,26 @@ def lookup_count(left: DataFrame, right: DataFrame, local: str, foreign: str, as
     return out.withColumn(as_, F.coalesce(F.col(as_), F.lit(0).cast("long")))
 
 
-def lookup_uncorrelated(left: DataFrame, sub: DataFrame, as_: str, *,
-                        max_rows: int = 10_000) -> DataFrame:
-    """JOIN-8 — sub-pipeline lookup without correlation: every left row gets
-    the same array (the documents of ``sub``), ``[]`` when ``sub`` is empty.
+def lookup_uncorrelated(left: DataFrame, sub: DataFrame, left_key: str, as_: str, *,
+                        max_len: int = MAX_LEN) -> tuple[DataFrame, DataFrame]:
+    """JOIN-8 — sub-pipeline lookup without correlation: every left row gets the
+    same array, the documents of ``sub`` (``[]`` when there are none).
 
-    The array is broadcast, so ``sub`` is size-checked first (a bounded action
-    reading at most ``max_rows + 1`` rows); larger inputs are refused — keep
-    such a set as a table and join it instead.
+    The array is the same for all rows, so it is kept once: ``(keys, shared)``
+    with ``keys`` = the left rows' key and ``_shared`` = 0, and ``shared`` the side
+    collection ``(_shared, _chunk, as_)``.  Joining the two on ``_shared`` writes the
+    array out for every row; counts, subset and membership tests need not.
     """
-    if sub.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"uncorrelated lookup over more than {max_rows} rows")
-    one = sub.agg(F.collect_list(_docs(sub)).alias(as_))
-    return left.crossJoin(F.broadcast(one))
+    one = left.select(left_key, F.lit(0).alias("_shared"))
+    h = F.xxhash64(*[F.col(c).cast("string") for c in sub.columns])
+    # 0 for every row, but not a literal: joins on literals would become cross joins
+    pairs = sub.select(F.pmod(h, F.lit(1)).cast("int").alias("_k"), _docs(sub).alias("_v"), h.alias("_h"))
+    arrays = _chunk_arrays(pairs, max_len, sort=True) \
+        .select(F.col("_k").alias("_shared"), CHUNK, F.col("_arr").alias(as_))
+    none = sub.agg(F.count(F.lit(1)).alias("_n")).filter("_n = 0").select(
+        F.lit(0).alias("_shared"), F.lit(0).cast("long").alias(CHUNK),
+        F.array().cast(arrays.schema[as_].dataType).alias(as_))
+    return one, arrays.unionByName(none)
 
 
 def lookup_unwind(left: DataFrame, right: DataFrame, local: str, foreign: str,
@@ -272,15 +300,15 @@ def project_doc(df: DataFrame, include: Sequence[str], *, exclude_id: bool = Fal
 
 # Q-7 --------------------------------------------------------------------------
 def build_collections(tables: dict[str, DataFrame], *,
-                      max_array: int | None = None) -> dict[str, DataFrame]:
-    """Q-7 — six relational tables → four collections.
+                      max_array: int = MAX_LEN) -> dict[str, DataFrame]:
+    """Q-7 — six relational tables → four collections and the side
+    collection of the embedded array.
 
-    * departments, instructors: primary key renamed to ``_id``;
+    * departments, instructors, students: primary key renamed to ``_id``;
     * courses: ``teaches`` folded into a nullable ``instructor_id`` (JOIN-5);
-    * students: ``enrollments`` embedded as ``enrolled_courses`` (AGG-6),
-      missing (NULL) for students without enrolments, duplicates kept;
-      with ``max_array`` a student with more enrolments spans several
-      ``_chunk`` rows (bucket pattern), each with the scalar fields.
+    * enrolled: ``enrollments`` embedded per student (AGG-6) as
+      ``(_id, _chunk, enrolled_courses)``, no row for students without
+      enrolments, duplicates kept, at most about ``max_array`` a row.
     """
     d, s, i, c = (tables[k] for k in ("departments", "students", "instructors", "courses"))
     departments = d.select(F.col("department_id").alias("_id"), "department_name")
@@ -290,19 +318,24 @@ def build_collections(tables: dict[str, DataFrame], *,
                         i, "instructor_id", as_="instructor_id")
     courses = courses.select(F.col("course_id").alias("_id"), "course_code", "department_id",
                              "is_core_course", "offering_year", "instructor_id")
-    students = embed(s, tables["enrollments"], "student_id", "student_id", "course_id",
+    students = s.select(F.col("student_id").alias("_id"), "student_name", "student_email",
+                        "department_id")
+    enrolled = embed(students, tables["enrollments"], "_id", "student_id", "course_id",
                      "enrolled_courses", max_len=max_array)
-    students = students.select(F.col("student_id").alias("_id"), "student_name",
-                               "student_email", "department_id", "enrolled_courses",
-                               *([CHUNK] if max_array is not None else []))
-    return {"departments": departments, "students": students,
+    return {"departments": departments, "students": students, "enrolled": enrolled,
             "instructors": instructors, "courses": courses}
 
 
+def array_rows(cols: dict[str, DataFrame]) -> DataFrame:
+    """The rows that hold ``enrolled_courses``: the side collection, or students
+    read from a store with the array inline."""
+    return cols.get("enrolled", cols["students"])
+
+
 def flatten_collections(cols: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Inverse of Q-7 for the two folded relationships: ``enrollments`` (with
     repeats, as embedded) and ``teaches`` (courses with an instructor)."""
-    enrollments = cols["students"].select(F.col("_id").alias("student_id"),
+    enrollments = array_rows(cols).select(F.col("_id").alias("student_id"),
                                           F.explode("enrolled_courses").alias("course_id"))
     teaches = cols["courses"].filter(F.col("instructor_id").isNotNull()) \
                              .select(F.col("_id").alias("course_id"), "instructor_id")

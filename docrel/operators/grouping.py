@@ -17,6 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Parts of a group that a top-k beyond Spark's group limit cuts first.
+GROUP_PARTS = 64
+
+
 def _cols(xs) -> list[Column]:
     if isinstance(xs, (str, Column)):
         xs = [xs]
@@ -116,10 +120,17 @@ def top_k_per_group(df: DataFrame, group, by, k: int, tiebreak=None,
 
     Spark turns ``row_number() <= k`` into a window group limit that keeps k
     rows per group in every map task before the shuffle, so a hot group sends
-    at most k rows per task.  That rewrite applies while k is within
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (default 1000).
+    at most k rows per task.  Spark does so only while k is within
+    ``spark.sql.optimizer.windowGroupLimitThreshold``; beyond it the group's parts
+    by a hash of its rows are cut to k rows first, so a hot group is many tasks too.
     """
     order = _cols(by) + (_cols(tiebreak) if tiebreak is not None else [])
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k > limit:
+        part = Window.partitionBy(*_cols(group), "_part").orderBy(*order)
+        df = df.withColumn("_part", F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in df.columns]),
+                                           F.lit(GROUP_PARTS))) \
+               .withColumn("_rn", F.row_number().over(part)).filter(F.col("_rn") <= k).drop("_part", "_rn")
     w = Window.partitionBy(*_cols(group)).orderBy(*order)
     rn = rank_as or "_rn"
     out = df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= k)

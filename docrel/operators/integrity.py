@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docrel import schemas
+from docrel.operators.grouping import reshuffled_agg
 from docrel.session import ensure_checkpoint_dir
 
 
@@ -100,15 +101,50 @@ def fk_violations(child: DataFrame, parent: DataFrame, child_cols: Sequence[str]
     return child.filter(nn).join(p, cond, "left_anti")
 
 
+def _rule_pass(name: str, df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All per-row rules of a table in one read of it: NOT NULL, VARCHAR(n) and,
+    through a left join to each parent's distinct keys, FOREIGN KEY."""
+    # the parents' key columns must not shadow those of the table
+    labels, flags, rows = [], [], df
+    for c in schemas.not_null_columns(name):
+        labels.append(("not_null", c))
+        flags.append(F.col(c).isNull())
+    for c, n in schemas.VARCHAR_LIMITS.get(name, {}).items():
+        labels.append((f"varchar({n})", c))
+        flags.append(F.length(F.col(c)) > n)
+    for i, (ccols, parent, pcols) in enumerate(schemas.FOREIGN_KEYS.get(name, [])):
+        if parent not in tables:
+            continue
+        own = [f"_p{i}_{k}" for k in range(len(pcols))]
+        keys = reshuffled_agg(tables[parent].select(*[F.col(p).alias(o) for p, o in zip(pcols, own)]), own) \
+            .withColumn(f"_hit{i}", F.lit(True))
+        on, given = F.lit(True), F.lit(True)
+        for c, o in zip(ccols, own):
+            on, given = on & (F.col(c) == F.col(o)), given & F.col(c).isNotNull()
+        rows = rows.join(keys, on, "left")
+        labels.append((f"foreign_key:{parent}", ",".join(ccols)))
+        flags.append(given & F.col(f"_hit{i}").isNull())
+    one = rows.agg(*[F.coalesce(F.sum(f.cast("long")), F.lit(0).cast("long")).alias(f"_v{i}")
+                     for i, f in enumerate(flags)])
+    each = F.explode(F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(col).alias("column_name"),
+                                        F.col(f"_v{i}").alias("violations"))
+                               for i, (rule, col) in enumerate(labels)]))
+    return one.select(each.alias("r")).select(F.lit(name).alias("table_name"), "r.*")
+
+
 def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Every declared rule of ``schemas`` over the given relational tables, as
-    one report ``(table_name, rule, column_name, violations)``."""
+    one report ``(table_name, rule, column_name, violations)``.
+
+    Two passes a table: the per-row rules, and all its key sets in one grouping-sets
+    aggregate.  Store derived tables before (``sinks.refresh_all``): each pass reads
+    its table, and foreign keys read the parents' keys.
+    """
     parts: list[DataFrame] = []
     for name, df in tables.items():
         if name not in schemas.RELATIONAL:
             continue
-        parts.append(column_rule_report(name, df, schemas.not_null_columns(name),
-                                        schemas.VARCHAR_LIMITS.get(name)))
+        parts.append(_rule_pass(name, df, tables))
         key_sets = ([("primary_key", schemas.PRIMARY_KEYS[name])] if name in schemas.PRIMARY_KEYS else []) \
             + [("unique", u) for u in schemas.UNIQUE_KEYS.get(name, [])]
         if key_sets:
@@ -117,14 +153,6 @@ def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
             col = F.element_at(F.array(*[F.lit(",".join(k)) for _, k in key_sets]), F.col("set_index") + 1)
             parts.append(v.select(F.lit(name).alias("table_name"), rule.alias("rule"),
                                   col.alias("column_name"), "violations"))
-        for ccols, ptable, pcols in schemas.FOREIGN_KEYS.get(name, []):
-            if ptable not in tables:
-                continue
-            v = fk_violations(df, tables[ptable], ccols, pcols) \
-                .agg(F.count(F.lit(1)).cast("long").alias("violations"))
-            parts.append(v.select(F.lit(name).alias("table_name"),
-                                  F.lit(f"foreign_key:{ptable}").alias("rule"),
-                                  F.lit(",".join(ccols)).alias("column_name"), "violations"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docrel.operators.grouping import reshuffled_agg
+
 
 def _members(owners: DataFrame) -> DataFrame:
     # overflow rows of a bucketed collection (negative _chunk) only repeat values
@@ -39,8 +41,8 @@ def membership_edges(owners: DataFrame, owner_key: str, array_col: str, *,
     """
     arr = F.col(array_col)
     if distinct:
-        arr = F.array_distinct(arr)
-    return (_members(owners).select(F.col(owner_key).alias(owner_as), F.explode(arr).alias(item_as))
+        owners, arr = _members(owners), F.array_distinct(arr)
+    return (owners.select(F.col(owner_key).alias(owner_as), F.explode(arr).alias(item_as))
             .filter(F.col(item_as).isNotNull()))
 
 
@@ -58,13 +60,20 @@ def membership_join(items: DataFrame, owners: DataFrame, item_key: str, array_co
                     .filter(F.col(tag).isNotNull())
     if not keep_array:
         unwound = unwound.drop(array_col)
-    return items.join(unwound, items[item_key] == unwound[tag], how).drop(tag)
-
-
-def membership_join_theta(items: DataFrame, owners: DataFrame, item_key: str,
-                          array_col: str) -> DataFrame:
-    """The literal ``array_contains`` join (nested loop).  Test oracle only."""
-    return items.join(owners, F.array_contains(owners[array_col], items[item_key]))
+    inner = items.join(unwound, items[item_key] == unwound[tag])
+    if how == "inner":
+        return inner.drop(tag)
+    if how != "left":
+        raise ValueError("how must be 'inner' or 'left'")
+    # not a left outer join: AQE could not split the owners of a hot item in it
+    taken = reshuffled_agg(unwound, [tag])
+    none = items.join(taken, items[item_key] == taken[tag], "left_anti")
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in unwound.schema.fields]
+    cols = [*(f"i{n}" for n in range(len(items.columns))), *(f"o{n}" for n in range(len(rest)))]
+    both = inner.toDF(*cols).unionByName(none.select("*", *rest).toDF(*cols))
+    drop = len(items.columns) + unwound.columns.index(tag)
+    names = [*items.columns, *unwound.columns]
+    return both.drop(cols[drop]).toDF(*[x for n, x in enumerate(names) if n != drop])
 
 
 def membership_counts(owners: DataFrame, owner_key: str, array_col: str, *,

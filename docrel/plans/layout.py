@@ -1,6 +1,7 @@
 """Physical tuning at user level: PHY-1 cache, PHY-2 hash repartition, PHY-3
 driver scalar, PHY-5 partitioned/clustered layout, PHY-6 inverted (multikey)
-table, plus a size-checked broadcast (JOIN-3).
+table.  Broadcast joins (JOIN-3) are left to AQE, which knows the bytes of a side
+once its shuffle is written.
 
 Secondary indexes do not exist in Spark; their effect — reading only the data
 a predicate can match — comes from partition directories (pruning) and from
@@ -45,19 +46,6 @@ def scalar_value(df: DataFrame):
     return None if row is None else row[0]
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows — a bounded action that
-    stops after ``max_rows + 1`` rows, the size proof behind a broadcast."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
-    """JOIN-3 — mark ``small`` for broadcast only if it has at most
-    ``max_rows`` rows (:func:`fits`); otherwise leave the join to AQE
-    (sort-merge or runtime broadcast)."""
-    return F.broadcast(small) if fits(small, max_rows) else small
-
-
 def write_layout(df: DataFrame, path: str, *, partition_by: Sequence[str] = (),
                  cluster_by: Sequence[str] = (), num_files: int | None = None,
                  mode: str = "overwrite") -> str:

@@ -10,10 +10,10 @@ on ``students.enrolled_courses``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from docrel import schemas
-from docrel.operators.documents import CHUNK, build_collections
+from docrel.operators.documents import MAX_LEN, build_collections
 from docrel.plans.layout import write_inverted_index, write_layout
 from docrel.sources.io import read_collection
 from docrel.sources.sinks import refresh_all
@@ -24,28 +24,28 @@ from docrel.sources.sinks import refresh_all
 PARTITIONED = {"students": ["_id"], "instructors": ["_id"], "courses": ["instructor_id", "_id"]}
 
 
-def migrate(tables: dict[str, DataFrame], out_dir: str, *, max_array: int | None = 10_000,
+def migrate(tables: dict[str, DataFrame], out_dir: str, *, max_array: int = MAX_LEN,
             with_indexes: bool = False) -> dict[str, str]:
-    """Write the four collections under ``out_dir`` (jobs submitted together)
-    and return their paths.  ``with_indexes`` adds department-partitioned,
-    clustered copies (``<name>_by_department``) and the inverted table of
+    """Write the collections under ``out_dir`` (jobs submitted together) and
+    return their paths.  ``with_indexes`` adds department-partitioned, clustered
+    copies (``<name>_by_department``) and the inverted table of
     ``students.enrolled_courses`` (``students_by_course``)."""
     cols = build_collections(tables, max_array=max_array)
     paths = {k: f"{out_dir}/{k}" for k in cols}
     refresh_all(cols, paths)
     if not with_indexes:
         return paths
-    spark = tables["students"].sparkSession
-    students_schema = schemas.with_chunk(schemas.STUDENT_DOCS) if max_array is not None \
-        else schemas.STUDENT_DOCS
-    stored = {k: read_collection(spark, p, schema=students_schema if k == "students"
-                                 else schemas.COLLECTIONS[k]) for k, p in paths.items()}
+    stored = read_migrated(tables["students"].sparkSession, paths)
     for name, cluster in PARTITIONED.items():
         key = f"{name}_by_department"
-        cl = cluster + ([CHUNK] if name == "students" and max_array is not None else [])
         paths[key] = write_layout(stored[name], f"{out_dir}/{key}", partition_by=["department_id"],
-                                  cluster_by=cl)
+                                  cluster_by=cluster)
     paths["students_by_course"] = write_inverted_index(
-        stored["students"], "_id", "enrolled_courses", f"{out_dir}/students_by_course",
+        stored["enrolled"], "_id", "enrolled_courses", f"{out_dir}/students_by_course",
         item_as="course_id", owner_as="student_id")
     return paths
+
+
+def read_migrated(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """The collections that :func:`migrate` wrote, by their declared schemas."""
+    return {k: read_collection(spark, paths[k], schema=s) for k, s in schemas.COLLECTIONS.items()}

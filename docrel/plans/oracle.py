@@ -42,11 +42,11 @@ claims AS (
            row_number() OVER (PARTITION BY l_partkey
                               ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey) AS rn
     FROM lineitem) x
-  WHERE rn = 1 AND course_id % 10 <> 0),
+  WHERE rn = 1),
 teaches AS (
-  SELECT course_id, instructor_id FROM claims WHERE course_id % 25 <> 1
+  SELECT course_id AS teaches_id, course_id, instructor_id FROM claims WHERE course_id % 25 <> 1
   UNION ALL
-  SELECT course_id, CAST(1 AS BIGINT) FROM rel_courses WHERE department_id = 1),
+  SELECT course_id, course_id, CAST(1 AS BIGINT) FROM rel_courses WHERE department_id = 1),
 courses AS (
   SELECT c.course_id AS _id, c.course_code, c.department_id, c.is_core_course, c.offering_year,
          i._id AS instructor_id
@@ -54,9 +54,16 @@ courses AS (
   LEFT JOIN teaches t ON t.course_id = c.course_id
   LEFT JOIN instructors i ON i._id = t.instructor_id),
 enrollments AS (
-  SELECT o.o_custkey AS student_id, l.l_partkey AS course_id
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_quantity >= 45),
+  SELECT l.l_orderkey * 10 + l.l_linenumber AS enrollment_id, o.o_custkey AS student_id,
+         l.l_partkey AS course_id
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+planned AS (  -- courses, and a copy of each that nobody teaches or takes
+  SELECT * FROM courses
+  UNION ALL SELECT _id + 1099511627776, course_code, department_id, is_core_course, offering_year, NULL
+  FROM courses),
+applicants AS (
+  SELECT * FROM students
+  UNION ALL SELECT _id + 1099511627776, student_name, student_email, department_id FROM students),
 edges AS (SELECT DISTINCT student_id, course_id FROM enrollments),
 course_counts AS (SELECT course_id, count(*) AS num_enrollments FROM edges GROUP BY course_id),
 rel_departments AS (SELECT _id AS department_id, department_name FROM departments),
@@ -73,13 +80,13 @@ def chunked(pairs: str, key: str, val: str, max_len: int) -> str:
     The first ``max_len`` copies of a value go to its home chunk: 0 if the key
     has at most ``max_len`` home copies in all or for its smallest value, else
     md5(value) mod ceil(n / max_len); copy r > max_len goes to overflow chunk
-    -(md5(value) * 2^20 + (r - 1) // max_len)."""
+    -(md5(value) * 2^30 + (r - 1) // max_len)."""
     m = max_len
     nch = f"CAST(ceil(st.n / {m}) AS BIGINT)"
     h = md5i("p." + val)
     return f"""(
   SELECT p.{key}, p.{val},
-         CASE WHEN p._rn > {m} THEN -({h} * {1 << 20} + (p._rn - 1) // {m})
+         CASE WHEN p._rn > {m} THEN -({h} * {1 << 30} + (p._rn - 1) // {m})
               WHEN {nch} <= 1 OR p.{val} = st.hmin THEN 0
               ELSE {h} % {nch} END AS _chunk
   FROM (SELECT {key}, {val}, row_number() OVER (PARTITION BY {key}, {val}) AS _rn
@@ -101,13 +108,18 @@ GROUP BY s._id, c._chunk, s.student_name, s.student_email, s.department_id
 """
 
 
-STUDENT_FLAT = student_flat(R.testmap.MAX_ARRAY)
+STUDENT_FLAT = student_flat(R.documents.MAX_LEN)
 
 Q1 = f"""
 SELECT s.student_name, s.student_email FROM students s
 WHERE s._id IN (SELECT student_id FROM enrollments WHERE course_id = {R.COURSE_Q1})
 """
 
+Q1_ID = f"""
+SELECT s._id, s.student_name, s.student_email FROM students s
+WHERE s._id IN (SELECT student_id FROM enrollments WHERE course_id = {R.COURSE_Q1})
+"""
+
 Q3 = f"""
 SELECT course_code, department_id, is_core_course FROM (
   SELECT *, row_number() OVER (PARTITION BY course_code ORDER BY _id) AS rn
@@ -149,13 +161,13 @@ WHERE c.instructor_id = {ins}
 """
 
 
-def _sample_sql(k_expr: str, k_max: int) -> str:
+def _sample_sql(k_expr: str, k_max: int, entity: str = "student_id", table: str = "students") -> str:
     """Sequential selection without replacement, unrolled for ``k_max`` draws."""
     seed = R.SEED
     steps = []
     prev = "ents"
     for j in range(k_max):
-        r = f"{md5i(str(seed), 'student_id', str(j))} % (m - {j})"
+        r = f"{md5i(str(seed), entity, str(j))} % (m - {j})"
         if j == 0:
             mapped = f"r{j}"
         else:
@@ -178,12 +190,13 @@ def _sample_sql(k_expr: str, k_max: int) -> str:
   FROM courses),
 sizes AS (SELECT DISTINCT department_id, m FROM items),
 ents AS (
-  SELECT s._id AS student_id, s.department_id, z.m, least(CAST({k_expr} AS BIGINT), z.m) AS n
-  FROM students s JOIN sizes z ON z.department_id = s.department_id),
+  SELECT s._id AS {entity}, s.department_id, z.m, least(CAST({k_expr} AS BIGINT), z.m) AS n
+  FROM {table} s JOIN sizes z ON z.department_id = s.department_id),
 {", ".join(steps)},
-picks AS (SELECT student_id, department_id, unnest([{picks}]) AS idx FROM {prev})
-SELECT p.student_id, i.course_id
-FROM picks p JOIN items i ON i.department_id = p.department_id AND i.idx = p.idx
+picks AS (SELECT {entity}, department_id, unnest([{picks}]) AS idx FROM {prev}),
+drawn AS (
+  SELECT p.{entity}, i.course_id
+  FROM picks p JOIN items i ON i.department_id = p.department_id AND i.idx = p.idx)
 """
 
 
@@ -218,16 +231,32 @@ def _report_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-DIVISION_DIVIDEND = f"""
+DIVISION_DIVIDEND = """
 , dividend AS (
   SELECT DISTINCT o.o_custkey AS c_custkey, p.p_type
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN part p ON p.p_partkey = l.l_partkey
-  WHERE l.l_quantity >= {R.DIVISION_MIN_QTY})
+  JOIN part p ON p.p_partkey = l.l_partkey)
 """
 
 SQL: dict[str, str] = {
     "q_1": Q1,
+    "q_1_id": Q1_ID,
+    "q_5_pipeline": f"""
+, core AS (SELECT _id FROM courses WHERE department_id = {R.DEPARTMENT_Q3} AND is_core_course)
+SELECT i._id, i.instructor_name,
+       (SELECT count(*) FROM courses c WHERE c.instructor_id = i._id) AS n_taught,
+       (SELECT count(*) FROM core) AS n_core
+FROM instructors i
+WHERE EXISTS (SELECT 1 FROM courses c WHERE c.instructor_id = i._id AND c.department_id = {R.DEPARTMENT_Q3})
+  AND EXISTS (SELECT 1 FROM courses c WHERE c.instructor_id = i._id AND c.is_core_course)
+  AND NOT EXISTS (SELECT 1 FROM core k WHERE k._id NOT IN
+                  (SELECT c._id FROM courses c WHERE c.instructor_id = i._id))
+""",
+    "q_6_zero": f"""
+SELECT c._id, c.course_code, coalesce(x.num_enrollments, 0) AS num_enrollments
+FROM planned c LEFT JOIN course_counts x ON x.course_id = c._id
+ORDER BY num_enrollments DESC, c._id LIMIT {R.TOP_ZERO}
+""",
     "q_2": Q2_INNER.format(ins=R.INSTRUCTOR_Q2),
     "q_2_zero": f"""
 SELECT avg(coalesce(x.num_enrollments, 0)) AS average_students
@@ -250,7 +279,10 @@ HAVING count(DISTINCT c._id) = n.need
     "q_7_chunked": student_flat(R.SMALL_ARRAY),
     "q_7_overflow": student_flat(R.TINY_ARRAY),
     "q_7_indexed": """
-SELECT course_id, student_id, (SELECT count(*) FROM students) AS n_students FROM edges
+SELECT 'index' AS kind, course_id AS part, student_id AS id, '' AS label FROM edges
+UNION ALL SELECT 'students', department_id, _id, student_email FROM students
+UNION ALL SELECT 'instructors', department_id, _id, instructor_email FROM instructors
+UNION ALL SELECT 'courses', department_id, _id, course_code FROM courses
 """,
     "q_7_courses": COURSES_ALL,
     "q_7_roundtrip": "SELECT student_id, course_id, count(*) AS n FROM enrollments GROUP BY student_id, course_id",
@@ -272,20 +304,30 @@ SELECT c_custkey AS _id,
        CASE WHEN c_acctbal > 5000 THEN lower(c_mktsegment) ELSE c_mktsegment END AS segment
 FROM customer
 """,
-    "snk_4_csv": COURSES_ALL,
+    "snk_3_array": """
+SELECT e.student_id, e.course_id, CASE WHEN s.department_id < 5 THEN 1 ELSE count(*) END AS n
+FROM enrollments e JOIN students s ON s._id = e.student_id
+GROUP BY e.student_id, e.course_id, s.department_id
+""",
+    "snk_4_csv": r"""
+SELECT _id, CASE offering_year WHEN 1998 THEN '' WHEN 1999 THEN NULL
+                 WHEN 2000 THEN course_code || chr(10) || '"a", ''b'' \ '
+                 WHEN 2001 THEN ' ' || course_code || chr(13) || chr(10) ELSE course_code END AS course_code,
+       department_id, is_core_course, offering_year, instructor_id FROM courses
+""",
     "sch_2_notnull": """
 SELECT 'courses' AS table_name, 'not_null' AS rule, 'course_code' AS column_name,
-       CAST(count(*) FILTER (WHERE course_code IS NULL) AS BIGINT) AS violations FROM courses
+       CAST(count(*) FILTER (WHERE course_code IS NULL) AS BIGINT) AS violations FROM planned
 UNION ALL SELECT 'courses', 'not_null', 'instructor_id',
-       CAST(count(*) FILTER (WHERE instructor_id IS NULL) AS BIGINT) FROM courses
+       CAST(count(*) FILTER (WHERE instructor_id IS NULL) AS BIGINT) FROM planned
 UNION ALL SELECT 'courses', 'varchar(14)', 'course_code',
-       CAST(count(*) FILTER (WHERE length(course_code) > 14) AS BIGINT) FROM courses
+       CAST(count(*) FILTER (WHERE length(course_code) > 14) AS BIGINT) FROM planned
 UNION ALL SELECT 'students', 'not_null', 'enrolled_courses',
-       CAST(count(*) FILTER (WHERE _id NOT IN (SELECT student_id FROM enrollments)) AS BIGINT) FROM students
+       CAST(count(*) FILTER (WHERE _id NOT IN (SELECT student_id FROM enrollments)) AS BIGINT) FROM applicants
 UNION ALL SELECT 'students', 'varchar(18)', 'student_name',
-       CAST(count(*) FILTER (WHERE length(student_name) > 18) AS BIGINT) FROM students
+       CAST(count(*) FILTER (WHERE length(student_name) > 18) AS BIGINT) FROM applicants
 UNION ALL SELECT 'students', 'varchar(10)', 'student_email',
-       CAST(count(*) FILTER (WHERE length(student_email) > 10) AS BIGINT) FROM students
+       CAST(count(*) FILTER (WHERE length(student_email) > 10) AS BIGINT) FROM applicants
 """,
     "sch_3_unique": """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
@@ -320,7 +362,14 @@ WHERE EXISTS (SELECT 1 FROM courses c WHERE c.instructor_id = i._id
 """,
     "prj_1_3": "SELECT course_code AS code, department_id AS dept FROM courses",
     "prj_5": "SELECT _id, split_part(course_code, '-', 1) AS code_prefix, offering_year >= 2001 AS is_recent FROM courses",
-    "join_1_membership": "SELECT student_id, course_id FROM edges",
+    "join_1_membership": """
+SELECT e.course_id, c.course_code, e.student_id, s.student_name
+FROM edges e JOIN courses c ON c._id = e.course_id JOIN students s ON s._id = e.student_id
+""",
+    "join_1_left": """
+SELECT c._id AS course_id, c.course_code, e.student_id FROM planned c LEFT JOIN edges e ON e.course_id = c._id
+""",
+    "join_6_null": "SELECT instructor_id, count(*) AS n_courses FROM planned GROUP BY instructor_id",
     "join_2": """
 SELECT c._id, c.course_code, i.instructor_name FROM courses c JOIN instructors i ON i._id = c.instructor_id
 """,
@@ -331,15 +380,15 @@ SELECT department_id, count(*) AS total_students, (SELECT count(*) FROM students
 FROM students GROUP BY department_id
 """,
     "join_5_fold": """
-SELECT c.course_id AS _id, i._id AS instructor_id, i.instructor_name
-FROM rel_courses c LEFT JOIN teaches t ON t.course_id = c.course_id
+SELECT c._id, i._id AS instructor_id, i.instructor_name
+FROM planned c LEFT JOIN teaches t ON t.course_id = c._id
 LEFT JOIN instructors i ON i._id = t.instructor_id
 """,
     "join_6_lookup": f"""
 SELECT d._id, coalesce(c._chunk, 0) AS _chunk, count(c._iid) AS n_instructors,
        coalesce(string_agg(CAST(c._iid AS VARCHAR), ',' ORDER BY c._iid), '') AS instructor_ids
 FROM departments d
-LEFT JOIN {chunked("SELECT department_id AS k, _id AS _iid FROM instructors", "k", "_iid", R.testmap.MAX_ARRAY)} c
+LEFT JOIN {chunked("SELECT department_id AS k, _id AS _iid FROM instructors", "k", "_iid", R.documents.MAX_LEN)} c
   ON c.k = d._id
 GROUP BY d._id, c._chunk
 """,
@@ -347,7 +396,7 @@ GROUP BY d._id, c._chunk
 SELECT c._id, coalesce(x._chunk, 0) AS _chunk, count(x._sid) AS n_students,
        coalesce(string_agg(CAST(x._sid AS VARCHAR), ',' ORDER BY x._sid), '') AS student_ids
 FROM courses c
-LEFT JOIN {chunked("SELECT course_id AS k, student_id AS _sid FROM edges", "k", "_sid", R.testmap.MAX_ARRAY)} x
+LEFT JOIN {chunked("SELECT course_id AS k, student_id AS _sid FROM edges", "k", "_sid", R.documents.MAX_LEN)} x
   ON x.k = c._id
 GROUP BY c._id, x._chunk
 """,
@@ -356,10 +405,19 @@ SELECT c._id, count(e.student_id) AS n_students
 FROM courses c LEFT JOIN edges e ON e.course_id = c._id GROUP BY c._id
 """,
     "join_8_sub": f"""
-SELECT i._id,
-       (SELECT count(*) FROM courses WHERE department_id = {R.DEPARTMENT_Q3} AND is_core_course) AS n_core,
-       (SELECT min(_id) FROM courses WHERE department_id = {R.DEPARTMENT_Q3} AND is_core_course) AS first_core
+, core AS (SELECT _id FROM courses WHERE department_id = {R.DEPARTMENT_Q3} AND is_core_course)
+SELECT i._id, (SELECT count(*) FROM core) AS n_core, (SELECT CAST(sum(_id) AS BIGINT) FROM core) AS ids_sum
 FROM instructors i WHERE i.department_id = {R.DEPARTMENT_FLT4}
+""",
+    "agg_6_bucket_sizes": f"""
+SELECT m.max_array, w.what, w.n
+FROM (VALUES ({R.TINY_ARRAY}), ({R.SMALL_ARRAY}), ({R.documents.MAX_LEN})) m(max_array),
+     (SELECT 'lookup_count' AS what, count(*) AS n FROM students
+      UNION ALL SELECT 'lookup', count(*) FROM students
+      UNION ALL SELECT 'lookup_unwind', count(*) FROM students
+      UNION ALL SELECT 'unique_violations', 0
+      UNION ALL SELECT 'edges', count(*) FROM edges
+      UNION ALL SELECT 'all_edges', count(*) FROM enrollments) w
 """,
     "join_10": """
 SELECT s._id, coalesce(n.n, 0) AS n_candidates
@@ -367,7 +425,7 @@ FROM students s LEFT JOIN (SELECT department_id, count(*) AS n FROM courses GROU
   ON n.department_id = s.department_id
 """,
     "join_11": """
-SELECT c._id, c.course_code FROM courses c
+SELECT c._id, c.course_code FROM planned c
 WHERE NOT EXISTS (SELECT 1 FROM enrollments e WHERE e.course_id = c._id)
 """,
     "agg_1": "SELECT department_id, count(*) AS total_students FROM students GROUP BY department_id",
@@ -375,7 +433,8 @@ WHERE NOT EXISTS (SELECT 1 FROM enrollments e WHERE e.course_id = c._id)
     "agg_4": """
 , per AS (
   SELECT t.instructor_id, coalesce(x.num_enrollments, 0) AS n
-  FROM claims t LEFT JOIN course_counts x ON x.course_id = t.course_id)
+  FROM (SELECT * FROM claims UNION ALL SELECT course_id + 1099511627776, instructor_id FROM claims) t
+  LEFT JOIN course_counts x ON x.course_id = t.course_id)
 SELECT instructor_id, avg(n) AS avg_zero, avg(CASE WHEN n > 0 THEN n END) AS avg_inner
 FROM per GROUP BY instructor_id
 """,
@@ -389,9 +448,9 @@ WHERE rn = 1
     "agg_6_embed": f"""
 SELECT s._id, coalesce(c._chunk, 0) AS _chunk, count(c.course_id) AS n_courses,
        coalesce(string_agg(CAST(c.course_id AS VARCHAR), ',' ORDER BY c.course_id), '') AS courses
-FROM students s
+FROM applicants s
 LEFT JOIN {chunked("SELECT student_id, course_id FROM enrollments", "student_id", "course_id",
-                   R.testmap.MAX_ARRAY)} c ON c.student_id = s._id
+                   R.documents.MAX_LEN)} c ON c.student_id = s._id
 GROUP BY s._id, c._chunk
 """,
     "agg_7_empty": Q2_INNER.format(ins=R.UNKNOWN_INSTRUCTOR).replace(
@@ -407,6 +466,14 @@ HAVING count(*) = (SELECT count(DISTINCT p_type) FROM part)
 SELECT g.c_nationkey, g.c_custkey FROM g
 GROUP BY g.c_nationkey, g.c_custkey
 HAVING count(DISTINCT g.p_type) = (SELECT count(DISTINCT p_type) FROM g g2 WHERE g2.c_nationkey = g.c_nationkey)
+""",
+    "agg_8_empty": "SELECT instructor_name FROM instructors",
+    "agg_8_grouped_empty": """
+, core AS (SELECT * FROM courses WHERE is_core_course AND department_id >= 5),
+need AS (SELECT department_id, count(*) AS need FROM core GROUP BY department_id)
+SELECT DISTINCT c.department_id, c.instructor_id FROM courses c
+WHERE c.instructor_id IS NOT NULL AND coalesce((SELECT need FROM need n WHERE n.department_id = c.department_id), 0)
+  = (SELECT count(*) FROM core k WHERE k.department_id = c.department_id AND k.instructor_id = c.instructor_id)
 """,
     "agg_9_division": DIVISION_DIVIDEND + """
 SELECT DISTINCT d.c_custkey FROM dividend d
@@ -414,8 +481,10 @@ WHERE NOT EXISTS (
   SELECT 1 FROM (SELECT DISTINCT p_type FROM part) t
   WHERE NOT EXISTS (SELECT 1 FROM dividend x WHERE x.c_custkey = d.c_custkey AND x.p_type = t.p_type))
 """,
-    "win_1_sample": _sample_sql(str(R.SAMPLE_K), R.SAMPLE_K),
-    "win_1_range": _sample_sql(_k_range_expr("s._id"), R.SAMPLE_K_RANGE[1]),
+    "win_1_sample": _sample_sql(str(R.SAMPLE_K), R.SAMPLE_K) + "SELECT student_id, course_id FROM drawn",
+    "win_1_range": _sample_sql(_k_range_expr("s._id"), R.SAMPLE_K_RANGE[1]) + "SELECT student_id, course_id FROM drawn",
+    "win_3_sampled": _sample_sql(str(R.SAMPLE_K), R.SAMPLE_K, "instructor_id", "instructors")
+        + "SELECT course_id, min(instructor_id) AS instructor_id FROM drawn GROUP BY course_id",
     "win_2_range": f"SELECT _id, {_k_range_expr('_id')} AS k FROM students",
     "win_3_first": "SELECT course_id, instructor_id FROM claims",
     "win_4_grid": f"""
@@ -448,12 +517,12 @@ SELECT department_id, _id, num_enrollments FROM (
 WHERE rn <= 3
 """,
     "arr_1": "SELECT student_id AS _id, course_id FROM enrollments",
-    "arr_1_outer": "SELECT s._id, e.course_id FROM students s LEFT JOIN enrollments e ON e.student_id = s._id",
+    "arr_1_outer": "SELECT s._id, e.course_id FROM applicants s LEFT JOIN enrollments e ON e.student_id = s._id",
     "arr_2": """
-SELECT s._id, NOT EXISTS (
-    SELECT 1 FROM enrollments e
-    WHERE e.student_id = s._id AND CAST(e.course_id % 25 AS INTEGER) <> s.department_id) AS covered
-FROM students s
+SELECT s._id, EXISTS (
+    SELECT 1 FROM edges e JOIN courses c ON c._id = e.course_id
+    WHERE e.student_id = s._id AND c.department_id = s.department_id) AS covered
+FROM applicants s
 """,
     "arr_3_4": f"""
 SELECT n.n_nationkey, printf('%s-%03d', {REGION_CASE}, n.n_nationkey) AS code

@@ -34,19 +34,25 @@ SAMPLE_K = 3
 SAMPLE_K_RANGE = (3, 5)
 GRID_SLOTS = (4, 6)
 GRID_YEARS = (2020, 2021, 2022)
-DIVISION_MIN_QTY = 40
+TOP_ZERO = 3000  # q_6_zero: enough to reach courses without students
+NO_DEPARTMENT = -1
 SMALL_ARRAY = 4  # q_7_chunked: bucket size small enough to split students here
 TINY_ARRAY = 1   # q_7_overflow: repeated enrolments spill into overflow rows
 REGION_CODES = {"AFRICA": "AF", "AMERICA": "AM", "ASIA": "AS", "EUROPE": "EU", "MIDDLE EAST": "ME"}
 
 
-def _cols(spark, sf, max_array=testmap.MAX_ARRAY):
+def _cols(spark, sf, max_array=documents.MAX_LEN):
     return testmap.collections(spark, sf, max_array)
 
 
-def _students(cols) -> DataFrame:
-    """One row per student (head rows of the bucketed collection)."""
-    return documents.heads(cols["students"])
+def _applicants(cols) -> DataFrame:
+    """Students, and a copy of each without enrolments."""
+    return testmap.with_unused(cols["students"], "_id")
+
+
+def _planned(cols) -> DataFrame:
+    """Courses, and a copy of each that nobody teaches or takes."""
+    return testmap.with_unused(cols["courses"], "_id", instructor_id=F.lit(None).cast("long"))
 
 
 def _rel(spark, sf):
@@ -57,14 +63,15 @@ def _raw(spark, sf):
     return testmap.load(spark, sf)
 
 
-def _flat_students(students: DataFrame) -> DataFrame:
-    return students.select("_id", "_chunk", "student_name", "student_email", "department_id",
-                           array_size0("enrolled_courses").cast("long").alias("n_courses"),
-                           sorted_join("enrolled_courses").alias("courses"))
+def _flat_students(cols) -> DataFrame:
+    rows = documents.attach(cols["students"], cols["enrolled"], "_id")
+    return rows.select("_id", "_chunk", "student_name", "student_email", "department_id",
+                       array_size0("enrolled_courses").cast("long").alias("n_courses"),
+                       sorted_join("enrolled_courses").alias("courses"))
 
 
 def _course_counts(cols) -> DataFrame:
-    return membership.membership_counts(cols["students"], "_id", "enrolled_courses",
+    return membership.membership_counts(cols["enrolled"], "_id", "enrolled_courses",
                                         item_as="course_id", count_as="num_enrollments")
 
 
@@ -73,6 +80,10 @@ def q_1(spark, sf):
     return Q.q1_students_in_course(_cols(spark, sf), COURSE_Q1)
 
 
+def q_1_id(spark, sf):
+    return Q.q1_students_in_course(_cols(spark, sf), COURSE_Q1, with_id=True)
+
+
 def q_2(spark, sf):
     return Q.q2_mean_enrolment(_cols(spark, sf), INSTRUCTOR_Q2)
 
@@ -97,34 +108,50 @@ def q_5_grouped(spark, sf):
     return Q.q5_grouped(_cols(spark, sf))
 
 
+def q_5_pipeline(spark, sf):
+    return Q.q5_pipeline(_cols(spark, sf), DEPARTMENT_Q3)
+
+
+def q_6_zero(spark, sf):
+    """Q-6 with courses that nobody takes, and enough rows to reach them."""
+    cols = _cols(spark, sf)
+    return Q.q6_top_courses(dict(cols, courses=_planned(cols)), TOP_ZERO, include_empty=True)
+
+
 def q_6(spark, sf):
     return Q.q6_top_courses(_cols(spark, sf), 10)
 
 
 def q_7(spark, sf):
-    return _flat_students(_cols(spark, sf)["students"])
+    return _flat_students(_cols(spark, sf))
 
 
 def q_7_chunked(spark, sf):
-    return _flat_students(_cols(spark, sf, SMALL_ARRAY)["students"])
+    return _flat_students(_cols(spark, sf, SMALL_ARRAY))
 
 
 def q_7_indexed(spark, sf):
     """Q-7 with indexes: the written multikey index on enrolled_courses holds
-    exactly the distinct (course, student) pairs; the department-partitioned
-    copies hold every document."""
+    exactly the distinct (course, student) pairs, the department-partitioned
+    copies every document: (kind, part, id, label)."""
     from docrel.plans.migration import migrate
     paths = migrate(_rel(spark, sf), scratch_path(spark, "migrated"), with_indexes=True)
-    idx = spark.read.parquet(paths["students_by_course"])
-    by_dept = spark.read.parquet(paths["students_by_department"]).filter(F.col("_chunk") == 0)
-    n = by_dept.agg(F.count(F.lit(1)).alias("n_students"))
-    return idx.select("course_id", "student_id").crossJoin(F.broadcast(n))
+    out = spark.read.parquet(paths["students_by_course"]).select(
+        F.lit("index").alias("kind"), F.col("course_id").alias("part"),
+        F.col("student_id").alias("id"), F.lit("").alias("label"))
+    for name, label in (("students", "student_email"), ("instructors", "instructor_email"),
+                        ("courses", "course_code")):
+        copy = spark.read.parquet(paths[f"{name}_by_department"])
+        out = out.unionByName(copy.select(
+            F.lit(name).alias("kind"), F.col("department_id").cast("long").alias("part"),
+            F.col("_id").alias("id"), F.col(label).alias("label")))
+    return out
 
 
 def q_7_overflow(spark, sf):
     """Q-7 with a bucket of one: every repeated enrolment goes to an overflow
     row (negative ``_chunk``)."""
-    return _flat_students(_cols(spark, sf, TINY_ARRAY)["students"])
+    return _flat_students(_cols(spark, sf, TINY_ARRAY))
 
 
 def q_7_courses(spark, sf):
@@ -138,17 +165,17 @@ def q_7_roundtrip(spark, sf):
 
 # SRC / SNK ------------------------------------------------------------------------
 def src_1_collection(spark, sf):
-    path = scratch_path(spark, "students_json")
-    sinks.refresh(_cols(spark, sf)["students"], path, fmt="json")
-    back = io.read_collection(spark, path, fmt="json", schema=schemas.with_chunk(schemas.STUDENT_DOCS))
+    cols = _cols(spark, sf)
+    back = {}
+    for name in ("students", "enrolled"):
+        path = scratch_path(spark, f"{name}_json")
+        sinks.refresh(cols[name], path, fmt="json")
+        back[name] = io.read_collection(spark, path, fmt="json", schema=schemas.COLLECTIONS[name])
     return _flat_students(back)
 
 
 def src_3_tables(spark, sf):
-    split = io.keyed_split_options("c_custkey", 0, 1 << 20, 8)  # used by jdbc; inert for files
-    t = io.read_table(spark, f"{sf}/customer.parquet", columns=["c_custkey", "c_name", "c_nationkey"],
-                      split=split)
-    return t
+    return io.read_table(spark, f"{sf}/customer.parquet", columns=["c_custkey", "c_name", "c_nationkey"])
 
 
 def snk_1_refresh(spark, sf):
@@ -160,7 +187,7 @@ def snk_1_refresh(spark, sf):
 
 
 def snk_2_absent(spark, sf):
-    s = _students(_cols(spark, sf)).select("_id", "student_name", "department_id")
+    s = _cols(spark, sf)["students"].select("_id", "student_name", "department_id")
     target = s.filter(F.col("department_id") < 13)
     batch = s.filter(F.col("department_id") >= 8) \
              .withColumn("student_name", F.concat("student_name", F.lit(" (new)")))
@@ -177,7 +204,7 @@ def snk_2_absent(spark, sf):
 def snk_2_stream(spark, sf):
     """SNK-2 on a file stream: the batch (twice over) arrives as files read in
     several micro-batches; the target ends as with the batch form."""
-    s = _students(_cols(spark, sf)).select("_id", "student_name", "department_id")
+    s = _cols(spark, sf)["students"].select("_id", "student_name", "department_id")
     target = scratch_path(spark, "stream_target")
     source = scratch_path(spark, "stream_source")
     sinks.write_versioned(s.filter(F.col("department_id") < 13), target)
@@ -192,31 +219,54 @@ def snk_2_stream(spark, sf):
 
 
 def snk_3_update(spark, sf):
+    """Two updates a customer, of which the later wins, and some without a target."""
     c = _raw(spark, sf)["customer"]
     target = c.select(F.col("c_custkey").alias("_id"), F.col("c_mktsegment").alias("segment"))
-    upd = c.filter(F.col("c_acctbal") > 5000).select(
-        F.col("c_custkey").alias("_id"), F.lower("c_mktsegment").alias("segment"))
-    ghost = c.filter(F.col("c_acctbal") > 5000).select(
-        (F.col("c_custkey") + F.lit(1 << 40)).alias("_id"), F.lit("ghost").alias("segment"))
+    rich = c.filter(F.col("c_acctbal") > 5000)
+    def update(key, value, at):
+        return rich.select(key.alias("_id"), value.alias("segment"), F.lit(at).alias("at"))
+    key = F.col("c_custkey")
+    upd = update(key, F.lower("c_mktsegment"), 2).unionByName(update(key, F.lit("early"), 1)) \
+        .unionByName(update(key + F.lit(1 << 40), F.lit("ghost"), 1))
     p0, p1 = scratch_path(spark, "seg_v0"), scratch_path(spark, "seg_v1")
     sinks.write_versioned(target, p0)
-    out = sinks.set_fields(spark.read.parquet(p0), upd.unionByName(ghost), "_id", ["segment"])
+    out = sinks.set_fields(spark.read.parquet(p0), upd, "_id", ["segment"], order=["at", "segment"])
     sinks.write_versioned(out, p1)
     return spark.read.parquet(p1)
 
 
+def snk_3_array(spark, sf):
+    """SNK-3 on the array field: in departments below 5 every course once; the
+    bucket size does not show in the answer."""
+    cols = _cols(spark, sf, SMALL_ARRAY)
+    keys = cols["students"].filter(F.col("department_id") < 5).select("_id")
+    once = Q.enrollment_edges(cols)
+    side = documents.set_array(cols["enrolled"], keys, once, "_id", "student_id", "course_id",
+                               "enrolled_courses", max_len=SMALL_ARRAY)
+    back = documents.flatten_collections(dict(cols, enrolled=side))["enrollments"]
+    return grouping.count_per_group(back, ["student_id", "course_id"], "n")
+
+
 def snk_4_csv(spark, sf):
+    """Courses whose codes hold line breaks, quotes and delimiters, are empty or NULL."""
     path = scratch_path(spark, "courses_csv")
-    sinks.write_csv(_cols(spark, sf)["courses"], path)
+    c = _cols(spark, sf)["courses"]
+    year = F.col("offering_year")
+    odd = c.withColumn("course_code", F.when(year == 1998, "").when(year == 1999, F.lit(None).cast("string"))
+                       .when(year == 2000, F.concat("course_code", F.lit('\n"a", \'b\' \\ ')))
+                       .when(year == 2001, F.concat(F.lit(" "), "course_code", F.lit("\r\n")))
+                       .otherwise(F.col("course_code")))
+    sinks.write_csv(odd, path)
     return sinks.read_csv(spark, path, schemas.COURSE_DOCS)
 
 
 # SCH ------------------------------------------------------------------------------
 def sch_2_notnull(spark, sf):
     cols = _cols(spark, sf)
-    a = integrity.column_rule_report("courses", cols["courses"], ["course_code", "instructor_id"],
+    a = integrity.column_rule_report("courses", _planned(cols), ["course_code", "instructor_id"],
                                      {"course_code": 14})
-    b = integrity.column_rule_report("students", _students(cols), ["enrolled_courses"],
+    students = documents.attach(_applicants(cols), cols["enrolled"], "_id")
+    b = integrity.column_rule_report("students", students, ["enrolled_courses"],
                                      {"student_name": 18, "student_email": 10})
     return a.unionByName(b)
 
@@ -226,7 +276,11 @@ def sch_3_unique(spark, sf):
 
 
 def sch_3_report(spark, sf):
-    return integrity.integrity_report(_rel(spark, sf))
+    """All rules over the six tables, stored first as a database would hold them."""
+    rel = _rel(spark, sf)
+    paths = {k: scratch_path(spark, k) for k in rel}
+    sinks.refresh_all(rel, paths)
+    return integrity.integrity_report({k: spark.read.parquet(p) for k, p in paths.items()})
 
 
 def sch_4_fk(spark, sf):
@@ -242,8 +296,9 @@ def sch_5_ids(spark, sf):
 
 # FLT / PRJ ------------------------------------------------------------------------
 def flt_1(spark, sf):
-    s = membership.membership_filter(_cols(spark, sf)["students"], "enrolled_courses", COURSE_FLT1)
-    return s.select("_id", "student_name", "department_id")
+    cols = _cols(spark, sf)
+    hit = membership.membership_filter(cols["enrolled"], "enrolled_courses", COURSE_FLT1).select("_id")
+    return cols["students"].join(hit, "_id", "left_semi").select("_id", "student_name", "department_id")
 
 
 def flt_2(spark, sf):
@@ -293,7 +348,21 @@ def prj_5(spark, sf):
 
 # JOIN -----------------------------------------------------------------------------
 def join_1_membership(spark, sf):
-    return Q.enrollment_edges(_cols(spark, sf))
+    """Courses and the students who take them, with columns of both."""
+    cols = _cols(spark, sf)
+    c = cols["courses"].select(F.col("_id").alias("course_id"), "course_code")
+    j = membership.membership_join(c, cols["enrolled"].withColumnRenamed("_id", "student_id"), "course_id",
+                                   "enrolled_courses")
+    s = cols["students"].select(F.col("_id").alias("student_id"), "student_name")
+    return j.join(s, "student_id").select("course_id", "course_code", "student_id", "student_name")
+
+
+def join_1_left(spark, sf):
+    """JOIN-1 keeping courses that nobody takes."""
+    cols = _cols(spark, sf)
+    c = _planned(cols).select(F.col("_id").alias("course_id"), "course_code")
+    side = cols["enrolled"].select(F.col("_id").alias("student_id"), "enrolled_courses")
+    return membership.membership_join(c, side, "course_id", "enrolled_courses", how="left")
 
 
 def join_2(spark, sf):
@@ -304,8 +373,7 @@ def join_2(spark, sf):
 
 def join_3(spark, sf):
     cols = _cols(spark, sf)
-    d = layout.checked_broadcast(cols["departments"], 100_000)
-    s = _students(cols)
+    d, s = cols["departments"], cols["students"]
     return s.join(d, s["department_id"] == d["_id"]).select(s["_id"], "department_name")
 
 
@@ -317,14 +385,14 @@ def join_9(spark, sf):
 
 
 def join_4_share(spark, sf):
-    s = _students(_cols(spark, sf))
+    s = _cols(spark, sf)["students"]
     per = grouping.count_per_group(s, "department_id", "total_students")
     return grouping.attach_scalar(per, grouping.scalar_count(s, "all_students"))
 
 
 def join_5_fold(spark, sf):
     rel = _rel(spark, sf)
-    f = documents.fold_link(rel["courses"], rel["teaches"], "course_id", "course_id",
+    f = documents.fold_link(testmap.with_unused(rel["courses"], "course_id"), rel["teaches"], "course_id", "course_id",
                             "instructor_id", rel["instructors"], "instructor_id", as_="instructor_id")
     i = rel["instructors"].select(F.col("instructor_id").alias("_iid"), "instructor_name")
     return f.join(i, f["instructor_id"] == i["_iid"], "left") \
@@ -334,43 +402,73 @@ def join_5_fold(spark, sf):
 def join_6_lookup(spark, sf):
     cols = _cols(spark, sf)
     j = documents.lookup(cols["departments"], cols["instructors"], "_id", "department_id",
-                         "dept_instructors", max_len=testmap.MAX_ARRAY)
+                         "dept_instructors")
     return j.select("_id", "_chunk", F.size("dept_instructors").cast("long").alias("n_instructors"),
                     sorted_join(F.col("dept_instructors._id")).alias("instructor_ids"))
 
 
 def join_7_lookup_array(spark, sf):
     cols = _cols(spark, sf)
-    j = documents.lookup_in_array(cols["courses"], cols["students"], "_id", "enrolled_courses",
-                                  "enrolled_students", max_len=testmap.MAX_ARRAY,
-                                  doc_cols=["_id", "student_name"])
+    j = documents.lookup_in_array(cols["courses"], cols["enrolled"], "_id", "enrolled_courses",
+                                  "enrolled_students", doc_cols=["_id"])
     return j.select("_id", "_chunk", F.size("enrolled_students").cast("long").alias("n_students"),
                     sorted_join(F.col("enrolled_students._id")).alias("student_ids"))
 
 
 def join_7_count(spark, sf):
     cols = _cols(spark, sf)
-    j = documents.lookup_count(cols["courses"], cols["students"], "_id", "enrolled_courses",
+    j = documents.lookup_count(cols["courses"], cols["enrolled"], "_id", "enrolled_courses",
                                "n_students", foreign_is_array=True)
     return j.select("_id", "n_students")
 
 
+def join_6_null(spark, sf):
+    """JOIN-6 where missing equals null: the courses of every instructor, and of none."""
+    cols = _cols(spark, sf)
+    c = _planned(cols).select("_id", "instructor_id")
+    j = documents.lookup(c.select("instructor_id"), c, "instructor_id", "instructor_id", "docs",
+                         null_safe=True, max_len=SMALL_ARRAY, doc_cols=["_id"])
+    return j.groupBy("instructor_id").agg(F.sum(F.size("docs")).alias("n_courses"))
+
+
 def join_8_sub(spark, sf):
-    """JOIN-8 at scale: every instructor of department 3 carries the same
-    uncorrelated sub-result (size and first id of the department-1 core
-    courses).  Attached as a one-row aggregate; the array form
-    (``lookup_uncorrelated``) is for sub-results of checked, bounded size."""
+    """JOIN-8: every instructor of department 3 carries the same array, the core
+    courses of department 1.  It is kept once; its size and the sum of its ids are
+    one row, attached to all."""
     cols = _cols(spark, sf)
-    c = cols["courses"]
-    core = c.filter((F.col("department_id") == DEPARTMENT_Q3) & F.col("is_core_course"))
-    summary = core.agg(F.count(F.lit(1)).alias("n_core"), F.min("_id").alias("first_core"))
-    ins = cols["instructors"].filter(F.col("department_id") == DEPARTMENT_FLT4).select("_id")
-    return grouping.attach_scalar(ins, summary)
+    core = cols["courses"].filter((F.col("department_id") == DEPARTMENT_Q3) & F.col("is_core_course"))
+    ins = cols["instructors"].filter(F.col("department_id") == DEPARTMENT_FLT4)
+    keys, shared = documents.lookup_uncorrelated(ins, core.select("_id", "course_code"), "_id", "all_core",
+                                                 max_len=SMALL_ARRAY)
+    each = shared.select(F.explode("all_core._id").alias("id"))
+    return grouping.attach_scalar(keys.select("_id"), each.agg(F.count("id").alias("n_core"),
+                                                               F.sum("id").alias("ids_sum")))
+
+
+def agg_6_bucket_sizes(spark, sf):
+    """No generic answer depends on the bucket size: (max_array, what, n)."""
+    out = None
+    for m in (TINY_ARRAY, SMALL_ARRAY, documents.MAX_LEN):
+        cols = _cols(spark, sf, m)
+        d, s, side = cols["departments"], cols["students"], cols["enrolled"]
+        per = documents.lookup_count(d, s, "_id", "department_id", "n")
+        docs = documents.lookup(d, s, "_id", "department_id", "docs", max_len=m, doc_cols=["_id"])
+        one = documents.lookup_unwind(d, s, "_id", "department_id", "doc")
+        every = membership.membership_edges(side, "_id", "enrolled_courses", distinct=False)
+        for what, df, n in (("lookup_count", per, F.sum("n")), ("lookup", docs, F.sum(F.size("docs"))),
+                            ("lookup_unwind", one, F.count("doc")),
+                            ("unique_violations", integrity.unique_violations(s, ["_id"]), F.count("_id")),
+                            ("edges", Q.enrollment_edges(cols), F.count("course_id")),
+                            ("all_edges", every, F.count("item_id"))):
+            row = df.agg(n.cast("long").alias("n")).select(F.lit(m).alias("max_array"),
+                                                           F.lit(what).alias("what"), "n")
+            out = row if out is None else out.unionByName(row)
+    return out
 
 
 def join_10(spark, sf):
     cols = _cols(spark, sf)
-    out = sampling.candidate_counts(_students(cols).select("_id", "department_id"),
+    out = sampling.candidate_counts(cols["students"].select("_id", "department_id"),
                                     cols["courses"].select("department_id"), "department_id")
     return out.select("_id", "n_candidates")
 
@@ -381,13 +479,13 @@ def join_11(spark, sf):
     course is never a hot key of the join."""
     cols = _cols(spark, sf)
     taken = _course_counts(cols).select("course_id")
-    c = cols["courses"]
+    c = _planned(cols)
     return c.join(taken, c["_id"] == taken["course_id"], "left_anti").select("_id", "course_code")
 
 
 # AGG ------------------------------------------------------------------------------
 def agg_1(spark, sf):
-    return grouping.count_per_group(_students(_cols(spark, sf)), "department_id", "total_students")
+    return grouping.count_per_group(_cols(spark, sf)["students"], "department_id", "total_students")
 
 
 def agg_2(spark, sf):
@@ -397,7 +495,7 @@ def agg_2(spark, sf):
 
 def agg_4(spark, sf):
     cols = _cols(spark, sf)
-    claims = testmap.teaches_claims(_raw(spark, sf)["lineitem"])
+    claims = testmap.with_unused(testmap.teaches_claims(_raw(spark, sf)["lineitem"]), "course_id")
     per = membership.counts_for_items(claims, "course_id", _course_counts(cols), "course_id",
                                       "num_enrollments", include_empty=True)
     n = F.col("num_enrollments")
@@ -412,8 +510,8 @@ def agg_5(spark, sf):
 
 def agg_6_embed(spark, sf):
     rel = _rel(spark, sf)
-    s = documents.embed(rel["students"], rel["enrollments"], "student_id", "student_id",
-                        "course_id", "enrolled_courses", empty="empty", max_len=testmap.MAX_ARRAY)
+    s = documents.embed(testmap.with_unused(rel["students"], "student_id"), rel["enrollments"], "student_id", "student_id",
+                        "course_id", "enrolled_courses", empty="empty")
     return s.select(F.col("student_id").alias("_id"), "_chunk",
                     F.size("enrolled_courses").cast("long").alias("n_courses"),
                     sorted_join("enrolled_courses").alias("courses"))
@@ -429,8 +527,7 @@ def agg_7_empty(spark, sf):
 
 def _type_division_inputs(spark, sf):
     raw = _raw(spark, sf)
-    li = raw["lineitem"].filter(F.col("l_quantity") >= DIVISION_MIN_QTY) \
-                        .select("l_orderkey", "l_partkey")
+    li = raw["lineitem"].select("l_orderkey", "l_partkey")
     o = raw["orders"].select("o_orderkey", "o_custkey")
     p = raw["part"].select("p_partkey", "p_type")
     dividend = li.join(o, li["l_orderkey"] == o["o_orderkey"]) \
@@ -446,8 +543,7 @@ def agg_8_division(spark, sf):
 
 def agg_8_grouped(spark, sf):
     """Grouped division with a divisor per group: per nation, the customers
-    whose large lines (quantity >= 40) cover every part type that any customer
-    of their nation bought in large lines."""
+    whose lines cover every part type that any customer of their nation bought."""
     raw = _raw(spark, sf)
     dividend, _ = _type_division_inputs(spark, sf)
     c = raw["customer"].select("c_custkey", "c_nationkey")
@@ -456,6 +552,18 @@ def agg_8_grouped(spark, sf):
     return division.divide(grouped, divisor, "c_custkey", "p_type", group="c_nationkey")
 
 
+def agg_8_empty(spark, sf):
+    """Division by an empty set, read as "all": every instructor."""
+    return Q.q5_instructors_teaching_all_core(_cols(spark, sf), NO_DEPARTMENT, empty_divisor="all")
+
+
+def agg_8_grouped_empty(spark, sf):
+    """The same per group: departments below 5 have no core course here."""
+    cols = _cols(spark, sf)
+    c = cols["courses"].withColumn("is_core_course", F.col("is_core_course") & (F.col("department_id") >= 5))
+    return Q.q5_grouped(dict(cols, courses=c), empty_divisor="all")
+
+
 def agg_9_division(spark, sf):
     dividend, divisor = _type_division_inputs(spark, sf)
     return division.divide_by_containment(dividend, divisor, "c_custkey", "p_type")
@@ -464,7 +572,7 @@ def agg_9_division(spark, sf):
 # WIN ------------------------------------------------------------------------------
 def _sample(spark, sf, k):
     cols = _cols(spark, sf)
-    ents = _students(cols).select(F.col("_id").alias("student_id"), "department_id")
+    ents = cols["students"].select(F.col("_id").alias("student_id"), "department_id")
     items = cols["courses"].select("department_id", F.col("_id").alias("course_id"))
     kk = k if not isinstance(k, tuple) else rand_in_range(k[0], k[1], F.lit(SEED), F.col("student_id"))
     return sampling.sample_per_entity(ents, items, "student_id", "department_id", "course_id", kk, SEED)
@@ -479,7 +587,7 @@ def win_1_range(spark, sf):
 
 
 def win_2_range(spark, sf):
-    s = _students(_cols(spark, sf))
+    s = _cols(spark, sf)["students"]
     lo, hi = SAMPLE_K_RANGE
     return s.select("_id", rand_in_range(lo, hi, F.lit(SEED), F.col("_id")).alias("k"))
 
@@ -488,6 +596,17 @@ def win_3_first(spark, sf):
     return testmap.teaches_claims(_raw(spark, sf)["lineitem"])
 
 
+def win_3_sampled(spark, sf):
+    """WIN-1 then WIN-3: every instructor draws three courses of the own department;
+    a course goes to the first who drew it."""
+    cols = _cols(spark, sf)
+    ents = cols["instructors"].select(F.col("_id").alias("instructor_id"), "department_id")
+    items = cols["courses"].select("department_id", F.col("_id").alias("course_id"))
+    drawn = sampling.sample_per_entity(ents, items, "instructor_id", "department_id", "course_id",
+                                       SAMPLE_K, SEED)
+    return sampling.first_claim(drawn, "course_id", "instructor_id", ["instructor_id"])
+
+
 def _dept_prefix(raw) -> DataFrame:
     n, r = raw["nation"], raw["region"]
     j = n.join(r, n["n_regionkey"] == r["r_regionkey"])
@@ -527,23 +646,26 @@ def ord_3_group(spark, sf):
 
 # ARR ------------------------------------------------------------------------------
 def arr_1(spark, sf):
-    s = _cols(spark, sf)["students"].select("_id", "enrolled_courses")
-    return unwind(s, "enrolled_courses", "course_id")
+    return unwind(_cols(spark, sf)["enrolled"].select("_id", "enrolled_courses"), "enrolled_courses",
+                  "course_id")
 
 
 def arr_1_outer(spark, sf):
-    s = _cols(spark, sf)["students"].select("_id", "enrolled_courses")
+    cols = _cols(spark, sf)
+    s = documents.attach(_applicants(cols), cols["enrolled"], "_id").select("_id", "enrolled_courses")
     return unwind(s, "enrolled_courses", "course_id", preserve_empty=True)
 
 
 def arr_2(spark, sf):
-    """Every enrolled course lies in the student's own department (the
-    reference draws enrolments from the student's department only)."""
-    s = _cols(spark, sf)["students"]
-    course_depts = F.transform("enrolled_courses",
-                               lambda x: (x % testmap.N_DEPARTMENTS_FOR_COURSES).cast("int"))
-    per_row = s.select("_id", is_subset(course_depts, F.array("department_id")).alias("covered"))
-    return per_row.groupBy("_id").agg(F.bool_and("covered").alias("covered"))
+    """Whether the departments of a student's courses include the student's own."""
+    cols = _cols(spark, sf)
+    c = cols["courses"].select(F.col("_id").alias("course_id"), F.col("department_id").alias("dept"))
+    # at most as many departments as there are
+    depts = Q.enrollment_edges(cols).join(c, "course_id").groupBy("student_id") \
+        .agg(F.collect_set("dept").alias("depts"))
+    s = _applicants(cols)
+    return s.join(depts, s["_id"] == depts["student_id"], "left") \
+            .select("_id", is_subset(F.array("department_id"), "depts").alias("covered"))
 
 
 def arr_3_4(spark, sf):
@@ -559,7 +681,7 @@ def arr_3_4(spark, sf):
 def phy_1_cache(spark, sf):
     """PHY-1: one cached intermediate read by two consumers (the per-department
     counts and the total) in one job, released after the result is written."""
-    s = _students(_cols(spark, sf)).select("department_id")
+    s = _cols(spark, sf)["students"].select("department_id")
     out = scratch_path(spark, "share")
     with layout.cached(s) as c:
         per = grouping.count_per_group(c, "department_id", "total_students")
@@ -603,10 +725,10 @@ def phy_5_layout(spark, sf):
 def phy_6_inverted(spark, sf):
     cols = _cols(spark, sf)
     path = scratch_path(spark, "enrolled_index")
-    layout.write_inverted_index(cols["students"], "_id", "enrolled_courses", path,
+    layout.write_inverted_index(cols["enrolled"], "_id", "enrolled_courses", path,
                                 item_as="course_id", owner_as="student_id")
     hit = layout.index_lookup(spark, path, COURSE_Q1, item_as="course_id", owner_as="student_id")
-    s = _students(cols)
+    s = cols["students"]
     return s.join(hit, s["_id"] == hit["student_id"], "left_semi").select("student_name", "student_email")
 
 

@@ -27,8 +27,8 @@ INSTRUCTORS = _s(("instructor_id", ID, False), ("instructor_name", T.StringType(
 COURSES = _s(("course_id", ID, False), ("course_code", T.StringType(), False),
              ("department_id", DEPT, False), ("is_core_course", T.BooleanType(), False),
              ("offering_year", T.IntegerType(), False))
-TEACHES = _s(("course_id", ID, False), ("instructor_id", ID, False))
-ENROLLMENTS = _s(("student_id", ID, False), ("course_id", ID, False))
+TEACHES = _s(("teaches_id", ID, False), ("course_id", ID, False), ("instructor_id", ID, False))
+ENROLLMENTS = _s(("enrollment_id", ID, False), ("student_id", ID, False), ("course_id", ID, False))
 
 RELATIONAL = {
     "departments": DEPARTMENTS, "students": STUDENTS, "instructors": INSTRUCTORS,
@@ -38,21 +38,20 @@ RELATIONAL = {
 # Document side ---------------------------------------------------------------
 DEPARTMENT_DOCS = _s(("_id", DEPT, False), ("department_name", T.StringType(), True))
 STUDENT_DOCS = _s(("_id", ID, False), ("student_name", T.StringType(), True),
-                  ("student_email", T.StringType(), True), ("department_id", DEPT, True),
-                  ("enrolled_courses", T.ArrayType(ID, True), True))
+                  ("student_email", T.StringType(), True), ("department_id", DEPT, True))
+#: Side collection of the students' array (``operators.documents``).
+ENROLLED_DOCS = _s(("_id", ID, False), ("_chunk", T.LongType(), False),
+                   ("enrolled_courses", T.ArrayType(ID, True), True))
+#: Students as a document store may hold them, with the array inline.
+STUDENT_DOCS_INLINE = T.StructType(STUDENT_DOCS.fields + [ENROLLED_DOCS.fields[2]])
 INSTRUCTOR_DOCS = _s(("_id", ID, False), ("instructor_name", T.StringType(), True),
                      ("instructor_email", T.StringType(), True), ("department_id", DEPT, True))
 COURSE_DOCS = _s(("_id", ID, False), ("course_code", T.StringType(), True),
                  ("department_id", DEPT, True), ("is_core_course", T.BooleanType(), True),
                  ("offering_year", T.IntegerType(), True), ("instructor_id", ID, True))
 
-def with_chunk(schema: T.StructType) -> T.StructType:
-    """A collection schema plus the ``_chunk`` column of the bucket pattern."""
-    return T.StructType(schema.fields + [T.StructField("_chunk", T.LongType(), False)])
-
-
 COLLECTIONS = {
-    "departments": DEPARTMENT_DOCS, "students": STUDENT_DOCS,
+    "departments": DEPARTMENT_DOCS, "students": STUDENT_DOCS, "enrolled": ENROLLED_DOCS,
     "instructors": INSTRUCTOR_DOCS, "courses": COURSE_DOCS,
 }
 
@@ -67,6 +66,7 @@ VARCHAR_LIMITS = {
 PRIMARY_KEYS = {
     "departments": ["department_id"], "students": ["student_id"],
     "instructors": ["instructor_id"], "courses": ["course_id"],
+    "teaches": ["teaches_id"], "enrollments": ["enrollment_id"],
 }
 UNIQUE_KEYS = {
     "students": [["student_email"]], "instructors": [["instructor_email"]],

@@ -14,7 +14,7 @@ from docrel.plans import queries as Q
 def cols(spark):
     students = spark.createDataFrame(
         [(1, "s1", "s1@x", 1, [1, 2]), (2, "s2", "s2@x", 1, [1, 1]), (3, "s3", "s3@x", 2, None),
-         (4, "s4", "s4@x", 2, []), (5, "s5", "s5@x", 1, [2, None])], schemas.STUDENT_DOCS)
+         (4, "s4", "s4@x", 2, []), (5, "s5", "s5@x", 1, [2, None])], schemas.STUDENT_DOCS_INLINE)
     courses = spark.createDataFrame(
         [(1, "CS-1", 1, True, 2020, 2), (2, "CS-2", 1, True, 2021, 2),
          (3, "CS-3", 1, False, 2022, 2), (4, "EE-1", 2, True, 2020, None)], schemas.COURSE_DOCS)
@@ -85,10 +85,10 @@ def test_lookup_empty_and_null_safe(spark):
     left = spark.createDataFrame([(1, 10), (2, None), (3, 30)], "k long, f long")
     right = spark.createDataFrame([(10, "x"), (None, "n"), (10, "y")], "f long, v string")
     out = documents.lookup(left, right, "f", "f", "docs")
-    sizes = {r["k"]: len(r["docs"]) for r in out.collect()}
-    assert sizes == {1: 2, 2: 0, 3: 0}
+    sizes = {r["f"]: len(r["docs"]) for r in out.collect()}
+    assert sizes == {10: 2, None: 0, 30: 0}
     ns = documents.lookup(left, right, "f", "f", "docs", null_safe=True)
-    assert {r["k"]: len(r["docs"]) for r in ns.collect()} == {1: 2, 2: 1, 3: 0}
+    assert {r["f"]: len(r["docs"]) for r in ns.collect()} == {10: 2, None: 1, 30: 0}
 
 
 def test_lookup_count_matches_lookup_size(cols):
@@ -111,10 +111,10 @@ def test_match_children_any_vs_same(cols):
 def test_embed_missing_vs_empty(spark):
     parent = spark.createDataFrame([(1,), (2,)], "k long")
     child = spark.createDataFrame([(1, 5), (1, 3), (1, 5)], "k long, v long")
-    miss = dict((r[0], r[1]) for r in documents.embed(parent, child, "k", "k", "v", "a").collect())
-    emp = dict((r[0], r[1]) for r in documents.embed(parent, child, "k", "k", "v", "a",
-                                                     empty="empty").collect())
-    assert miss == {1: [3, 5, 5], 2: None}
+    miss = dict((r["k"], r["a"]) for r in documents.embed(parent, child, "k", "k", "v", "a").collect())
+    emp = dict((r["k"], r["a"]) for r in documents.embed(parent, child, "k", "k", "v", "a",
+                                                         empty="empty").collect())
+    assert miss == {1: [3, 5, 5]}
     assert emp == {1: [3, 5, 5], 2: []}
 
 
@@ -123,7 +123,7 @@ def test_integrity_negative_rows(spark):
     s = spark.createDataFrame(
         [(1, "a" * 101, "e1", 1), (2, "b", "e1", 1), (3, "c", "e3", 9)],
         "student_id long, student_name string, student_email string, department_id int")
-    t = spark.createDataFrame([(1, 1), (1, 2)], "course_id long, instructor_id long")
+    t = spark.createDataFrame([(1, 1, 1), (1, 1, 2)], "teaches_id long, course_id long, instructor_id long")
     rep = {(r["table_name"], r["rule"], r["column_name"]): r["violations"]
            for r in integrity.integrity_report({"departments": d, "students": s, "teaches": t}).collect()}
     assert rep[("departments", "primary_key", "department_id")] == 1
@@ -132,6 +132,7 @@ def test_integrity_negative_rows(spark):
     assert rep[("students", "unique", "student_email")] == 1
     assert rep[("students", "foreign_key:departments", "department_id")] == 1
     assert rep[("teaches", "unique", "course_id")] == 1
+    assert rep[("teaches", "primary_key", "teaches_id")] == 1
 
 
 def test_fk_composite_ignores_nulls(spark):
@@ -140,29 +141,42 @@ def test_fk_composite_ignores_nulls(spark):
     assert rows(integrity.fk_violations(child, parent, ["a", "b"], ["x", "y"])) == [(3, 7)]
 
 
-def test_lookup_uncorrelated_array_and_bound(cols):
+def test_lookup_uncorrelated_keeps_the_array_once(cols):
     core = cols["courses"].filter("department_id = 1 AND is_core_course").select("_id")
-    out = documents.lookup_uncorrelated(cols["instructors"].select("_id"), core, "all_core")
-    assert sorted((r["_id"], sorted(d["_id"] for d in r["all_core"])) for r in out.collect()) == \
+    keys, shared = documents.lookup_uncorrelated(cols["instructors"], core, "_id", "all_core")
+    assert shared.count() == 1
+    assert sorted((r["_id"], [d["_id"] for d in r["all_core"]]) for r in keys.join(shared, "_shared").collect()) == \
         [(1, [1, 2]), (2, [1, 2])]
-    none = documents.lookup_uncorrelated(cols["instructors"].select("_id"), core.filter("_id < 0"), "x")
-    assert [len(r["x"]) for r in none.collect()] == [0, 0]
-    with pytest.raises(ValueError):
-        documents.lookup_uncorrelated(cols["instructors"], core, "x", max_rows=1)
-
-
-def test_containment_refuses_large_divisor(spark):
-    dividend = spark.createDataFrame([(1, "a")], "e long, i string")
-    divisor = spark.createDataFrame([("a",), ("b",)], "i string")
-    with pytest.raises(ValueError):
-        division.divide_by_containment(dividend, divisor, "e", "i", max_divisor=1)
-
-
-def test_q2_both_plans_agree(cols):
-    for inc in (False, True):
-        a = rows(Q.q2_mean_enrolment(cols, 2, include_empty=inc))
-        b = rows(Q.q2_mean_enrolment(cols, 2, include_empty=inc, broadcast_rows=0))
-        assert a == b
+    keys, shared = documents.lookup_uncorrelated(cols["instructors"], core.filter("_id < 0"), "_id", "x")
+    assert [len(r["x"]) for r in keys.join(shared, "_shared").collect()] == [0, 0]
+    keys, shared = documents.lookup_uncorrelated(cols["instructors"], core, "_id", "x", max_len=1)
+    assert sorted(d["_id"] for r in shared.collect() for d in r["x"]) == [1, 2] and shared.count() == 2
+
+
+def test_empty_divisors_per_group(spark):
+    dividend = spark.createDataFrame([(1, 1, 5), (1, 2, 6), (2, 3, 7), (2, 3, 8)], "g long, e long, i long")
+    divisor = spark.createDataFrame([(1, 5), (3, 9)], "g long, i long")
+    for f in (division.divide, division.divide_by_containment):
+        assert rows(f(dividend, divisor, "e", "i", group="g")) == [(1, 1)]
+        assert rows(f(dividend, divisor, "e", "i", group="g", empty_divisor="all")) == [(1, 1), (2, 3)]
+
+
+def test_every_copy_is_unwound(spark):
+    parent = spark.createDataFrame([(1,)], "k long")
+    child = spark.createDataFrame([(1, 7)] * 9 + [(1, 8)], "k long, v long")
+    side = documents.embed(parent, child, "k", "k", "v", "arr", max_len=2)
+    plain = membership.membership_edges(side, "k", "arr", distinct=False)
+    assert plain.count() == 10 and membership.membership_edges(side, "k", "arr").count() == 2
+
+
+def test_set_array_replaces_whole_arrays(spark):
+    parent = spark.createDataFrame([(1,), (2,), (3,)], "k long")
+    child = spark.createDataFrame([(1, 7), (1, 8), (2, 9), (2, 9)], "k long, v long")
+    side = documents.embed(parent, child, "k", "k", "v", "arr", max_len=1)
+    new = spark.createDataFrame([(1, 5)], "k long, v long")
+    out = documents.set_array(side, parent.filter("k < 2"), new, "k", "k", "v", "arr", max_len=1)
+    flat = out.select("k", F.explode("arr").alias("v"))
+    assert rows(flat) == [(1, 5), (2, 9), (2, 9)]
 
 
 def test_key_violation_counts_one_pass(spark):

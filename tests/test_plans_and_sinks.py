@@ -1,5 +1,7 @@
 """Plan shape assertions and sink idempotence."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,12 +25,10 @@ def cols(spark):
 
 def test_membership_paths_have_no_nested_loop(cols):
     for df in (Q.q6_top_courses(cols), Q.q2_mean_enrolment(cols, 2),
-               membership.membership_join(cols["courses"], cols["students"], "_id", "enrolled_courses")):
+               membership.membership_join(cols["courses"], cols["enrolled"].withColumnRenamed("_id", "sid"), "_id",
+                                          "enrolled_courses")):
         p = plan(df)
         assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
-    # the literal array_contains join has no equi key: a quadratic plan
-    theta = membership.membership_join_theta(cols["courses"], cols["students"], "_id", "enrolled_courses")
-    assert "NestedLoopJoin" in plan(theta) or "CartesianProduct" in plan(theta)
 
 
 def test_top_k_is_take_ordered(cols):
@@ -37,7 +37,7 @@ def test_top_k_is_take_ordered(cols):
 
 
 def test_top_k_per_group_limits_before_shuffle(cols):
-    cnt = membership.membership_counts(cols["students"], "_id", "enrolled_courses",
+    cnt = membership.membership_counts(cols["enrolled"], "_id", "enrolled_courses",
                                        item_as="course_id", count_as="n")
     df = grouping.top_k_per_group(cnt.withColumn("g", F.col("course_id") % 7), "g",
                                   F.col("n").desc(), 2, F.col("course_id"))
@@ -46,17 +46,17 @@ def test_top_k_per_group_limits_before_shuffle(cols):
 
 
 def test_counts_are_partial_aggregates(cols):
-    p = plan(membership.membership_counts(cols["students"], "_id", "enrolled_courses"))
+    p = plan(membership.membership_counts(cols["enrolled"], "_id", "enrolled_courses"))
     assert "partial_count" in p
 
 
 def test_inverted_index_pushes_equality(spark, cols):
     path = scratch_path(spark, "idx")
-    layout.write_inverted_index(cols["students"], "_id", "enrolled_courses", path,
+    layout.write_inverted_index(cols["enrolled"], "_id", "enrolled_courses", path,
                                 item_as="course_id", owner_as="student_id")
     df = layout.index_lookup(spark, path, 15, item_as="course_id", owner_as="student_id")
     assert "EqualTo(course_id,15)" in plan(df)
-    slow = membership.membership_filter(cols["students"], "enrolled_courses", 15).select("_id")
+    slow = membership.membership_filter(cols["enrolled"], "enrolled_courses", 15).select("_id")
     assert sorted(r[0] for r in df.collect()) == sorted(r[0] for r in slow.collect())
 
 
@@ -69,15 +69,6 @@ def test_partitioned_layout_prunes(spark, cols):
     assert df.count() == cols["courses"].filter("department_id = 1").count()
 
 
-def test_checked_broadcast(spark, cols):
-    d = cols["departments"]
-    s = cols["students"]
-    assert "BroadcastHashJoin" in plan(s.join(layout.checked_broadcast(d, 1000), s["department_id"] == d["_id"]))
-    # over the bound: no hint, the join is left to AQE / sort-merge
-    big = layout.checked_broadcast(s, 10)
-    assert big is s
-
-
 def _table(df):
     return sorted(tuple(r) for r in df.collect())
 
@@ -115,9 +106,11 @@ def test_csv_round_trip(spark, cols):
 
 def test_json_collection_keeps_nulls_and_arrays(spark, cols):
     path = scratch_path(spark, "json")
-    sinks.refresh(cols["students"], path, fmt="json")
-    back = io.read_collection(spark, path, fmt="json", schema=schemas.with_chunk(schemas.STUDENT_DOCS))
-    assert _table(back) == _table(cols["students"])
+    rows = cols["students"].join(cols["enrolled"].drop("_chunk"), "_id", "left") \
+        .unionByName(cols["students"].limit(3).withColumn("enrolled_courses", F.lit(None).cast("array<long>")))
+    sinks.refresh(rows, path, fmt="json")
+    back = io.read_collection(spark, path, fmt="json", schema=schemas.STUDENT_DOCS_INLINE)
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
 
 
 def test_keyed_split_options():
@@ -131,7 +124,9 @@ def test_set_fields_reduces_duplicate_updates(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
     upd = spark.createDataFrame([(2, "z", 2), (2, "y", 1)], "k long, v string, ts long")
     out = sinks.set_fields(target, upd, "k", ["v"], order=["ts"])
-    assert _table(out) == [(1, "a"), (2, "y")]
+    assert _table(out) == [(1, "a"), (2, "z")]           # as successive updates: the last one
+    with pytest.raises(Exception, match="several updates without an order for key 2"):
+        sinks.set_fields(target, upd, "k", ["v"]).collect()
 
 
 def test_cached_releases(spark):
@@ -142,9 +137,8 @@ def test_cached_releases(spark):
 
 
 def test_bucketed_tables_join_without_shuffle(spark, cols):
-    from docrel.operators.documents import heads
-    s = heads(cols["students"]).select("_id", "department_id")
-    e = membership.membership_edges(cols["students"], "_id", "enrolled_courses",
+    s = cols["students"].select("_id", "department_id")
+    e = membership.membership_edges(cols["enrolled"], "_id", "enrolled_courses",
                                     owner_as="_id", item_as="course_id")
     layout.bucket_table(s, "b_students", 4, ["_id"], ["_id"])
     layout.bucket_table(e, "b_edges", 4, ["_id"], ["_id"])
@@ -178,12 +172,69 @@ def test_refresh_all_writes_every_table(spark, cols):
         assert _table(spark.read.parquet(paths[k])) == _table(df)
 
 
-def test_q2_plan_paths(cols):
-    small = plan(Q.q2_mean_enrolment(cols, 2))
-    assert "BroadcastHashJoin" in small and "LeftSemi" in small
-    big = plan(Q.q2_mean_enrolment(cols, 2, broadcast_rows=0))
-    # count-first: the per-course partial count sits below the semi join
-    assert big.index("LeftSemi") < big.index("partial_count")
+def test_q2_is_lazy_and_counts_first(spark, cols):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("q2", "q2")
+    df = Q.q2_mean_enrolment(cols, 2)
+    assert tracker.getJobIdsForGroup("q2") == []
+    p = plan(df)
+    # the per-course partial count sits below the semi join
+    assert p.index("LeftSemi") < p.index("partial_count")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_student_scalars_need_no_enrolments(cols):
+    for df in (Q.q4_students_per_department(cols), cols["students"]):
+        assert "lineitem" not in plan(df) and "l_partkey" not in plan(df)
+
+
+def test_csv_keeps_odd_strings(spark):
+    rows = [(1, "a\nb"), (2, ""), (3, None), (4, 'x"y,z'), (5, " pad "), (6, "\r\n"), (7, "\\"), (8, '"'), (9, "\\n")]
+    df = spark.createDataFrame(rows, "k long, v string")
+    path = scratch_path(spark, "odd_csv")
+    sinks.write_csv(df, path)
+    assert sorted(tuple(r) for r in sinks.read_csv(spark, path, df.schema).collect()) == rows
+    with pytest.raises(Exception, match="mark of NULL"):
+        sinks.write_csv(spark.createDataFrame([("\\N",)], "v string"), scratch_path(spark, "bad_csv"))
+
+
+def test_stream_with_a_wrong_key_fails(spark):
+    from docrel.streaming import append_absent_batch
+    target = scratch_path(spark, "stream_wrong")
+    spark.createDataFrame([(1, "a")], "k long, v string").write.parquet(target)
+    batch = spark.createDataFrame([(1, 2, "b")], "k long, other long, v string")
+    with pytest.raises(Exception, match="other"):
+        append_absent_batch(target, ["other"])(batch, 0)
+    assert spark.read.parquet(target).count() == 1
+
+
+def test_stream_reads_touched_partitions(spark):
+    from docrel.streaming import append_absent_batch
+    target = scratch_path(spark, "stream_days")
+    sink = append_absent_batch(target, ["day", "k"], partition_by="day")
+    b = spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (2, 1, "c")], "day int, k long, v string")
+    sink(b, 0)
+    sink(b, 0)
+    sink(spark.createDataFrame([(2, 2, "d"), (3, 1, "e")], "day int, k long, v string"), 1)
+    assert sorted((r.day, r.k, r.v) for r in spark.read.parquet(target).collect()) == \
+        [(1, 1, "a"), (2, 1, "b"), (2, 2, "d"), (3, 1, "e")]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+    from docrel.session import ensure_checkpoint_dir
+    none = SimpleNamespace(get=lambda *a: None)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=none))
+
+
+def test_connector_options():
+    o = io.connector_split_options("SplitByKey", "_id", 8)
+    assert o["partitionerOptions.partitionKey"] == "_id" and o["partitionerOptions.numberOfPartitions"] == "8"
+    with pytest.raises(ValueError):
+        io.connector_split_options("SplitByKey", "_id", 0)
 
 
 def test_hot_copies_make_bounded_rows(spark):
@@ -202,34 +253,64 @@ def test_hot_copies_make_bounded_rows(spark):
     assert edges.count() == 5001
 
 
-def test_hot_parent_join_is_split_by_aqe(spark):
-    """A parent with a third of all children: the bucketing join must be a
-    skew-split sort-merge join, and the result stays whole."""
-    from docrel.operators.documents import embed
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
+SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+
+
+@pytest.fixture
+def skewed(spark):
+    old = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
         spark.conf.set(k, v)
-    try:
-        child = spark.range(300000).select(
-            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000 + 1).alias("k"),
-            (F.col("id") * 7 % 100003).alias("v"))
-        parent = spark.range(5001).select(F.col("id").alias("k"))
-        out = embed(parent, child, "k", "k", "v", "arr", max_len=1000)
-        res = out.groupBy((F.col("k") == 0).alias("hot")).agg(
-            F.count(F.lit(1)).alias("rows"), F.sum(F.size("arr")).alias("elems"))
-        assert sorted(tuple(r) for r in res.collect()) == [(False, 5000, 200000), (True, 100, 100000)]
-        assert "SortMergeJoin(skew=true)" in res._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _join_nodes(df, hot="1 = 1"):
+    """Join nodes of the final plan, and the hot rows of each task."""
+    tasks = df.withColumn("_task", F.spark_partition_id())
+    per_task = Counter(r["_task"] for r in tasks.withColumn("_hot", F.expr(hot)).collect() if r["_hot"])
+    tasks.collect()
+    return [x for x in plan(tasks).split("Initial Plan")[0].splitlines() if "SortMergeJoin" in x], \
+        list(per_task.values())
+
+
+def test_hot_parent_is_split_in_every_join(spark, skewed):
+    """A parent with a third of all children: the bucketing join, the join that
+    attaches the chunks and a left membership join on a hot item are all split."""
+    from docrel.operators.documents import attach, embed
+    child = spark.range(300000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000 + 1).alias("k"),
+        (F.col("id") * 7 % 100003).alias("v"))
+    parent = spark.range(5002).select(F.col("id").alias("k"))
+    side = embed(parent, child, "k", "k", "v", "arr", max_len=100)
+    joins, _ = _join_nodes(side)
+    assert any("skew=true" in x for x in joins)
+    path = scratch_path(spark, "hot_side")
+    side.write.parquet(path)
+    out = attach(parent, spark.read.parquet(path), "k")
+    joins, rows = _join_nodes(out, "k = 0")
+    inner = [x for x in joins if "Inner" in x]
+    assert inner and all("skew=true" in x for x in inner)
+    assert len(rows) > 1 and max(rows) < 0.7 * sum(rows)
+    res = out.groupBy((F.col("k") == 0).alias("hot")).agg(F.sum(F.size("arr")).alias("elems"))
+    assert sorted(tuple(r) for r in res.collect()) == [(False, 200000), (True, 100000)]
+
+
+def test_hot_item_is_split_in_a_left_membership_join(spark, skewed):
+    owners = spark.range(30000).select(F.col("id").alias("o"), F.array(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500 + 1)).alias("arr"))
+    items = spark.range(600).select(F.col("id").alias("i"), F.lit("x" * 20).alias("name"))
+    out = membership.membership_join(items, owners, "i", "arr", how="left")
+    joins, rows = _join_nodes(out, "i = 0")
+    inner = [x for x in joins if "Inner" in x]
+    assert inner and all("skew=true" in x for x in inner)
+    assert out.count() == 30000 + 99 and sum(rows) == 10000
+    assert len(rows) > 1 and max(rows) < 0.7 * sum(rows)
 
 
 def test_indexed_migration_prunes_by_department(spark):

@@ -15,11 +15,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from docrel import schemas  # noqa: E402
-from docrel.operators import documents, membership  # noqa: E402
+from docrel.operators import membership  # noqa: E402
 from docrel.plans import layout, queries as Q, registry, testmap  # noqa: E402
+from docrel.plans.migration import read_migrated  # noqa: E402
 from docrel.session import get_session, scratch_path  # noqa: E402
-from docrel.sources import io, sinks  # noqa: E402
+from docrel.sources import sinks  # noqa: E402
 
 
 COMMENTARY = """## Reading these plans at 100 TB
@@ -77,17 +77,16 @@ def main(argv):
     built = testmap.collections(spark, sf_dir)
     paths = {k: f"{scratch}/{k}" for k in built}
     sinks.refresh_all(built, paths)
-    sch = dict(schemas.COLLECTIONS, students=schemas.with_chunk(schemas.STUDENT_DOCS))
-    cols = {k: io.read_collection(spark, p, schema=sch[k]) for k, p in paths.items()}
-    idx = layout.write_inverted_index(cols["students"], "_id", "enrolled_courses", f"{scratch}/idx",
+    cols = read_migrated(spark, paths)
+    idx = layout.write_inverted_index(cols["enrolled"], "_id", "enrolled_courses", f"{scratch}/idx",
                                       item_as="course_id", owner_as="student_id")
     bydept = layout.write_layout(cols["courses"], f"{scratch}/bydept", partition_by=["department_id"],
                                  cluster_by=["_id"])
-    counts = membership.membership_counts(cols["students"], "_id", "enrolled_courses",
+    counts = membership.membership_counts(cols["enrolled"], "_id", "enrolled_courses",
                                           item_as="course_id", count_as="n")
     cases = {
         "Q-1 students in course 15": Q.q1_students_in_course(cols, registry.COURSE_Q1),
-        "Q-1 through the inverted table (PHY-6)": documents.heads(cols["students"]).join(
+        "Q-1 through the inverted table (PHY-6)": cols["students"].join(
             layout.index_lookup(spark, idx, registry.COURSE_Q1, item_as="course_id",
                                 owner_as="student_id"),
             F.col("_id") == F.col("student_id"), "left_semi").select("student_name", "student_email"),
