@@ -3,8 +3,10 @@
 Two zstandard dictionaries are built, one from good and one from bad labelled
 texts.  A text is compressed whole with either; the one that knows its kind
 compresses it better, so the difference of the sizes, over the size without a
-dictionary, tells the classes apart.  Logistic calibration on other labelled
-texts turns that into a score.
+dictionary, tells the classes apart.  Logistic calibration on other labelled texts
+turns that into a score.  A difference means less for a text that is short or
+shrinks to little by itself, so the calibration also sees the text's own ratio and
+the logarithm of its length.
 
 Fitting uses a bounded sample: at most about ``PER_CLASS`` texts of each class,
 chosen by a hash of the id, ``DICTIONARY_SHARE`` of them for the dictionaries and
@@ -54,7 +56,7 @@ def _sampled(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
 
 
 class Model:
-    """Dictionaries of the classes and the calibration's two numbers."""
+    """Dictionaries of the classes and the calibration's weights."""
 
     def __init__(self, sample: list[tuple[int, int, str]]):
         import zstandard
@@ -68,10 +70,11 @@ class Model:
                     size += len(raw)
             self.dictionaries.append(self._dictionary(zstandard, texts, size))
         self._open()
-        xy = [(self.difference(t.encode()), y) for y, part, t in sample if part == 1]
+        xy = [(self.measures(t.encode()), y) for y, part, t in sample if part == 1]
         if len({y for _, y in xy}) < 2:
-            xy = [(self.difference(t.encode()), y) for y, _, t in sample]
-        self.slope, self.shift = _logistic(np.array([x for x, _ in xy]), np.array([y for _, y in xy], float))
+            xy = [(self.measures(t.encode()), y) for y, _, t in sample]
+        self.weights = _logistic(np.array([x for x, _ in xy]).reshape(-1, 3),
+                                 np.array([y for _, y in xy], float))
 
     @staticmethod
     def _dictionary(zstandard, texts: list[bytes], size: int) -> bytes:
@@ -93,38 +96,42 @@ class Model:
             self.known.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False))
 
     def __getstate__(self):
-        return {k: getattr(self, k) for k in ("dictionaries", "slope", "shift")}
+        return {k: getattr(self, k) for k in ("dictionaries", "weights")}
 
     def __setstate__(self, state):
         self.__dict__ |= state
         self._open()
 
-    def difference(self, raw: bytes) -> float:
-        """(size by the bad dictionary - size by the good one) / size without; 0 for an empty text."""
+    def measures(self, raw: bytes) -> tuple[float, float, float]:
+        """(size by the bad dictionary - size by the good one) / size without, size without /
+        length, log of the length; (0, 1, 0) for an empty text."""
         if not raw:
-            return 0.0
+            return 0.0, 1.0, 0.0
         bad, good = (len(z.compress(raw)) for z in self.known)
-        return (bad - good) / len(self.plain.compress(raw))
+        plain = len(self.plain.compress(raw))
+        return (bad - good) / plain, plain / len(raw), float(np.log(len(raw)))
 
     def score(self, raw: bytes) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * self.difference(raw) + self.shift, -40, 40))))
+        x = float(np.dot(self.weights[:3], self.measures(raw)) + self.weights[3])
+        return float(1 / (1 + np.exp(-np.clip(x, -40, 40))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic fit by Newton steps, with a slight pull to zero."""
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights and shift of a logistic fit by Newton steps, with a slight pull to zero."""
     if not len(x):
-        return 0.0, 0.0
-    scale = max(float(np.abs(x).mean()), 1e-9)
-    a, w = np.column_stack((x / scale, np.ones(len(x)))), np.zeros(2)
+        return np.zeros(x.shape[1] + 1)
+    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
+    a = np.column_stack(((x - mean) / scale, np.ones(len(x))))
+    w = np.zeros(a.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
         slope = a.T @ (p - y) + 1e-2 * w
-        curve = (a * (p * (1 - p))[:, None]).T @ a + 1e-2 * np.eye(2)
+        curve = (a * (p * (1 - p))[:, None]).T @ a + 1e-2 * np.eye(len(w))
         step = np.linalg.solve(curve, slope)
         w = w - np.clip(step, -4, 4)
         if np.abs(step).max() < 1e-9:
             break
-    return float(w[0] / scale), float(w[1])
+    return np.append(w[:-1] / scale, w[-1] - (w[:-1] * mean / scale).sum())
 
 
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -137,7 +144,7 @@ def scored(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
            cut: float = CUT) -> DataFrame:
     """id, held_out, score and predicted (1 where the score is at least ``cut``) of every row.
 
-    Null and empty texts have the score of a difference of 0.  Repeated rows get
+    Null and empty texts have the score of no difference.  Repeated rows get
     equal rows; an empty table gives none.  Other columns are ignored.
     """
     src = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"))
