@@ -44,6 +44,23 @@ def reshuffled_agg(df: DataFrame, keys, *aggs: Column) -> DataFrame:
                       *[c for c in out.columns if c != "_gk"])
 
 
+#: Parts that a key of few values is spread over where one row per value is joined to it.
+KEY_PARTS = 64
+
+
+def attach_per_group(df: DataFrame, per_group: DataFrame, group: str, spread_on: str,
+                     how: str = "inner") -> DataFrame:
+    """Join a table of one row per group to rows of few, possibly hot groups.
+
+    Joined on the group alone, all rows of a group would be shuffled to one task
+    where the table is too large to broadcast.  Both sides are keyed on (group,
+    part): a row's part is a hash of ``spread_on``, the table holds every part.
+    """
+    part = F.pmod(F.xxhash64(spread_on), F.lit(KEY_PARTS)).cast("int")
+    parts = per_group.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(KEY_PARTS - 1))))
+    return df.withColumn("_part", part).join(parts, [group, "_part"], how).drop("_part")
+
+
 def count_per_group(df: DataFrame, keys, alias: str = "count") -> DataFrame:
     """AGG-1 — rows per group."""
     return df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias(alias))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docrel.functions.arrays import md5_int, rand_in_range, zero_pad
-from docrel.operators.grouping import reshuffled_agg
+from docrel.operators.grouping import attach_per_group
 from docrel.operators.integrity import assign_ids
 
 
@@ -39,9 +39,9 @@ def sample_per_entity(entities: DataFrame, items: DataFrame, entity: str, group:
     Output: ``entity, item`` (renamed to ``item_as``), one row per drawn item.
     """
     numbered = number_within_group(items, group, item, "_idx")
-    sizes = reshuffled_agg(items, [group], F.count(F.lit(1)).alias("_m"))  # one row per group
+    sizes = items.groupBy(group).agg(F.count(F.lit(1)).alias("_m"))  # one row per group
     kk = F.lit(k) if not isinstance(k, Column) else k
-    e = entities.select(entity, group, kk.cast("long").alias("_k")).join(sizes, group)
+    e = attach_per_group(entities.select(entity, group, kk.cast("long").alias("_k")), sizes, group, entity)
     e = e.withColumn("_n", F.least(F.col("_k"), F.col("_m"))).filter(F.col("_n") > 0)
     ent = F.col(entity)
 
@@ -96,9 +96,10 @@ def expand_grid(groups: DataFrame, group: str, prefix: Column, n_slots, years: S
 def candidate_counts(entities: DataFrame, items: DataFrame, group: str,
                      count_as: str = "n_candidates") -> DataFrame:
     """JOIN-10 — how many same-group items each entity could pick.  Counted
-    per group and joined, never by forming the entity × item pairs."""
-    per = reshuffled_agg(items, [group], F.count(F.lit(1)).alias(count_as))
-    return entities.join(per, group, "left") \
+    per group and joined, never by forming the entity × item pairs.  A hot group's
+    entities are spread by a hash of the first column."""
+    per = items.groupBy(group).agg(F.count(F.lit(1)).alias(count_as))
+    return attach_per_group(entities, per, group, entities.columns[0], "left") \
                    .withColumn(count_as, F.coalesce(F.col(count_as), F.lit(0).cast("long")))
 
 
