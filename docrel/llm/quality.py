@@ -46,10 +46,10 @@ def _sampled(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     share = F.lit(0)
     for label, n in sizes.items():
         share = F.when(F.col("label") == label, int(min(1.0, per_class / n) * (1 << 30))).otherwise(share)
-    # both sides are small after the filter: the ids of at most 2 * per_class rows, about
     picked = rows.filter(unit < share).withColumn("unit", unit)
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    got = docs.join(picked, "id").filter("text is not null and text <> ''")
+    # the ids of the sample: 2 * per_class rows, about, so no text is shuffled to find its own
+    got = docs.join(F.broadcast(picked), "id").filter("text is not null and text <> ''")
     part = (F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(1000)) >= int(1000 * DICTIONARY_SHARE)).cast("int")
     return [tuple(r) for r in got.select("label", part, "text", "unit").distinct()
             .orderBy("unit", "label", F.xxhash64("text")).drop("unit").collect()]
