@@ -102,7 +102,7 @@ def scan_versions(versions: DataFrame, ledger: str, *, path_cols: list[str], con
     seen = read_ledger(spark, ledger, rules).select("blob")
     # one version stands for each unseen blob: that with the smallest path
     first = F.min(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in path_cols]))
-    unseen = ids.join(seen, "blob", "left_anti").groupBy("blob").agg(first.alias("at"))
+    unseen = ids.groupBy("blob").agg(first.alias("at")).join(seen, "blob", "left_anti")
     at = [F.coalesce(F.col(f"k.{c}").cast("string"), F.lit("")) == F.col(f"u.at.{c}") for c in path_cols]
     todo = keyed.alias("k").join(unseen.alias("u"), [F.col("k.blob") == F.col("u.blob"), *at], "left_semi")
     # a path may repeat its version; the ledger needs it once
