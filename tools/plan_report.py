@@ -105,7 +105,7 @@ def main(argv):
     }
     print("# PLANS — executed physical plans of the headline queries\n")
     print(f"Generated by `tools/plan_report.py` at `{sf_dir}` over collections written to Parquet "
-          "(bucketed students, max 10,000 ids per row), `local[8]`, AQE on. Counts are read off the "
+          "(students one row each; their arrays a side collection, max 10,000 ids per row), `local[8]`, AQE on. Counts are read off the "
           "final adaptive plan after the query ran.\n")
     for name, df in cases.items():
         df.write.format("noop").mode("overwrite").save()
