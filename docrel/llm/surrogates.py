@@ -3,8 +3,9 @@
 1. One pattern finds the mentions of a whole text: e-mail addresses, phone and
    payment card numbers, social security numbers, IP addresses and persons named
    with a title.
-2. A mention names one entity, or two for a person (given name, surname), in a
-   canonical form, so that all spellings of an entity share its surrogate.
+2. A mention names one entity, or for a person one for every name word (given names,
+   initials, and the last word as surname), in a canonical form, so that all
+   spellings of an entity share its surrogate.
 3. The distinct entities get candidate surrogates from a keyed hash: character by
    character of the same class and script (digit, vowel, consonant; Latin, Greek,
    Cyrillic), octets within range, given names from a list of the title's gender.
@@ -29,12 +30,33 @@ _TITLE = {  # title: gender
     "Mr": "m", "Mister": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Господин": "m", "Κύριος": "m",
     "Mrs": "f", "Ms": "f", "Miss": "f", "Madam": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Señora": "f",
     "Sra": "f", "Госпожа": "f", "Κυρία": "f", "Dr": "n", "Prof": "n"}
-_NAME = r"\p{Lu}[\p{L}'’-]+"
+_TITLE |= {t.upper(): g for t, g in _TITLE.items()} | {"ΚΥΡΙΟΣ": "m", "ΚΥΡΙΑ": "f"}
 _TITLES = r"(?:" + "|".join(sorted(_TITLE, key=lambda t: (-len(t), t))) + r")"
 
+#: Lower-case words inside a name, kept as they are; joined to a name word they are part of it (d'Arc, al-Sayed).
+_PARTICLES = ("van von der den des del dello della dei de di da do dos das du la las le les lo los el al ul bin ibn "
+              "bint ben abu zu zum zur ten ter te af av e y i 't ’t фон ван дер де ди да ντε φον").split()
+_JOINED = r"(?:dell|de|di|da|du|la|le|van|von|al|el|ul|ibn|bin|mac|mc|fitz|d|l)"
+#: Words after the surname, kept as they are.
+_SUFFIXES = "Jr JR Sr SR Junior Senior II III IV Esq ESQ PhD MD".split()
+#: Words at which a run of capitalised words ends, in titles and texts in capitals.
+_ENDS = r"(?i:and|of|is|was|who|with|from|und)(?!\p{L})"
+_LETTERS = r"[\p{L}\p{M}]"
+_TAIL = rf"(?:-{_LETTERS}++|['’](?![sS](?!\p{{L}})){_LETTERS}++)*+"  # without the 's of a genitive
+_PARTICLE = r"(?:(?:" + "|".join(sorted(_PARTICLES, key=lambda t: (-len(t), t))) + r")\x20)"
+_LONG = rf"(?:{_JOINED}['’-]?)?\p{{Lu}}(?:{_LETTERS}++|(?=['’-](?:\p{{Lu}}|\p{{L}}{{3}}))){_TAIL}"
+_INITIALS = r"\p{Lu}\p{M}*+\.(?:-\p{Lu}\p{M}*+\.)*+"
+_BARE = rf"\p{{Lu}}\p{{M}}*+(?!{_LETTERS})"  # an initial without a point: the first word, or one before another
+_START = rf"(?!{_TITLES}\.?\x20\p{{Lu}}){_PARTICLE}*+"
+_FIRST = rf"{_START}(?:{_LONG}|{_INITIALS}|{_BARE})"
+_NEXT = rf"(?:\x20|(?<=\.))(?!{_ENDS}){_START}(?:{_LONG}|{_INITIALS}|{_BARE}(?=\x20{_PARTICLE}*+\p{{Lu}}))"
+#: All loops are possessive, which Java runs without recursion, so a run may have any number of words.
+_TITLE_RUN = rf"(?:{_TITLES}\.?\x20){{1,4}}"
+_NAMES = rf"{_FIRST}(?:{_NEXT})*+"
+
 #: The parts of the pattern, tried in this order.  Each first looks at one character,
 #: so that most places of a text are passed over at little cost.
-PERSON = rf"(?=[{''.join(sorted({t[0] for t in _TITLE}))}])(?<![\p{{L}}\p{{N}}]){_TITLES}\.?\x20{_NAME}(?:\x20{_NAME})?"
+PERSON = rf"(?=[{''.join(sorted({t[0] for t in _TITLE}))}])(?<![\p{{L}}\p{{N}}]){_TITLE_RUN}{_NAMES}"
 EMAIL = (r"(?=[A-Za-z0-9_%+-])(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*+@"
          r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z][A-Za-z0-9-]++")
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -79,26 +101,47 @@ def kind_of(mention: Column) -> Column:
             .when(F.length(_digits(mention)) == 16, "card").otherwise("phone"))
 
 
+def _title(mention: Column) -> Column:
+    """The title or titles before a name, with what parts them from it."""
+    return F.regexp_extract(mention, f"^{_TITLE_RUN}", 0)
+
+
 def _gender(mention: Column) -> Column:
-    title = F.regexp_extract(mention, r"^(\p{L}+)", 1)
-    return F.when(title.isin([t for t, g in _TITLE.items() if g == "f"]), "f") \
-            .when(title.isin([t for t, g in _TITLE.items() if g == "m"]), "m").otherwise("n")
+    """Gender of the first title that has one."""
+    titles = F.filter(F.split(_title(mention), r"[.\x20]+"), lambda t: t.isin([t for t, g in _TITLE.items() if g != "n"]))
+    title = F.get(titles, F.lit(0))
+    return F.when(title.isin([t for t, g in _TITLE.items() if g == "f"]), "f").when(title.isNotNull(), "m").otherwise("n")
 
 
 def _names(mention: Column) -> Column:
-    """The name's words, without the title."""
-    return F.slice(F.split(mention, r"\x20"), 2, 2)
+    """array<struct<word, gap, kind>> of a name's words without the title; gap is what
+    follows a word, and kind is null for particles and suffixes, which are kept."""
+    words = F.transform(
+        F.regexp_extract_all(F.regexp_replace(mention, f"^{_TITLE_RUN}", ""), F.lit(r"[^.\x20]+(?:\.-|[.\x20]*)"), F.lit(0)),
+        lambda t: F.struct(F.regexp_extract(t, r"^[^.\x20]+", 0).alias("word"),
+                           F.regexp_extract(t, r"^[^.\x20]+(.*)$", 1).alias("gap")))
+    places = F.transform(words, lambda w, i: F.when(~w["word"].isin(_SUFFIXES), i))
+    whole = F.struct(words.alias("words"), F.coalesce(F.array_max(places), F.lit(0)).alias("last"),
+                     F.concat(F.lit("given_"), _gender(mention)).alias("given"))
+    kind = lambda s, w, i: (
+        F.when((i > s["last"]) | ((i < s["last"]) & w["word"].isin(_PARTICLES)), F.lit(None).cast("string"))
+        .when(w["word"].rlike(r"^\p{L}\p{M}*$"), "initial").when(i == s["last"], "surname").otherwise(s["given"]))
+    # an array of one, so that the last place and the gender are worked out once a name
+    return F.get(F.transform(F.array(whole), lambda s: F.transform(s["words"], lambda w, i: F.struct(
+        w["word"].alias("word"), w["gap"].alias("gap"), kind(s, w, i).alias("kind")))), 0)
+
+
+def _name_entity(word: Column) -> Column:
+    return F.struct(word["kind"].alias("kind"), F.initcap(word["word"]).alias("entity"))
 
 
 def entities_of(mention: Column) -> Column:
     """array<struct<kind, entity>> of one mention, in canonical form."""
     entity = lambda kind, x: F.struct(kind.alias("kind"), x.alias("entity"))
-    kind, names = kind_of(mention), _names(mention)
-    sur = entity(F.lit("surname"), F.initcap(F.get(names, F.size(names) - 1)))
-    given = entity(F.concat(F.lit("given_"), _gender(mention)), F.initcap(F.get(names, F.lit(0))))
+    kind = kind_of(mention)
+    names = F.array_distinct(F.transform(F.filter(_names(mention), lambda w: w["kind"].isNotNull()), _name_entity))
     plain = F.when(kind == "email", F.lower(mention)).when(kind == "ip", mention).otherwise(_digits(mention))
-    return F.when((kind == "person") & (F.size(names) == 2), F.array(given, sur)) \
-            .when(kind == "person", F.array(sur)).otherwise(F.array(entity(kind, plain)))
+    return F.when(kind == "person", names).otherwise(F.array(entity(kind, plain)))
 
 
 def _number(key: Column, *parts) -> Column:
@@ -155,11 +198,13 @@ def candidate(kind: Column, entity: Column, draw: Column, key: Column) -> Column
     more = F.when(draw > 0, F.lower(_spelled(F.substring(entity, F.lit(1), F.least(draw, F.lit(4))), key, draw, kind))) \
             .otherwise("")
     base = F.when(kind == "email", email).when(kind == "ip", ip).when(kind.startswith("given_"), F.concat(given, more)) \
-            .when(kind == "surname", F.initcap(_spelled(entity, key, draw, kind))).otherwise(number)
+            .when(kind == "surname", F.initcap(_spelled(entity, key, draw, kind))) \
+            .when(kind == "initial", F.initcap(_spelled(F.repeat(entity, F.least(draw, F.lit(4)) + 1), key, draw, kind))) \
+            .otherwise(number)
     longer = F.lpad((n % 100_000_000).cast("string"), 8, "0")
     tied = F.when(kind == "email", F.concat(longer, base)).when(kind == "ip", F.concat(F.lit("10."), F.array_join(
         F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: (_number(key, entity, draw, i) % 256).cast("string")), "."))) \
-        .when(kind.startswith("given_") | (kind == "surname"), F.concat(base, F.lower(F.translate(
+        .when(kind.startswith("given_") | kind.isin("surname", "initial"), F.concat(base, F.lower(F.translate(
             longer, "0123456789", "abdeiklnor")))).otherwise(F.concat(base, longer))
     return F.when(draw > LONGER_AFTER, tied).otherwise(base)
 
@@ -207,15 +252,12 @@ def _cased(like: Column, x: Column) -> Column:
 
 def rendered(mention: Column, of) -> Column:
     """A mention's replacement; ``of(kind, entity)`` looks a surrogate up."""
-    kind, names = kind_of(mention), _names(mention)
-    found = entities_of(mention)
-    first = of(F.get(found, F.lit(0)))
-    title = F.regexp_extract(mention, r"^(\S+)\x20", 1)
-    two = F.concat_ws(" ", title, _cased(F.get(names, F.lit(0)), first),
-                      _cased(F.get(names, F.lit(1)), of(F.get(found, F.lit(1)))))
-    one = F.concat_ws(" ", title, _cased(F.get(names, F.lit(0)), first))
+    kind = kind_of(mention)
+    first = of(F.get(entities_of(mention), F.lit(0)))
+    name = F.array_join(F.transform(_names(mention), lambda w: F.concat(
+        F.when(w["kind"].isNull(), w["word"]).otherwise(_cased(w["word"], of(_name_entity(w)))), w["gap"])), "")
     return F.when(kind == "email", _cased(mention, first)).when(kind == "ip", first) \
-            .when((kind == "person") & (F.size(names) == 2), two).when(kind == "person", one) \
+            .when(kind == "person", F.concat(_title(mention), name)) \
             .otherwise(_digits_into(mention, first))
 
 

@@ -448,6 +448,29 @@ def test_surrogates_stay_distinct_in_a_crowded_space(spark):
     assert not {r.surrogate for r in known} & {e for _, e in mails}
 
 
+LONG_NAMES = [
+    (1, "Mr John Fitzgerald Kennedy met Mr Kennedy, Mr. Ludwig van Beethoven and MR JOHN KENNEDY."),
+    (2, "Dr. J. Smith, Dr J.R.R. Smith, Herr Dr. Hans Smith; Mr Smith's dog, Ms Anna Maria de la Cruz Smith Jr. left."),
+    (3, "Mr d'Artagnan saw Mrs O'Brien and Mr T"), (4, "Mr John Smith Mrs Mary Smith"), (5, "MR " + "Aa Bb " * 3000 + "Smith")]
+
+
+def test_surrogates_cover_whole_names(spark):
+    got = {r.doc_id: r for r in surrogates.scrubbed(spark.createDataFrame(LONG_NAMES, "doc_id long, text string"), "k").collect()}
+    everything = " ".join(r.text for r in got.values()).lower()
+    for real in ("john", "fitzgerald", "kennedy", "ludwig", "beethoven", "smith", "hans", "anna", "maria", "cruz",
+                 "artagnan", "brien", "mary"):
+        assert not re.search(rf"\b{real}", everything), real
+    m = re.fullmatch(r"Mr (\w+) (\w+) (\w+) met Mr (\w+), Mr\. (\w+) van (\w+) and MR ([A-Z]+) ([A-Z]+)\.", got[1].text)
+    assert m and m[3] == m[4] == m[8].capitalize() and m[1] == m[7].capitalize() and len({m[1], m[2], m[3], m[5], m[6]}) == 5
+    assert {m[1], m[2], m[5]} <= set(surrogates.GIVEN["m"][0]) and got[1].n_mentions == 4
+    m = re.fullmatch(r"Dr\. ([A-Z]\w*)\. (\w+), Dr ([A-Z]\w*)\.([A-Z]\w*)\.([A-Z]\w*)\. (\w+), Herr Dr\. (\w+) (\w+); "
+                     r"Mr (\w+)'s dog, Ms (\w+) (\w+) de la (\w+) (\w+) Jr\. left\.", got[2].text)
+    assert m and m[2] == m[6] == m[8] == m[9] == m[13] and m[1] == m[3] and m[4] == m[5] != m[3]
+    assert m[7] in surrogates.GIVEN["m"][0] and m[10] in surrogates.GIVEN["f"][0]
+    assert re.fullmatch(r"Mr \w'\w+ saw Mrs \w'\w+ and Mr [A-Z]\w*", got[3].text) and got[4].n_mentions == 2
+    assert got[5].n_entities == 3 and len(got[5].text.split()) == 6002
+
+
 # quality -----------------------------------------------------------------------
 def test_quality_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
