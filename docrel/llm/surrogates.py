@@ -57,17 +57,23 @@ _NAMES = rf"{_FIRST}(?:{_NEXT})*+"
 #: The parts of the pattern, tried in this order.  Each first looks at one character,
 #: so that most places of a text are passed over at little cost.
 PERSON = rf"(?=[{''.join(sorted({t[0] for t in _TITLE}))}])(?<![\p{{L}}\p{{N}}]){_TITLE_RUN}{_NAMES}"
-EMAIL = (r"(?=[A-Za-z0-9_%+-])(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*+@"
+EMAIL = (r"(?=[A-Za-z0-9_%+-])(?:(?<![A-Za-z0-9._%+-])|(?<=\.)(?<![A-Za-z0-9_%+-]\.{1,64}))[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*+@"
          r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z][A-Za-z0-9-]++")
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP = rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])"
-CARD = r"(?<![0-9])[0-9]{4}(?<gap>[\x20-]?)[0-9]{4}\k<gap>[0-9]{4}\k<gap>[0-9]{4}(?![0-9])"
+CARD = (r"(?<![0-9])(?:[0-9]{4}(?<gap>[\x20-]?)[0-9]{4}\k<gap>[0-9]{4}\k<gap>[0-9]{4}"
+        r"|[0-9]{4}(?<amex>[\x20-]?)[0-9]{6}\k<amex>[0-9]{5})(?![0-9])")
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = (r"(?<![0-9+])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])"
          r"[0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
-MENTION = "|".join((PERSON, EMAIL, f"(?=[0-9(+])(?:{'|'.join((IP, CARD, SSN, PHONE))})"))
+#: After '+', 8 to 15 digits with or without separators; a last digit that stands alone is not of the number.
+WORLD = (rf"(?<![0-9+]|UTC|GMT)\+(?!{IP}|(?:[0-9]{{4}}[\x20-]){{3}}[0-9]{{4}}(?![0-9]))"
+         r"[1-9](?:[\x20.()/-]{0,2}[0-9]){7,14}(?<=[0-9]{2})(?![0-9])")
+#: A North American number without separators, not part of a word or a longer number.
+PLAIN = r"(?<![\p{L}\p{N}_+])(?<![0-9][.,])1?[2-9][0-9]{9}(?![\p{L}\p{N}_]|[.,][0-9])"
+MENTION = "|".join((PERSON, EMAIL, f"(?=[0-9(+])(?:{'|'.join((IP, CARD, SSN, PHONE, WORLD, PLAIN))})"))
 #: What every text with a mention has somewhere; cheaper to look for.
-HINT = rf"@|[0-9]{{3}}|[0-9]\.[0-9]|(?=[{''.join(sorted({t[0] for t in _TITLE}))}]){_TITLES}\.?\x20"
+HINT = rf"@|[0-9]{{3}}|[0-9]\.[0-9]|\+[0-9]|(?=[{''.join(sorted({t[0] for t in _TITLE}))}]){_TITLES}\.?\x20"
 
 #: Given names by gender and script, for people with a title.  (Latin, Cyrillic, Greek)
 GIVEN = {
@@ -98,7 +104,7 @@ def kind_of(mention: Column) -> Column:
     """Kind of a whole mention."""
     return (F.when(mention.contains("@"), "email").when(mention.rlike(r"^\p{L}"), "person")
             .when(mention.rlike(f"^{_OCTET}(\\.{_OCTET}){{3}}$"), "ip").when(mention.rlike(f"^(?:{SSN})$"), "ssn")
-            .when(F.length(_digits(mention)) == 16, "card").otherwise("phone"))
+            .when(F.length(_digits(mention)).isin(15, 16) & ~mention.startswith("+"), "card").otherwise("phone"))
 
 
 def _title(mention: Column) -> Column:
@@ -183,7 +189,7 @@ def candidate(kind: Column, entity: Column, draw: Column, key: Column) -> Column
     email = F.concat(_spelled(F.regexp_replace(entity, r"\.[^.]*$", ""), key, draw, kind), tail)
     ip = F.array_join(F.transform(F.split(entity, r"\."),
                                   lambda o, i: _octet(o, _number(key, kind, entity, draw, i)).cast("string")), ".")
-    head = F.when(kind == "phone", F.greatest(F.length(entity) - 10, F.lit(0))) \
+    head = F.when(kind == "phone", F.least(F.greatest(F.length(entity) - 10, F.lit(0)), F.lit(3))) \
             .when(kind == "card", F.lit(1)).otherwise(F.lit(0))
     number = F.concat(F.substring(entity, F.lit(1), head),
                       _spelled(F.substring(entity, head + 1, F.length(entity)), key, draw, kind))

@@ -471,6 +471,27 @@ def test_surrogates_cover_whole_names(spark):
     assert got[5].n_entities == 3 and len(got[5].text.split()) == 6002
 
 
+NUMBERS = ["+44 20 7946 0958", "+442079460958", "+49 30 123456", "+33 1 42 68 53 00", "+49 (0)89/1234567", "5551234567",
+           "+15551234567", "+1 743-555-3824", "3782 822463 10005", "378282246310005", "4785 3805 9239 1139", "+86 138 0013 8000",
+           "+123456789012345", "+4785 3805 9239 1139", "+4785380592391139"]
+
+
+def test_surrogates_cover_other_numbers(spark):
+    kept = "1.5 GMT+2 2024-01-01 +1234567 1234567890123 2.2222222222 x5551234567 a.b. 3-4-5 +44 20 7946 0958 7 apples"
+    texts = NUMBERS + [" .bob@x.com, ...eve@x.com", kept, "+33 1 42 68 53 00"]
+    got = {r.doc_id: r for r in surrogates.scrubbed(
+        spark.createDataFrame([(i, f"a {t} b") for i, t in enumerate(texts)], "doc_id int, text string"), "k").collect()}
+    news = [got[i].text[2:-2] for i in range(len(texts))]
+    for old, new in zip(NUMBERS, news):
+        assert new != old and re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", old), (old, new)
+    assert all(got[i].n_mentions == 1 for i in range(len(NUMBERS)))
+    assert news[0].replace(" ", "") == news[1] and news[3] == news[-1] and news[8].replace(" ", "") == news[9]
+    assert news[0].startswith("+44 ") and news[8][0] == "3"
+    m = re.fullmatch(r" \.(\w+@\w+)\.com, \.\.\.(\w+@\w+)\.com", news[-3])
+    assert m and m[1] != "bob@x" and m[2] != "eve@x" and got[len(NUMBERS)].n_mentions == 2
+    assert news[-2] == kept.replace(NUMBERS[0], news[0]) and got[len(NUMBERS) + 1].n_mentions == 1
+
+
 # quality -----------------------------------------------------------------------
 def test_quality_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
