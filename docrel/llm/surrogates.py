@@ -5,7 +5,8 @@
    with a title.
 2. A mention names one entity, or for a person one for every name word (given names,
    initials, and the last word as surname), in a canonical form, so that all
-   spellings of an entity share its surrogate.
+   spellings of an entity share its surrogate.  A given name whose title tells no
+   gender takes that of the titles seen with the name elsewhere in the corpus.
 3. The distinct entities get candidate surrogates from a keyed hash: character by
    character of the same class and script (digit, vowel, consonant; Latin, Greek,
    Cyrillic), octets within range, given names from a list of the title's gender.
@@ -242,6 +243,18 @@ def surrogates(entities: DataFrame, key: Column) -> DataFrame:
         draw += 1
 
 
+def settled(counted: DataFrame) -> DataFrame:
+    """(kind, entity, as_kind) of distinct (kind, entity, n): given names of no gender
+    get the one seen with the name, the more frequent of two; f where equally so."""
+    w = Window.partitionBy("entity")
+    seen = lambda g: F.max(F.when(F.col("kind") == f"given_{g}", F.col("n"))).over(w)
+    names = counted.filter(F.col("kind").startswith("given_")).withColumn("f", seen("f")).withColumn("m", seen("m")) \
+        .select("kind", "entity", F.when((F.col("kind") != "given_n") | F.coalesce("f", "m").isNull(), F.col("kind"))
+                .when(F.col("m").isNull() | (F.col("f") >= F.col("m")), "given_f").otherwise("given_m").alias("as_kind"))
+    rest = counted.filter(~F.col("kind").startswith("given_")).select("kind", "entity", F.col("kind").alias("as_kind"))
+    return names.unionByName(rest)
+
+
 def _digits_into(mention: Column, digits: Column) -> Column:
     """The mention with its digits replaced in order; more digits follow at the end."""
     chars = F.filter(F.split(mention, ""), lambda c: c != "")
@@ -288,12 +301,17 @@ def scrubbed(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "t
     found = stored(found, "mentions")
     each = found.select(*keyed, F.explode(F.array_distinct("mentions")).alias("m")) \
                 .select(*keyed, F.explode(entities_of(F.col("m"))).alias("e")).select(*keyed, "e.*").distinct()
-    known = surrogates(each.select("kind", "entity"), secret)
+    names = stored(settled(each.groupBy("kind", "entity").agg(F.count("*").alias("n"))), "settled")
+    known = surrogates(names.select(F.col("as_kind").alias("kind"), "entity"), secret)
+    known = names.join(known.withColumnRenamed("kind", "as_kind"), ["as_kind", "entity"])
     pair = F.concat_ws("\x1f", "kind", "entity")
+    # entities of a kind differ in their surrogates
+    one = F.concat_ws("\x1f", "as_kind", "surrogate")
     table = each.join(known, ["kind", "entity"]).groupBy(*keyed) \
-                .agg(F.map_from_entries(F.collect_list(F.struct(pair, "surrogate"))).alias("table"))
+                .agg(F.map_from_entries(F.collect_list(F.struct(pair, "surrogate"))).alias("table"),
+                     F.size(F.collect_set(one)).alias("n_entities"))
     look = lambda e: F.element_at("table", F.concat_ws("\x1f", e["kind"], e["entity"]))
-    news = found.join(table, keyed).select(*keyed, F.size("table").alias("n_entities"),
+    news = found.join(table, keyed).select(*keyed, "n_entities",
                                            F.transform("mentions", lambda m: rendered(m, look)).alias("news"))
     news = stored(news, "replacements")
     hit = base.filter(hint).join(news, keyed, "left")
@@ -309,4 +327,4 @@ def scrubbed(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "t
     return changed.unionByName(same)
 
 
-__all__ = ["MENTION", "candidate", "entities_of", "kind_of", "rendered", "scrubbed", "surrogates"]
+__all__ = ["MENTION", "candidate", "entities_of", "kind_of", "rendered", "scrubbed", "settled", "surrogates"]

@@ -492,6 +492,19 @@ def test_surrogates_cover_other_numbers(spark):
     assert news[-2] == kept.replace(NUMBERS[0], news[0]) and got[len(NUMBERS) + 1].n_mentions == 1
 
 
+def test_surrogates_settle_the_gender_of_given_names(spark):
+    texts = ["Dr Anna Smith, Mrs Anna Smith", "Prof Anna Jones", "Prof Boris Jones", "Mr Boris Smith", "Dr Robin Gray",
+             "Mrs Robin Gray", "Mr Robin Gray", "Mr Robin Gray", "Dr Cleo Gray"]
+    got = {r.doc_id: r for r in surrogates.scrubbed(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), "k").collect()}
+    given = {i: [m[1] for m in re.finditer(r"[A-Z][a-z]+ (\w+) \w+", r.text)] for i, r in got.items()}
+    female, male = surrogates.GIVEN["f"][0], surrogates.GIVEN["m"][0]
+    assert given[0][0] == given[0][1] == given[1][0] and given[0][0].startswith(tuple(female))
+    assert given[2] == given[3] and given[2][0].startswith(tuple(male))
+    assert given[4] == given[6] == given[7] != given[5] and given[5][0].startswith(tuple(female))
+    assert got[0].n_entities == 2 and got[8].n_entities == 2 and "Cleo" not in got[8].text
+
+
 # quality -----------------------------------------------------------------------
 def test_quality_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
