@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docrel.llm import (exact_dedup, langid, mixing, order_minhash, packing, quality, secret_scan,
-                        simhash, surrogates, token_counts)
+from docrel.llm import (alignment, exact_dedup, langid, mixing, order_minhash, packing, quality,
+                        secret_scan, sharding, simhash, surrogates, token_counts)
 from docrel.llm.common import documents
 
 
@@ -64,10 +64,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.grouped(documents(spark, sf_dir))
 
 
+def op12_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards by rendezvous hashing of their ids."""
+    return sharding.report(documents(spark, sf_dir))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers over all documents."""
+    return alignment.report(documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_order_minhash, op2_packing, op3_mixing, op4_exact_dedup,
                                     op5_token_counts, op6_langid, op7_secrets, op8_surrogates,
-                                    op9_quality, op10_simhash)}
+                                    op9_quality, op10_simhash, op12_rendezvous, op13_alignment)}
 
 
 OP4_SQL = r"""
@@ -117,5 +127,34 @@ FROM run
 """
 
 
+# CRC-32 is folded over the bytes by its table, which SQL makes by the polynomial.
+OP12_SQL = r"""
+WITH crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+           list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+body AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+         coalesce('k' || doc_id, 'null') AS key FROM documents),
+d AS (
+  SELECT rid, doc_id, key, strlen(text)::BIGINT + 16 AS size,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+               regexp_extract_all(hex(text), '..'), lambda x: ('0x' || x)::BIGINT)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+  FROM body, crc_table),
+scores AS (
+  SELECT rid, s AS shard, -ln((('0x' || substr(md5('shard-1|' || s || '|' || key), 1, 13))::BIGINT + 0.5)
+                             / 4503599627370496.0) AS score
+  FROM body, range(41) r(s)),
+won AS (
+  SELECT rid, arg_min(shard, (score, shard)) FILTER (shard < 40) AS shard, arg_min(shard, (score, shard)) AS grown
+  FROM scores GROUP BY rid)
+SELECT doc_id, size, crc AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, crc) - 1 AS slot,
+       grown::INTEGER AS grown_shard
+FROM d JOIN won USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL, "op4_exact_dedup": OP4_SQL}
+    return {"op3_mixing": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op12_rendezvous": OP12_SQL}
