@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docrel.llm import (alignment, exact_dedup, langid, mixing, order_minhash, packing, quality,
-                        secret_scan, sharding, simhash, surrogates, token_counts)
+from docrel.llm import (alignment, collocations, exact_dedup, langid, mixing, order_minhash,
+                        packing, quality, secret_scan, sharding, simhash, surrogates, token_counts)
 from docrel.llm.common import documents
 
 
@@ -64,6 +64,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.grouped(documents(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language of all documents, by count transducers."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def op12_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards by rendezvous hashing of their ids."""
     return sharding.report(documents(spark, sf_dir))
@@ -77,7 +82,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {f.__name__: f for f in (op1_order_minhash, op2_packing, op3_mixing, op4_exact_dedup,
                                     op5_token_counts, op6_langid, op7_secrets, op8_surrogates,
-                                    op9_quality, op10_simhash, op12_rendezvous, op13_alignment)}
+                                    op9_quality, op10_simhash, op11_collocations, op12_rendezvous, op13_alignment)}
 
 
 OP4_SQL = r"""
@@ -155,6 +160,40 @@ SELECT doc_id, size, crc AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
 FROM d JOIN won USING (rid)
 """
 
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+w AS (SELECT pid, lang, unnest(w) AS w1, unnest(range(len(w))) AS i FROM p),
+t AS (SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY pid ORDER BY i)),
+f AS (
+  SELECT lang, 1 AS k, w1 AS phrase, [w1] AS words, count(*)::HUGEINT AS f FROM t GROUP BY lang, w1
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2, [w1, w2], count(*) FROM t WHERE w2 IS NOT NULL GROUP BY lang, w1, w2
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, [w1, w2, w3], count(*) FROM t WHERE w3 IS NOT NULL
+  GROUP BY lang, w1, w2, w3),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+cut AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, r.k1, l.f AS l, r2.f AS r, (1000000 * c.f * c.f) // (l.f * r2.f) AS score
+  FROM c JOIN range(1, 3) r(k1) ON r.k1 < c.k
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1:r.k1], ' ')
+  JOIN f r2 ON r2.lang = c.lang AND r2.phrase = array_to_string(c.words[r.k1 + 1:], ' ')),
+least AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k1) = 1),
+gone AS (
+  SELECT DISTINCT s.lang, s.phrase
+  FROM c s JOIN (SELECT lang, f, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase
+                 FROM c WHERE k = 3) g ON g.lang = s.lang AND g.phrase = s.phrase
+  WHERE 100 * g.f >= 50 * s.f),
+ranked AS (
+  SELECT least.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM least ANTI JOIN gone USING (lang, phrase))
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op12_rendezvous": OP12_SQL}
+    return {"op3_mixing": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op11_collocations": OP11_SQL,
+            "op12_rendezvous": OP12_SQL}
