@@ -44,9 +44,9 @@ NO_LANGUAGE = "und"
 SHARD_WORDS = 1 << 21
 _BITS = 21
 #: Bytes of text for one range, ranges at most, and phrases taken for each bound.
-RANGE_BYTES = 32 << 20
-MAX_RANGES = 20_000
-PER_BOUND = 16
+RANGE_BYTES = 4 << 20
+MAX_RANGES = 1_000_000
+PER_BOUND = 4
 #: Bytes of a text that are looked at for one such phrase.
 _LOOK = 512
 _ASK_BITS = 31
