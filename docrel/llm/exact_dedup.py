@@ -63,9 +63,17 @@ def _in(col: str, values: list[int]) -> Column:
 
 
 def _winners(keys: DataFrame, heavy: list[int]) -> DataFrame:
-    """(sha, keep_id, group_size) of the candidates, by exact counting."""
-    return keys.filter(_in("h64", heavy)).groupBy("sha").agg(
-        F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    """(sha, keep_id, keep_at, group_size) of the candidates, by exact counting; the
+    winner has the smallest id (nulls last) and of these the smallest place."""
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at"))
+    return keys.filter(_in("h64", heavy)).groupBy("sha").agg(first.alias("w"), F.count(F.lit(1)).alias("group_size")) \
+               .select("sha", F.col("w.id").alias("keep_id"), F.col("w.at").alias("keep_at"), "group_size")
+
+
+def _digests(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, sha, h64, at) of every row, stored; ``at`` tells rows of equal id and text apart."""
+    return stored(df.select(F.col(id_col).alias("id"), digest(text_col).alias("sha"))
+                  .withColumn("h64", F.xxhash64("sha")).withColumn("at", F.monotonically_increasing_id()), "digests")
 
 
 def membership(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -75,15 +83,10 @@ def membership(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     as largest; of rows that share id and text any one, as they are the same).
     Null text: empty.  Empty table: no rows.  Other columns are ignored.
     """
-    keys = stored(df.select(F.col(id_col).alias("id"), digest(text_col).alias("sha"))
-                  .withColumn("h64", F.xxhash64("sha")), "digests")
+    keys = _digests(df, id_col, text_col)
     heavy = frequent(keys, "h64")
     hot = keys.filter(_in("h64", heavy)).join(F.broadcast(_winners(keys, heavy)), "sha")
-    first = F.col("id").eqNullSafe(F.col("keep_id"))
-    copies = hot.filter(~first).withColumn("kept", F.lit(False))
-    # normally one row of each heavy digest; more only where an id is repeated
-    same = Window.partitionBy("sha", "id").orderBy("h64")
-    best = hot.filter(first).withColumn("kept", F.row_number().over(same) == 1)
+    hot = hot.withColumn("kept", F.col("at") == F.col("keep_at"))
     w = Window.partitionBy("sha")
     rest = (keys.filter(~_in("h64", heavy))
             .withColumn("keep_id", F.min("id").over(w))
@@ -91,7 +94,7 @@ def membership(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             .withColumn("kept", F.row_number().over(w.orderBy(F.asc_nulls_last("id"))) == 1))
     cols = [F.col("id").alias(id_col), "keep_id", "group_size", "kept",
             F.lower(F.hex("sha")).alias("text_sha256")]
-    return rest.select(*cols).unionByName(best.select(*cols)).unionByName(copies.select(*cols))
+    return rest.select(*cols).unionByName(hot.select(*cols))
 
 
 def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -101,8 +104,7 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     shuffled once, on their digest.
     """
     sha, h64, keep = fresh(df, "dedup_sha"), fresh(df, "dedup_h64"), fresh(df, "dedup_keep")
-    keys = stored(df.select(F.col(id_col).alias("id"), digest(text_col).alias("sha"))
-                  .withColumn("h64", F.xxhash64("sha")), "digests")
+    keys = _digests(df, id_col, text_col)
     heavy = frequent(keys, "h64")
     rows = df.withColumn(sha, digest(text_col)).withColumn(h64, F.xxhash64(sha))
     win = _winners(keys, heavy).select(F.col("sha").alias(sha), F.col("keep_id").alias(keep),

@@ -221,13 +221,14 @@ def applied(df: DataFrame, source_col: str = "source", id_col: str = "doc_id",
     rows, _, _ = mixed(df, F.array(F.col(source_col).cast("string")), id_col=id_col,
                        text_col=text_col, **kw)
     # rows with the same id and text are in one pattern or are told apart by it
+    own_id, own_tie, own_source, n = (fresh(df, c) for c in ("mix_id", "mix_tie", "mix_source", "mix_times"))
     times = rows.filter("taken > 0").select(
-        F.col("id").alias("mix_id"), F.col("tie").alias("mix_tie"), F.col("pattern")[0].alias("mix_source"),
-        F.expr("taken div size").alias("mix_times")).distinct()
+        F.col("id").alias(own_id), F.col("tie").alias(own_tie), F.col("pattern")[0].alias(own_source),
+        F.expr("taken div size").alias(n)).distinct()
     tie, copy = fresh(df, "mix_text"), fresh(df, "mix_copy")
     left = df.withColumn(tie, F.xxhash64(text_of(text_col)))
-    joined = left.join(times, F.col(id_col).eqNullSafe(F.col("mix_id")) & (F.col(tie) == F.col("mix_tie"))
-                       & F.col(source_col).cast("string").eqNullSafe(F.col("mix_source")))
+    joined = left.join(times, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(tie) == F.col(own_tie))
+                       & F.col(source_col).cast("string").eqNullSafe(F.col(own_source)))
     return joined.select(*[F.col(f"`{c}`") for c in df.columns],
-                         F.explode(F.sequence(F.lit(1), F.col("mix_times").cast("int"))).alias(copy)) \
+                         F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))).alias(copy)) \
                  .drop(copy)

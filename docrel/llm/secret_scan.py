@@ -37,8 +37,9 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
                      re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")       # whole runs, so short ones just do not match
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_KEY = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,30}PRIVATE KEY-----")
-_WEB = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+_KEY = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+-----END [A-Z ]{0,30}PRIVATE KEY-----")
+#: The first of a web token's three runs is looked at from its start only, and what follows it ahead.
+_WEB = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?=\.eyJ[A-Za-z0-9_-]{8,}+(\.[A-Za-z0-9_-]{8,}+))")
 
 #: Texts that cannot match anything are told apart by a linear-time search first.
 _ANY = r"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{32}|-----BEGIN|eyJ"
@@ -46,6 +47,16 @@ _ANY = r"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{32}|-----BEGIN|eyJ"
 LEDGER = ("blob string, findings array<struct<kind:string,start:int,end:int>>, rules string")
 
 
+def _web_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of ``eyJ`` and 8 or more characters, the same again, and 8 or more, with points between."""
+    done = 0
+    for m in _WEB.finditer(text):
+        start = text.find("eyJ", max(done, m.start()), m.end())
+        if start >= 0 and m.end() - start >= 11:
+            done = m.end(1)
+            yield start, done
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every secret of a whole text, by start, then kind.
 
@@ -53,8 +64,9 @@ def find(text: str) -> list[tuple[str, int, int]]:
     overlap and are the leftmost ones.
     """
     out = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
-    for kind, rule in (("access", _ACCESS), ("hex", _HEX), ("private_key", _KEY), ("web_token", _WEB)):
+    for kind, rule in (("access", _ACCESS), ("hex", _HEX), ("private_key", _KEY)):
         out += [(kind, *m.span()) for m in rule.finditer(text)]
+    out += [("web_token", *span) for span in _web_tokens(text)]
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
@@ -83,7 +95,8 @@ def read_ledger(spark: SparkSession, path: str, rules: str) -> DataFrame:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         table = spark.createDataFrame([], LEDGER)
-    return table.filter(F.col("rules") == rules).select("blob", "findings")
+    # scans at the same time, or a batch appended twice, may have left a blob's row more than once
+    return table.filter(F.col("rules") == rules).groupBy("blob").agg(F.first("findings").alias("findings"))
 
 
 def scan_versions(versions: DataFrame, ledger: str, *, path_cols: list[str], content_col: str = "text",

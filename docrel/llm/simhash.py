@@ -239,17 +239,16 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``df``, one of each component: that with the smallest id
     (nulls last; ties settled by a hash of the text)."""
-    none, tie = fresh(df, "sim_none"), fresh(df, "sim_tie")
+    tie = fresh(df, "sim_tie")
     ident = [F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
              F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("tie")]
     docs = stored(fingerprints(df.select(*ident, text_col), ["none", "id", "tie"], text_col, shingle),
                   "fingerprints")
     by_fp = _components_of(docs, F.min(F.struct("none", "id", "tie")), max_bits)
-    stay = by_fp.select("best.none", F.col("best.id").alias("stay_id"), F.col("best.tie").alias("stay_tie")) \
-                .distinct()
-    rows = df.withColumn(none, F.col(id_col).isNull()) \
-             .withColumn(tie, F.xxhash64(F.coalesce(text_col, F.lit(""))))
-    kept = rows.join(stay, F.col(id_col).eqNullSafe(F.col("stay_id")) & (F.col(tie) == F.col("stay_tie")),
+    stay_id, stay_tie = fresh(df, "stay_id"), fresh(df, "stay_tie")
+    stay = by_fp.select(F.col("best.id").alias(stay_id), F.col("best.tie").alias(stay_tie)).distinct()
+    rows = df.withColumn(tie, F.xxhash64(F.coalesce(text_col, F.lit(""))))
+    kept = rows.join(stay, F.col(id_col).eqNullSafe(F.col(stay_id)) & (F.col(tie) == F.col(stay_tie)),
                      "left_semi")
     rank = fresh(df, "sim_rank")
     w = Window.partitionBy(id_col, tie).orderBy(

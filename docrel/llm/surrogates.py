@@ -59,7 +59,8 @@ _NAMES = rf"{_FIRST}(?:{_NEXT})*+"
 #: so that most places of a text are passed over at little cost.
 PERSON = rf"(?=[{''.join(sorted({t[0] for t in _TITLE}))}])(?<![\p{{L}}\p{{N}}]){_TITLE_RUN}{_NAMES}"
 EMAIL = (r"(?=[A-Za-z0-9_%+-])(?:(?<![A-Za-z0-9._%+-])|(?<=\.)(?<![A-Za-z0-9_%+-]\.{1,64}))[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*+@"
-         r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z][A-Za-z0-9-]++")
+         # labels up to the last that starts with a letter and has two characters at least
+         r"[A-Za-z0-9-]++(?:(?:\.(?![A-Za-z][A-Za-z0-9-])[A-Za-z0-9-]++)*+\.[A-Za-z][A-Za-z0-9-]++)++")
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP = rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])"
 CARD = (r"(?<![0-9])(?:[0-9]{4}(?<gap>[\x20-]?)[0-9]{4}\k<gap>[0-9]{4}\k<gap>[0-9]{4}"
@@ -174,7 +175,10 @@ def _char(c: Column, n: Column) -> Column:
 
 def _spelled(x: Column, key: Column, draw: Column, kind: Column) -> Column:
     chars = F.filter(F.split(x, ""), lambda c: c != "")
-    return F.array_join(F.transform(chars, lambda c, i: _char(c, _number(key, kind, x, draw, i))), "")
+    # an array of one, so that a long entity is hashed once and not for every character
+    whole = F.array(F.struct(chars.alias("chars"), F.sha2(F.encode(x, "UTF-8"), 256).alias("of")))
+    return F.array_join(F.get(F.transform(whole, lambda s: F.transform(
+        s["chars"], lambda c, i: _char(c, _number(key, kind, s["of"], draw, i)))), 0), "")
 
 
 def _octet(o: Column, n: Column) -> Column:
