@@ -1,8 +1,8 @@
 """Weighted acyclic automata over words, as arrays.
 
 A transducer reads a phrase word by word and gives a number for each prefix: the weight
-of the arc that it takes.  States whose arcs agree in word, weight and target are one
-state, so the tails that phrases share are kept once.
+of the arc that it takes.  States of a depth whose arcs agree in word, weight and target
+are one state, so the tails that phrases share are kept once.
 
 Transducers are made from sorted phrases from the last words to the first: all states
 of a depth are looked up in the register of equal states at once, which is the
@@ -102,7 +102,7 @@ def _register(size, label, weight, target):
 
 
 def build(words: Sequence[bytes], levels: Levels) -> Transducer:
-    """The minimal transducer of some levels; words that do not occur are left out."""
+    """The transducer of some levels, minimal in each depth; words that do not occur are left out."""
     used = np.unique(np.concatenate([x[1] for x in levels])) if levels else np.zeros(0, np.int64)
     sizes, arcs = [np.zeros(1, np.int64)], []
     n_states = 1
