@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docrel.functions.arrays import md5_int
-from docrel.operators.grouping import reshuffled_agg
+from docrel.operators.grouping import reshuffled_agg, top_k_per_group
 
 CHUNK = "_chunk"
 #: Default bound of an array's length.
@@ -253,6 +253,35 @@ def lookup_uncorrelated(left: DataFrame, sub: DataFrame, left_key: str, as_: str
     return one, arrays.unionByName(none)
 
 
+def lookup_correlated(left: DataFrame, right: DataFrame, left_key: str, local: str, foreign: str, as_: str, *,
+                      let: dict[str, str] | None = None, where=None, order: Sequence[Column], k: int,
+                      doc_cols: Sequence[str] | None = None) -> DataFrame:
+    """JOIN-8 — ``$lookup`` with ``let`` and a pipeline of match, sort and limit: every
+    left row gets the first ``k`` matching documents of ``right``, ``[]`` if there are none.
+
+    Documents match on ``local`` = ``foreign`` and on ``where(doc)``, a condition that
+    may name the left row's ``let`` variables: ``let={"dept": "department_id"}`` puts that
+    field at ``_let_dept``.  ``order`` is a total order of the documents by their own fields.
+
+    The sub-pipeline of each row is one join, and the limit a window group limit that
+    keeps ``k`` documents a row in every task before they meet; arrays hold ``k`` at most.
+    ``left_key`` must be unique; a NULL ``local`` matches nothing.
+    """
+    let = let or {}
+    asks = left.select(F.col(left_key).alias("_owner"), F.col(local).alias("_lk"),
+                       *[F.col(c).alias(f"_let_{v}") for v, c in let.items()]).filter("_lk IS NOT NULL")
+    docs = asks.join(right, F.col("_lk") == right[foreign])
+    if where is not None:
+        docs = docs.filter(where)
+    best = top_k_per_group(docs, "_owner", list(order), k, rank_as="_place")
+    doc = F.struct(*[F.col(c) for c in (doc_cols or right.columns)])
+    # at most k documents a row, put in order by their place
+    arrays = best.groupBy("_owner").agg(F.sort_array(F.collect_list(F.struct("_place", doc.alias("_doc")))).alias("_a")) \
+                 .select(F.col("_owner").alias("_key"), F.transform("_a", lambda x: x["_doc"]).alias(as_))
+    out = left.join(arrays, left[left_key] == F.col("_key"), "left").drop("_key")
+    return out.withColumn(as_, F.coalesce(F.col(as_), F.array().cast(arrays.schema[as_].dataType)))
+
+
 def lookup_unwind(left: DataFrame, right: DataFrame, local: str, foreign: str,
                   as_: str) -> DataFrame:
     """JOIN-9 — ``$lookup`` followed by ``$unwind`` is an inner join; the right

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from docrel import schemas
 from docrel.operators.grouping import reshuffled_agg
-from docrel.session import ensure_checkpoint_dir
+from docrel.session import drop_scratch, ensure_checkpoint_dir, scratch_path
 
 
 # SCH-2 ------------------------------------------------------------------------
@@ -101,17 +102,14 @@ def fk_violations(child: DataFrame, parent: DataFrame, child_cols: Sequence[str]
     return child.filter(nn).join(p, cond, "left_anti")
 
 
-def _rule_pass(name: str, df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+def _rule_pass(name: str, df: DataFrame, tables: Mapping[str, DataFrame], row_rules: bool = True) -> DataFrame:
     """All per-row rules of a table in one read of it: NOT NULL, VARCHAR(n) and,
     through a left join to each parent's distinct keys, FOREIGN KEY."""
     # the parents' key columns must not shadow those of the table
     labels, flags, rows = [], [], df
-    for c in schemas.not_null_columns(name):
-        labels.append(("not_null", c))
-        flags.append(F.col(c).isNull())
-    for c, n in schemas.VARCHAR_LIMITS.get(name, {}).items():
-        labels.append((f"varchar({n})", c))
-        flags.append(F.length(F.col(c)) > n)
+    for rule, c, bad in _row_rules(name) if row_rules else []:
+        labels.append((rule, c))
+        flags.append(bad)
     for i, (ccols, parent, pcols) in enumerate(schemas.FOREIGN_KEYS.get(name, [])):
         if parent not in tables:
             continue
@@ -132,19 +130,21 @@ def _rule_pass(name: str, df: DataFrame, tables: Mapping[str, DataFrame]) -> Dat
     return one.select(each.alias("r")).select(F.lit(name).alias("table_name"), "r.*")
 
 
-def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+def integrity_report(tables: Mapping[str, DataFrame], *, row_rules: bool = True) -> DataFrame:
     """Every declared rule of ``schemas`` over the given relational tables, as
     one report ``(table_name, rule, column_name, violations)``.
 
     Two passes a table: the per-row rules, and all its key sets in one grouping-sets
     aggregate.  Store derived tables before (``sinks.refresh_all``): each pass reads
-    its table, and foreign keys read the parents' keys.
+    its table, and foreign keys read the parents' keys.  ``row_rules=False`` leaves out
+    NOT NULL and VARCHAR, which a write can count itself (:func:`load_checked`).
     """
     parts: list[DataFrame] = []
     for name, df in tables.items():
         if name not in schemas.RELATIONAL:
             continue
-        parts.append(_rule_pass(name, df, tables))
+        if row_rules or schemas.FOREIGN_KEYS.get(name):
+            parts.append(_rule_pass(name, df, tables, row_rules))
         key_sets = ([("primary_key", schemas.PRIMARY_KEYS[name])] if name in schemas.PRIMARY_KEYS else []) \
             + [("unique", u) for u in schemas.UNIQUE_KEYS.get(name, [])]
         if key_sets:
@@ -201,3 +201,78 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str], id_col: str = "id", *,
     out = out.withColumn(id_col, (F.lit(start) + F.col("_off") + F.col("_local") - F.col("_first"))
                          .cast("long"))
     return out.drop("_pos", "_part", "_local", "_off", "_first")
+
+
+# SCH-2 while loading ------------------------------------------------------------
+def _row_rules(name: str) -> list[tuple[str, str, Column]]:
+    """(rule, column, whether a row violates it) of a table's rules that need no other row."""
+    return [("not_null", c, F.col(c).isNull()) for c in schemas.not_null_columns(name)] \
+        + [(f"varchar({n})", c, F.length(F.col(c)) > n) for c, n in schemas.VARCHAR_LIMITS.get(name, {}).items()]
+
+
+def observed(name: str, df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation that counts its rows and the violations of the table's
+    NOT NULL and VARCHAR rules while ``df`` is written: no read of its own."""
+    seen = Observation(f"rules_{name}")
+    sums = [F.coalesce(F.sum(bad.cast("long")), F.lit(0).cast("long")).alias(f"v{i}")
+            for i, (_, _, bad) in enumerate(_row_rules(name))]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *sums), seen
+
+
+def observed_rows(name: str, seen: Observation) -> list[tuple[str, str, str, int]]:
+    """(table_name, rule, column_name, violations) of an observation, after the write."""
+    got = seen.get
+    return [(name, rule, c, got[f"v{i}"]) for i, (rule, c, _) in enumerate(_row_rules(name))]
+
+
+def load_checked(tables: Mapping[str, DataFrame], paths: Mapping[str, str], *, max_parallel: int = 4) -> DataFrame:
+    """Write relational tables (SNK-1) and report their rules: those of single rows are
+    counted by the write itself, keys and references on the stored tables.
+
+    The report has the rows of :func:`integrity_report`.
+    """
+    from docrel.sources.sinks import refresh_all
+
+    spark = next(iter(tables.values())).sparkSession
+    pairs = {k: observed(k, df) for k, df in tables.items()}
+    refresh_all({k: df for k, (df, _) in pairs.items()}, dict(paths), max_parallel=max_parallel)
+    rows = [r for k, (_, seen) in pairs.items() for r in observed_rows(k, seen)]
+    counted = spark.createDataFrame(rows, "table_name string, rule string, column_name string, violations long")
+    stored = {k: spark.read.schema(tables[k].schema).parquet(paths[k]) for k in tables}
+    return counted.unionByName(integrity_report(stored, row_rules=False))
+
+
+# SCH-5 over several loads ---------------------------------------------------------
+def load_serial(spark: SparkSession, path: str, batch: DataFrame, batch_id: str, keys: Sequence[str],
+                order_cols: Sequence[str], id_col: str = "id", *, start: int = 1) -> DataFrame:
+    """Give the rows of a batch dense ids that go on where the last load ended, like a
+    SERIAL column over later inserts; ``batch`` with ``id_col``.
+
+    The ids are kept in a table of their own at ``path``: (keys, id), a folder
+    ``load=<batch_id>`` a batch.  The highest id there is the high-water mark.  A key that
+    was loaded before keeps its id, so a replayed batch gets its old ids and leaves no
+    gap; a batch that failed half way is replaced by its repetition.  Keys are unique
+    in a batch and not NULL; loads of one table follow one another.
+    """
+    keys = list(keys)
+    fields = ", ".join(f"`{k}` {batch.schema[k].dataType.simpleString()}" for k in keys)
+    schema = f"{fields}, `{id_col}` long, load string"
+    try:
+        kept = spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        kept = spark.createDataFrame([], schema)
+    known = kept.select(*keys, id_col)
+    fresh = batch.select(*dict.fromkeys([*keys, *order_cols])).join(known.select(*keys), keys, "left_anti")
+    top = kept.agg(F.max(id_col)).first()[0]
+    numbered = assign_ids(fresh, order_cols, id_col, start=start if top is None else top + 1)
+    # what this batch holds already stays beside what is new, and replaces its folder
+    own = kept.filter(F.col("load") == batch_id).select(*keys, id_col).unionByName(numbered.select(*keys, id_col))
+    staged = scratch_path(spark, "ids")
+    own.write.mode("overwrite").parquet(staged)
+    spark.read.parquet(staged).withColumn("load", F.lit(batch_id)).write.mode("overwrite") \
+         .option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(path)
+    drop_scratch(spark, staged)
+    spark.catalog.refreshByPath(path)
+    return batch.join(spark.read.schema(schema).parquet(path).select(*keys, id_col), keys)

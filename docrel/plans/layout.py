@@ -48,12 +48,17 @@ def scalar_value(df: DataFrame):
 
 def write_layout(df: DataFrame, path: str, *, partition_by: Sequence[str] = (),
                  cluster_by: Sequence[str] = (), num_files: int | None = None,
+                 bloom_on: dict[str, int] | None = None, row_group_bytes: int | None = None,
                  mode: str = "overwrite") -> str:
     """PHY-5 — write ``df`` partitioned into directories by ``partition_by``
     (equality filters prune whole directories) and range-clustered by
     ``cluster_by`` inside them (row-group min/max statistics skip data).
     ``cluster_by`` should end in a high-cardinality column (e.g. the key) so
-    that a hot directory value is still split over several writers."""
+    that a hot directory value is still split over several writers.
+
+    ``bloom_on`` names columns for equality lookups on which the rows are not clustered,
+    with the distinct values that a row group may hold: each row group gets a Bloom
+    filter of that size, and a lookup reads only the groups that may hold its value."""
     out = df
     if cluster_by:
         keys = [*partition_by, *cluster_by]
@@ -61,6 +66,11 @@ def write_layout(df: DataFrame, path: str, *, partition_by: Sequence[str] = (),
         out = out.repartitionByRange(num_files, *keys) if num_files else out.repartitionByRange(*keys)
         out = out.sortWithinPartitions(*keys)
     w = out.write.mode(mode)
+    for c, distinct in (bloom_on or {}).items():
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true") \
+             .option(f"parquet.bloom.filter.expected.ndv#{c}", str(distinct))
+    if row_group_bytes:
+        w = w.option("parquet.block.size", str(row_group_bytes))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -68,17 +78,27 @@ def write_layout(df: DataFrame, path: str, *, partition_by: Sequence[str] = (),
 
 
 def bucket_table(df: DataFrame, table: str, n_buckets: int, by: Sequence[str],
-                 sort_by: Sequence[str] = ()) -> str:
+                 sort_by: Sequence[str] = (), path: str | None = None) -> str:
     """PHY-5 — catalog table bucketed (and sorted) on ``by``: later joins and
     aggregates on ``by`` between tables with the same bucketing skip the
-    shuffle."""
-    w = df.write.mode("overwrite").bucketBy(n_buckets, *by)
+    shuffle.  Rows are shuffled to their buckets first, so a bucket is one file,
+    which is what lets a join rely on its order.  ``path``: an external table there."""
+    w = df.repartition(n_buckets, *by).write.mode("overwrite").bucketBy(n_buckets, *by)
+    if path:
+        w = w.option("path", path)
     if sort_by:
         w = w.sortBy(*sort_by)
     w.saveAsTable(table)
     return table
 
 
+def colocated_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """PHY-5 — join of two tables bucketed and sorted alike on ``keys``: bucket meets
+    bucket in a sort-merge join without an exchange.  The hint keeps a side that seems
+    small from being broadcast, which would read it whole in every task."""
+    return left.join(right.hint("merge"), list(keys), how)
+
+
 def write_inverted_index(owners: DataFrame, owner_key: str, array_col: str, path: str, *,
                          item_as: str = "item_id", owner_as: str = "owner_id",
                          num_files: int | None = None) -> str:

@@ -66,6 +66,9 @@ applicants AS (
   UNION ALL SELECT _id + 1099511627776, student_name, student_email, department_id FROM students),
 edges AS (SELECT DISTINCT student_id, course_id FROM enrollments),
 course_counts AS (SELECT course_id, count(*) AS num_enrollments FROM edges GROUP BY course_id),
+in_departments AS (
+  SELECT e.student_id FROM edges e JOIN rel_courses c ON c.course_id = e.course_id
+  WHERE c.department_id IN (1, 2, 3) GROUP BY e.student_id HAVING count(DISTINCT c.department_id) = 3),
 rel_departments AS (SELECT _id AS department_id, department_name FROM departments),
 rel_students AS (SELECT _id AS student_id, student_name, student_email, department_id FROM students),
 rel_instructors AS (SELECT _id AS instructor_id, instructor_name, instructor_email, department_id
@@ -255,7 +258,6 @@ WHERE EXISTS (SELECT 1 FROM courses c WHERE c.instructor_id = i._id AND c.depart
     "q_6_zero": f"""
 SELECT c._id, c.course_code, coalesce(x.num_enrollments, 0) AS num_enrollments
 FROM planned c LEFT JOIN course_counts x ON x.course_id = c._id
-ORDER BY num_enrollments DESC, c._id LIMIT {R.TOP_ZERO}
 """,
     "q_2": Q2_INNER.format(ins=R.INSTRUCTOR_Q2),
     "q_2_zero": f"""
@@ -293,6 +295,69 @@ UNION ALL SELECT 'courses', department_id, _id, course_code FROM courses
 SELECT _id, student_name, department_id FROM students WHERE department_id < 13
 UNION ALL
 SELECT _id, student_name || ' (new)', department_id FROM students WHERE department_id >= 13
+""",
+    "snk_2_pruned": """
+SELECT _id, student_name, department_id FROM students WHERE department_id < 13
+UNION ALL
+SELECT _id, student_name || ' (new)', department_id FROM students WHERE department_id >= 13
+""",
+    "snk_2_bucketed": """
+SELECT _id, student_name, department_id FROM students WHERE department_id < 13
+UNION ALL
+SELECT _id, student_name || ' (new)', department_id FROM students WHERE department_id >= 13
+UNION ALL SELECT NULL, 'nobody', max(department_id) FROM students
+""",
+    "src_1_variant": """
+SELECT field, state, count(*) AS n FROM (
+  SELECT f.field, CASE
+    WHEN _id % 97 = 0 THEN 'malformed'
+    WHEN f.field = '_id' THEN 'scalar'
+    WHEN f.field = 'department_id' THEN CASE WHEN department_id < 5 THEN 'object' ELSE 'scalar' END
+    ELSE CASE _id % 5 WHEN 0 THEN 'missing' WHEN 1 THEN 'null' WHEN 2 THEN 'empty_array'
+                      WHEN 3 THEN 'array' ELSE 'scalar' END END AS state
+  FROM students, (VALUES ('_id'), ('department_id'), ('enrolled_courses')) f(field)) x
+GROUP BY field, state
+""",
+    "src_2_split": """
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE l_linenumber = 7) AS null_rows, 1 AS null_parts, true AS balanced
+FROM lineitem
+""",
+    "snk_3_partition": """
+SELECT c_custkey AS _id, CASE WHEN c_acctbal > 5000 AND c_nationkey < 5 THEN lower(c_mktsegment)
+       ELSE c_mktsegment END AS segment, c_nationkey AS nation
+FROM customer
+""",
+    "sch_2_load": _report_sql(),
+    "sch_5_serial": """
+SELECT o_orderkey, row_number() OVER (ORDER BY CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END,
+                                      o_orderdate, o_orderkey) AS order_id
+FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')
+""",
+    "join_8_correlated": f"""
+SELECT i._id, count(x.course_id) AS n_newest,
+       coalesce(string_agg(CAST(x.course_id AS VARCHAR), ',' ORDER BY x.place), '') AS course_ids
+FROM instructors i LEFT JOIN (
+  SELECT n._id AS iid, c._id AS course_id,
+         row_number() OVER (PARTITION BY n._id ORDER BY c.offering_year DESC, c._id) AS place
+  FROM instructors n JOIN courses c ON c.instructor_id = n._id AND c.department_id = n.department_id
+   AND c.is_core_course) x ON x.iid = i._id AND x.place <= {R.NEWEST}
+GROUP BY i._id
+""",
+    "phy_5_bucketed": """
+SELECT c_custkey AS _id, c_name AS student_name, count(*) AS n_orders, max(o_totalprice) AS largest
+FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_name
+""",
+    "phy_5_lookup": f"""
+SELECT _id, student_name, student_email FROM students WHERE student_email = '{R.EMAIL_LOOKUP}'
+""",
+    "phy_6_bitmaps": f"""
+SELECT 'any' AS reading, student_id FROM edges WHERE course_id IN {R.ANY_COURSES} GROUP BY student_id
+UNION ALL
+SELECT 'any_count', count(DISTINCT student_id) FROM edges WHERE course_id IN {R.ANY_COURSES}
+UNION ALL
+SELECT 'all', student_id FROM in_departments
+UNION ALL
+SELECT 'all_count', count(*) FROM in_departments
 """,
     "snk_2_stream": """
 SELECT _id, student_name, department_id FROM students WHERE department_id < 13

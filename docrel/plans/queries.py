@@ -124,9 +124,9 @@ def q5_grouped(cols: dict[str, DataFrame], *, empty_divisor: str = "none") -> Da
                   empty_divisor=empty_divisor, unique_pairs=True, unique_divisor=True)
 
 
-def q6_top_courses(cols: dict[str, DataFrame], k: int = 10, *,
+def q6_top_courses(cols: dict[str, DataFrame], k: int | None = 10, *,
                    include_empty: bool = False) -> DataFrame:
-    """Q-6 — the ``k`` courses with most students; ties broken by ``_id``.
+    """Q-6 — the ``k`` courses with most students (``None``: all); ties broken by ``_id``.
 
     Students are counted per course on the edge table first (PHY-7), then the
     counts meet the courses on their unique key, then a top-k keeps k rows
@@ -137,4 +137,4 @@ def q6_top_courses(cols: dict[str, DataFrame], k: int = 10, *,
     j = c.join(counts, c["_id"] == counts["course_id"], "left" if include_empty else "inner")
     j = j.select("_id", "course_code",
                  F.coalesce("num_enrollments", F.lit(0).cast("long")).alias("num_enrollments"))
-    return top_k(j, F.col("num_enrollments").desc(), k, F.col("_id").asc())
+    return j if k is None else top_k(j, F.col("num_enrollments").desc(), k, F.col("_id").asc())

@@ -5,6 +5,7 @@ mapping.  Column names match the SQL in ``docrel.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +14,10 @@ from pyspark.sql import functions as F
 from docrel import schemas
 from docrel.functions.arrays import (array_size0, is_subset, map_lookup, rand_in_range,
                                      sorted_join, unwind, zero_pad)
-from docrel.operators import division, documents, grouping, integrity, membership, sampling
+from docrel.operators import division, documents, grouping, integrity, membership, postings, sampling
 from docrel.plans import layout, queries as Q, testmap
 from docrel.session import scratch_path
-from docrel.sources import io, sinks
+from docrel.sources import io, partial, sinks, split, variant
 from docrel import streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +35,12 @@ SAMPLE_K = 3
 SAMPLE_K_RANGE = (3, 5)
 GRID_SLOTS = (4, 6)
 GRID_YEARS = (2020, 2021, 2022)
-TOP_ZERO = 3000  # q_6_zero: enough to reach courses without students
+SPLIT_PARTS = 16
+BUCKETS = 8
+EMAIL_LOOKUP = "s15@example.edu"
+ANY_COURSES = (15, 42)
+ALL_DEPARTMENTS = (1, 2, 3)
+NEWEST = 3
 NO_DEPARTMENT = -1
 SMALL_ARRAY = 4  # q_7_chunked: bucket size small enough to split students here
 TINY_ARRAY = 1   # q_7_overflow: repeated enrolments spill into overflow rows
@@ -113,9 +119,9 @@ def q_5_pipeline(spark, sf):
 
 
 def q_6_zero(spark, sf):
-    """Q-6 with courses that nobody takes, and enough rows to reach them."""
+    """Q-6 for all courses, with those that nobody takes."""
     cols = _cols(spark, sf)
-    return Q.q6_top_courses(dict(cols, courses=_planned(cols)), TOP_ZERO, include_empty=True)
+    return Q.q6_top_courses(dict(cols, courses=_planned(cols)), None, include_empty=True)
 
 
 def q_6(spark, sf):
@@ -174,6 +180,44 @@ def src_1_collection(spark, sf):
     return _flat_students(back)
 
 
+def src_1_variant(spark, sf):
+    """Documents whose fields drift, read without a schema: the states of two fields."""
+    s = _cols(spark, sf)["students"]
+    i = F.col("_id") % 5
+    array = F.when(i == 1, ', "enrolled_courses": null').when(i == 2, ', "enrolled_courses": []') \
+        .when(i == 3, F.concat(F.lit(', "enrolled_courses": ['), F.col("_id").cast("string"), F.lit(", null]"))) \
+        .when(i == 4, ', "enrolled_courses": "none"').otherwise("")
+    dept = F.when(F.col("department_id") < 5, F.concat(F.lit('{"no": '), F.col("department_id").cast("string"), F.lit("}"))) \
+        .otherwise(F.col("department_id").cast("string"))
+    line = F.concat(F.lit('{"_id": '), F.col("_id").cast("string"), F.lit(', "department_id": '), dept, array,
+                    F.when(F.col("_id") % 97 == 0, "").otherwise("}"))
+    path = scratch_path(spark, "students_text")
+    s.select(line.alias("value")).write.mode("overwrite").text(path)
+    docs = variant.read_documents(spark, path)
+    states = docs.select(F.explode(F.array(*[
+        F.struct(F.lit(f).alias("field"), variant.field_state("doc", f"$.{f}").alias("state"))
+        for f in ("_id", "department_id", "enrolled_courses")])).alias("x"))
+    return states.select("x.*").groupBy("field", "state").agg(F.count(F.lit(1)).alias("n"))
+
+
+def src_2_split(spark, sf):
+    """Lines split by a key of which a third is one value, some are NULL and the rest is
+    far from uniform: rows, NULL keys, and whether no part is 1.3 times the mean."""
+    li = _raw(spark, sf)["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey")
+    key = F.when(F.col("l_linenumber") == 7, F.lit(None)).when(F.col("l_orderkey") % 3 == 0, F.lit(0)) \
+        .otherwise(F.col("l_orderkey") * F.col("l_orderkey"))
+    path = scratch_path(spark, "split_source")
+    li.withColumn("k", key.cast("long")).write.mode("overwrite").parquet(path)
+    source = io.read_table(spark, path)
+    predicates = split.balanced_predicates(source, "k", SPLIT_PARTS, tie="l_partkey")
+    per = split.read_parts(source, predicates, "part").groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("k").isNull().cast("long")).alias("nulls"))
+    known = F.when(F.col("nulls") == 0, F.col("n"))
+    return per.agg(F.sum("n").alias("n_rows"), F.sum("nulls").alias("null_rows"),
+                   F.sum((F.col("nulls") > 0).cast("long")).alias("null_parts"),
+                   (F.max(known) < 1.3 * F.avg(known)).alias("balanced"))
+
+
 def src_3_tables(spark, sf):
     return io.read_table(spark, f"{sf}/customer.parquet", columns=["c_custkey", "c_name", "c_nationkey"])
 
@@ -218,6 +262,52 @@ def snk_2_stream(spark, sf):
     return spark.read.parquet(target)
 
 
+def snk_2_pruned(spark, sf):
+    """SNK-2 on a stream into a partitioned target, of which a batch reads what it touches."""
+    s = _cols(spark, sf)["students"].select("_id", "student_name", "department_id")
+    target, source = scratch_path(spark, "stream_target"), scratch_path(spark, "stream_source")
+    s.filter(F.col("department_id") < 13).write.mode("overwrite").partitionBy("department_id").parquet(target)
+    batch = s.filter(F.col("department_id") >= 8) \
+             .withColumn("student_name", F.concat("student_name", F.lit(" (new)")))
+    batch.unionByName(batch).write.mode("append").parquet(source)
+    src = spark.readStream.schema(batch.schema).parquet(source)
+    streaming.stream_append_if_absent(src, target, ["_id", "department_id"],
+                                      partition_by="department_id").awaitTermination()
+    return spark.read.parquet(target)
+
+
+def snk_2_bucketed(spark, sf):
+    """SNK-2 twice over into a bucketed table; the batch holds a NULL key."""
+    s = _cols(spark, sf)["students"].select("_id", "student_name", "department_id")
+    table = f"docrel_students_{uuid.uuid4().hex}"
+    layout.bucket_table(s.filter(F.col("department_id") < 13), table, BUCKETS, ["_id"], ["_id"],
+                        path=scratch_path(spark, "bucketed"))
+    batch = s.filter(F.col("department_id") >= 8) \
+             .withColumn("student_name", F.concat("student_name", F.lit(" (new)")))
+    ghost = batch.agg(F.lit(None).cast("long").alias("_id"), F.lit("nobody").alias("student_name"),
+                      F.max("department_id").alias("department_id"))
+    batch = batch.unionByName(ghost).unionByName(ghost)
+    for _ in range(2):
+        partial.append_to_bucketed(spark, table, batch, ["_id"], n_buckets=BUCKETS, sort_by=["_id"])
+    return spark.table(table)
+
+
+def snk_3_partition(spark, sf):
+    """SNK-3 on a table partitioned by nation: only nations below 5 hold updated keys."""
+    c = _raw(spark, sf)["customer"]
+    path = scratch_path(spark, "customers")
+    c.select(F.col("c_custkey").alias("_id"), F.col("c_mktsegment").alias("segment"),
+             F.col("c_nationkey").alias("nation")).write.mode("overwrite").partitionBy("nation").parquet(path)
+    rich = c.filter((F.col("c_acctbal") > 5000) & (F.col("c_nationkey") < 5))
+    def update(key, value, at):
+        return rich.select(key.alias("_id"), value.alias("segment"), F.lit(at).alias("at"))
+    key = F.col("c_custkey")
+    upd = update(key, F.lower("c_mktsegment"), 2).unionByName(update(key, F.lit("early"), 1)) \
+        .unionByName(update(key + F.lit(1 << 40), F.lit("ghost"), 1))
+    partial.update_partitions(spark, path, upd, "_id", ["segment"], partition_by="nation", order=["at", "segment"])
+    return spark.read.parquet(path)
+
+
 def snk_3_update(spark, sf):
     """Two updates a customer, of which the later wins, and some without a target."""
     c = _raw(spark, sf)["customer"]
@@ -265,10 +355,19 @@ def sch_2_notnull(spark, sf):
     cols = _cols(spark, sf)
     a = integrity.column_rule_report("courses", _planned(cols), ["course_code", "instructor_id"],
                                      {"course_code": 14})
-    students = documents.attach(_applicants(cols), cols["enrolled"], "_id")
-    b = integrity.column_rule_report("students", students, ["enrolled_courses"],
-                                     {"student_name": 18, "student_email": 10})
-    return a.unionByName(b)
+    b = integrity.column_rule_report("students", _applicants(cols), [], {"student_name": 18, "student_email": 10})
+    # a student's array may be several rows of the side collection, or none
+    without = _applicants(cols).join(cols["enrolled"].select("_id"), "_id", "left_anti")
+    c = without.agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit("students").alias("table_name"), F.lit("not_null").alias("rule"),
+        F.lit("enrolled_courses").alias("column_name"), "violations")
+    return a.unionByName(b).unionByName(c)
+
+
+def sch_2_load(spark, sf):
+    """The report of all rules, those of single rows counted by the load itself."""
+    rel = _rel(spark, sf)
+    return integrity.load_checked(rel, {k: scratch_path(spark, k) for k in rel})
 
 
 def sch_3_unique(spark, sf):
@@ -294,6 +393,18 @@ def sch_5_ids(spark, sf):
     return integrity.assign_ids(o, ["o_orderdate", "o_orderkey"], "order_id").drop("o_orderdate")
 
 
+def sch_5_serial(spark, sf):
+    """Orders loaded in three batches, the first again after the second."""
+    o = _raw(spark, sf)["orders"].select("o_orderkey", "o_orderdate", "o_orderstatus")
+    path, out = scratch_path(spark, "serial"), {}
+    for status in "FOFP":
+        batch = o.filter(F.col("o_orderstatus") == status)
+        out[status] = integrity.load_serial(spark, path, batch, status, ["o_orderkey"],
+                                            ["o_orderdate", "o_orderkey"], "order_id")
+    rows = [df.select("o_orderkey", "order_id") for df in out.values()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 # FLT / PRJ ------------------------------------------------------------------------
 def flt_1(spark, sf):
     cols = _cols(spark, sf)
@@ -445,6 +556,18 @@ def join_8_sub(spark, sf):
                                                                F.sum("id").alias("ids_sum")))
 
 
+def join_8_correlated(spark, sf):
+    """JOIN-8 with ``let``: of each instructor the three newest core courses that are of
+    the instructor's own department."""
+    cols = _cols(spark, sf)
+    j = documents.lookup_correlated(
+        cols["instructors"], cols["courses"], "_id", "_id", "instructor_id", "newest",
+        let={"dept": "department_id"}, where=F.col("is_core_course") & (F.col("department_id") == F.col("_let_dept")),
+        order=[F.col("offering_year").desc(), F.col("_id").asc()], k=NEWEST, doc_cols=["_id", "offering_year"])
+    ids = F.transform("newest", lambda d: d["_id"].cast("string"))
+    return j.select("_id", F.size("newest").cast("long").alias("n_newest"), F.array_join(ids, ",").alias("course_ids"))
+
+
 def agg_6_bucket_sizes(spark, sf):
     """No generic answer depends on the bucket size: (max_array, what, n)."""
     out = None
@@ -722,6 +845,46 @@ def phy_5_layout(spark, sf):
     return Q.q3_department_courses(back, DEPARTMENT_Q3)
 
 
+def phy_5_bucketed(spark, sf):
+    """PHY-5: students and orders bucketed and sorted alike, joined and counted in place."""
+    raw = _raw(spark, sf)
+    names = [f"docrel_{k}_{uuid.uuid4().hex}" for k in ("students", "orders")]
+    students = raw["customer"].select(F.col("c_custkey").alias("_id"), F.col("c_name").alias("student_name"))
+    orders = raw["orders"].select(F.col("o_custkey").alias("_id"), "o_totalprice")
+    for df, name in zip((students, orders), names):
+        layout.bucket_table(df, name, BUCKETS, ["_id"], ["_id"], path=scratch_path(spark, name))
+    j = layout.colocated_join(spark.table(names[0]), spark.table(names[1]), ["_id"])
+    return j.groupBy("_id", "student_name").agg(F.count(F.lit(1)).alias("n_orders"),
+                                                F.max("o_totalprice").alias("largest"))
+
+
+def phy_5_lookup(spark, sf):
+    """PHY-5: a point lookup by e-mail in students clustered by department; Bloom filters
+    tell which row groups may hold it."""
+    path = scratch_path(spark, "students_bloom")
+    students = _cols(spark, sf)["students"]
+    layout.write_layout(students, path, cluster_by=["department_id", "_id"], bloom_on={"student_email": 100_000})
+    return spark.read.parquet(path).filter(F.col("student_email") == EMAIL_LOOKUP) \
+        .select("_id", "student_name", "student_email")
+
+
+def phy_6_bitmaps(spark, sf):
+    """PHY-6: students in any of some courses and in all of some departments, and how many."""
+    cols = _cols(spark, sf)
+    edges = Q.enrollment_edges(cols)
+    in_course = postings.any_of(postings.posting_bitmaps(edges, "student_id", "course_id"), ANY_COURSES)
+    c = cols["courses"].select(F.col("_id").alias("course_id"), "department_id")
+    in_all = postings.all_of(postings.posting_bitmaps(edges.join(c, "course_id"), "student_id", "department_id"),
+                             ALL_DEPARTMENTS)
+    out = None
+    for reading, sets in (("any", in_course), ("all", in_all)):
+        # a bucket's bitmap is read for its members and for its count
+        one = postings.members(sets, "student_id").select(F.lit(reading).alias("reading"), "student_id")
+        n = postings.member_count(sets, "student_id").select(F.lit(f"{reading}_count").alias("reading"), "student_id")
+        out = one.unionByName(n) if out is None else out.unionByName(one).unionByName(n)
+    return out
+
+
 def phy_6_inverted(spark, sf):
     cols = _cols(spark, sf)
     path = scratch_path(spark, "enrolled_index")

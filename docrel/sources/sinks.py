@@ -54,17 +54,32 @@ def append_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], *
 
     Several batch rows with one key keep the first in ``order`` (default: the
     key columns then all others), so the outcome does not depend on arrival
-    order.  Applying the same batch twice changes nothing.
+    order.  A NULL key is a key like others.  Applying the same batch twice changes nothing.
+    """
+    return target.unionByName(absent_rows(target, batch.select(*target.columns), keys, order=order))
+
+
+def absent_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], *,
+                order: Sequence[str] | None = None) -> DataFrame:
+    """SNK-2 — one row of ``batch`` for each key that ``target`` does not hold.
+
+    Rows whose key has no NULL are anti-joined on plain equality, which meets a target
+    bucketed on ``keys`` where it lies.  NULL keys are keys too (a NULL equals a NULL):
+    they are compared null-safely with the target's rows of NULL keys alone.
     """
     keys = list(keys)
-    batch = batch.select(*target.columns)
     order = list(order) if order else [c for c in batch.columns if c not in keys]
-    if order:
-        batch = first_per_key(batch, keys, order).select(*target.columns)
-    else:
-        batch = batch.dropDuplicates(keys)
-    fresh = batch.join(target.select(*keys), keys, "left_anti")
-    return target.unionByName(fresh)
+    one = first_per_key(batch, keys, order).select(*batch.columns) if order else batch.dropDuplicates(keys)
+    some_null = F.lit(False)
+    for k in keys:
+        some_null = some_null | F.col(k).isNull()
+    there = target.select(*keys)
+    known = one.filter(~some_null).join(there, keys, "left_anti")
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(f"b.{k}").eqNullSafe(F.col(f"t.{k}"))
+    null = one.filter(some_null).alias("b").join(there.filter(some_null).alias("t"), on, "left_anti")
+    return known.unionByName(null)
 
 
 def set_fields(target: DataFrame, updates: DataFrame, key: str, fields: Sequence[str], *,

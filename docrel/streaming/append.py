@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docrel.operators.grouping import first_per_key
 from docrel.session import scratch_path
+from docrel.sources.partial import among
+from docrel.sources.sinks import absent_rows
 
 
 def _table(spark, path: str, fmt: str) -> DataFrame | None:
@@ -46,15 +47,13 @@ def append_absent_batch(target_path: str, keys: Sequence[str], *, order: Sequenc
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        rest = [c for c in batch.columns if c not in keys]
-        fresh = first_per_key(batch, keys, list(order) if order else rest).select(*batch.columns) \
-            if rest else batch.dropDuplicates(keys)
         present = _table(spark, target_path, fmt)
-        if present is not None:
-            if partition_by is not None:  # a value for each partition of the batch
-                touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
-                present = present.filter(F.col(partition_by).isin(touched))
-            fresh = fresh.join(present.select(*keys), keys, "left_anti")
+        if present is None:
+            present = spark.createDataFrame([], batch.schema)
+        elif partition_by is not None:  # a value for each partition of the batch
+            touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
+            present = present.filter(among(partition_by, touched) if touched else F.lit(False))
+        fresh = absent_rows(present, batch, keys, order=order)
         w = fresh.write.mode("append").format(fmt)
         (w.partitionBy(partition_by) if partition_by else w).save(target_path)
 
