@@ -241,15 +241,17 @@ ODD_TEXTS = [" ", "  ", "a ", " a", "a  b", "a \n b", "\n", "\n\n a\n", "a\n\nb
 
 
 def test_units_do_not_change_the_tokens():
-    plain, own = Plain(), alignment.Aligner(*alignment.default_paths())
+    plain, own = Plain(), alignment.Tokens(*alignment.default_paths())
+    of = alignment.Vocabularies(*alignment.default_paths())
     assert own.apart
     r = random.Random(4)
     random_texts = ["".join(r.choice(["a", "the", " ", " ", "\n", "\t", ".", "é", "'s", "9", "\xa0", "中", "▁", "_", "\r"])
                             for _ in range(r.randrange(1, 40))) for _ in range(1500)]
     for text in ODD_TEXTS + random_texts + [x[1] or "" for x in ROWS]:
         want = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in plain.groups(text))
-        at = own.at(text)
-        assert ("" if at is None else own.groups(at)) == want, repr(text)
+        ids = own.of(text)
+        got = "" if ids is None else alignment.Alignment(of, *ids, np.array([0, len(ids[0])]), np.array([0, len(ids[1])])).named()[0]
+        assert got == want, repr(text)
 
 
 @pytest.mark.parametrize("slice_keys,cached", [(alignment.SLICE_KEYS, None), (100, 20)])
@@ -257,6 +259,9 @@ def test_alignment(spark, monkeypatch, slice_keys, cached):
     if slice_keys == 100:
         monkeypatch.setattr(alignment, "MAX_UNITS", cached)
         monkeypatch.setattr(alignment, "HELD_PAIRS", 50)
+        monkeypatch.setattr(alignment, "BATCH_BYTES", 300)
+        monkeypatch.setattr(alignment, "_LINKS", 7)
+        monkeypatch.setattr(alignment, "_SMALL", 2)
     rows = [(r[0], r[1]) for r in ROWS if len(r[1] or "") < 50_000] + [(500 + i, t) for i, t in enumerate(ODD_TEXTS)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("own", F.lit(1)).withColumn("n_a", F.lit("x"))
     got = alignment.report(df, slice_keys=slice_keys).collect()
@@ -276,24 +281,30 @@ def test_alignment(spark, monkeypatch, slice_keys, cached):
     assert Counter(map(tuple, got)) == want
     if slice_keys != 100:
         n_b = plain.b.get_piece_size()
-        table = {(r.a, r.b): r.docs for r in alignment.pairs(alignment.pair_counts(df), n_b).collect()}
+        table = {(r.a, r.b): r.docs for r in alignment.pairs(alignment.pair_counts(alignment.token_ids(df)), n_b).collect()}
         assert table == dict(docs)
 
 
-def test_large_groups_count_all_links():
-    own = alignment.Aligner(*alignment.default_paths())
-    own.raw_a = {1: b"aaa", 2: b"a"}
-    own.raw_b = {3: b"aa", 4: b"a"}
-    own.n_b = 10
-    _, pairs, times, total, groups = own._align([2] + [1] * 40, [3] * 60 + [4])
+def test_large_groups_count_all_links(monkeypatch):
+    of = alignment.Vocabularies(*alignment.default_paths())
+    of.width_a, of.width_b, of.n_b = np.array([0, 3, 1]), np.array([0, 0, 0, 2, 1]), 10
+    a, b = [2] + [1] * 40, [3] * 60 + [4]
     links = Counter()
-    at_a, at_b = np.cumsum([1] + [3] * 40), np.cumsum([2] * 60 + [1])
+    at_a, at_b = np.cumsum([1] + [3] * 40).tolist(), np.cumsum([2] * 60 + [1]).tolist()
     i = j = 0
-    for cut in sorted(set(at_a.tolist()) & set(at_b.tolist())):
-        i1, j1 = at_a.tolist().index(cut) + 1, at_b.tolist().index(cut) + 1
-        links.update(a * 10 + b for a in ([2] + [1] * 40)[i:i1] for b in ([3] * 60 + [4])[j:j1])
+    for cut in sorted(set(at_a) & set(at_b)):
+        i1, j1 = at_a.index(cut) + 1, at_b.index(cut) + 1
+        links.update(x * 10 + y for x in a[i:i1] for y in b[j:j1])
         i, j = i1, j1
-    assert dict(zip(pairs.tolist(), times.tolist())) == dict(links) and total == sum(links.values())
+    for small in (4096, 3):
+        monkeypatch.setattr(alignment, "_SMALL", small)
+        two = alignment.Alignment(of, np.array(a * 2), np.array(b * 2), np.array([0, 41, 41, 82]), np.array([0, 61, 61, 122]))
+        got = [Counter(), Counter(), Counter()]
+        for pair, times, text in two.links():
+            for p, n, t in zip(pair.tolist(), np.broadcast_to(times, len(pair)).tolist(), text.tolist()):
+                got[t][p] += n
+        assert got == [links, Counter(), links] and two.n_links.tolist() == [sum(links.values()), 0, sum(links.values())]
+        assert sorted(two.distinct().tolist()) == sorted([*links, *links])
 
 
 def test_alignment_of_nothing(none):
