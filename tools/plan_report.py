@@ -28,14 +28,13 @@ COMMENTARY = """## Reading these plans at 100 TB
   the whole `students` array column is read. The PHY-6 form pushes `course_id = 15` into the
   inverted table (range-clustered, so row groups outside 15 are skipped) and joins back to head
   rows only: its cost tracks the number of matches, not the collection size.
-* **Q-2** proves the instructor's course set small (bounded `limit(n+1).count()`), broadcasts it
-  and filters the edges map-side, so only that instructor's enrolments reach the one remaining
-  shuffle. A huge course set takes the count-first path instead (partial aggregate per course,
-  then a semi join), which never puts a hot course in one task.
+* **Q-2** counts students per course first (partial aggregate, so a hot course is reduced in
+  every map task), then keeps the instructor's courses by a semi join on the course, whose small
+  side AQE broadcasts where its bytes allow; no job is run to decide the plan.
 * **Q-3** pushes `department_id = 1` into the scan (or prunes directories on the PHY-5 layout);
   its one shuffle is the `first_per_key` de-duplication, partially aggregated.
-* **Q-4** reads two columns of head rows (`_chunk = 0` pushed down), one partial aggregate, and
-  joins the 25-row department table by broadcast (AQE's runtime size check).
+* **Q-4** reads one column of `students`, which has one row per student and no array, in one
+  partial aggregate, and joins the 25-row department table by broadcast (AQE's runtime size check).
 * **Q-5** is count-based division: the divisor and the one-row divisor count are broadcast (size
   known at run time / one row by construction); the per-instructor count is a partial aggregate.
 * **Q-6** counts edges per course with map-side combine (a hot course is reduced in every map
