@@ -6,8 +6,11 @@ length can differ much in cost.
 
 1. Each document is tokenised once and cut into pieces of a whole sequence and a
    rest.  A whole piece fills its sequence alone.
-2. Documents are dealt into groups of about ``GROUP_DOCS`` by a hash; the rests
-   carry their ids through that one shuffle.
+2. Rests are dealt into groups of about ``GROUP_DOCS`` by a hash and carry their
+   ids through that one shuffle; of rows that a task meets again and again, all but
+   the first ``SAME_GROUP`` are dealt anew by their number, so a repeated row is no
+   hot group.  Whole pieces only need a number for their sequence and are dealt
+   apart, with their place in the document, so a very long text is no hot group.
 3. In each group the rests, longest first, each go to the lowest-cost sequence
    with enough capacity left.  Rests that fit nowhere are cut over the gaps,
    lowest cost first.  The group's sequences have together exactly the capacity
@@ -19,6 +22,7 @@ Groups are independent, so a lost executor costs only its groups.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -35,8 +39,13 @@ END_ID = 1
 #: Cost of n tokens of one document: LINEAR * n + QUADRATIC * n * n.
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 GROUP_DOCS = 1024
+#: Copies of a row in one task that stay together, and whole pieces of a document that may.
+SAME_GROUP = 4
+WHOLE_GROUP = 64
+#: Distinct rows of a task whose copies are counted at once.
+MET = 500_000
 #: A sequence's id: its group, and its place there in so many low bits.
-PLACE_BITS = 31
+PLACE_BITS = 22
 
 PIECE_FIELDS = ("start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
                 "offset long")
@@ -46,10 +55,6 @@ def cost(n, linear: float = LINEAR, quadratic: float = QUADRATIC):
     return linear * n + quadratic * n * n
 
 
-def crc(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())
-
-
 def assign(lengths: list[int], sequence: int = SEQUENCE, linear: float = LINEAR,
            quadratic: float = QUADRATIC) -> tuple[list[tuple[int, int, int, int]], list[int]]:
     """Place documents of under ``sequence`` tokens each.
@@ -93,33 +98,45 @@ def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
 
     A document's ids are its text's token ids and then ``end_id``; each lies in
     exactly one piece.  A null or empty text is the one id ``end_id``.  Null ids
-    and repeated rows are packed like any others.  Empty table: no rows.  Other
+    and repeated rows are packed like any others; where a task meets more than
+    ``SAME_GROUP`` copies of a row, their packing depends on the table's partitions,
+    so ``df`` should be a stored table, whose partitions come back as they were.  Empty table: no rows.  Other
     columns are ignored.
     """
     path = path or default_path()
     docs = df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("body"))
     groups = max(1, -(-df.count() // group_docs))
     id_ddl = f"`{id_col}` {docs.schema[0].dataType.simpleString()}"
-    group_name = fresh(docs, "pack_group")
+    group_name, copy_name = fresh(docs, "pack_group"), fresh(docs, "pack_copy")
+    end, bytes_each = struct.pack("<I", end_id), 4 * sequence
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokens(path)
+        met: dict[int, int] = {}
         for b in slices(batches):
-            doc, start, length, crcs, tokens, rest = [], [], [], [], [], []
+            doc, start, length, crcs, tokens, copies, rest = [], [], [], [], [], [], []
             for i, text in enumerate(b.column(1)):
-                ids = np.append(words.ids(text.as_py()), np.uint32(end_id))
-                for at in range(0, len(ids), sequence):
-                    part = ids[at:at + sequence]
+                raw = words.raw(text.as_py()) + end
+                n, first = len(raw) // 4, None
+                for at in range(0, n, sequence):
+                    part = raw[4 * at:4 * at + bytes_each]
+                    sum_ = zlib.crc32(part)
+                    if first is None:
+                        if len(met) > MET:
+                            met.clear()
+                        first = zlib.crc32(str(b.column(0)[i]).encode(), n) << 32 | sum_
+                        met[first] = copy = met.get(first, -1) + 1
                     doc.append(i)
                     start.append(at)
-                    length.append(len(part))
-                    crcs.append(crc(part))
-                    tokens.append(len(ids))
-                    rest.append(part.astype("<u4").tobytes() if len(part) < sequence else None)
+                    length.append(len(part) // 4)
+                    crcs.append(sum_)
+                    tokens.append(n)
+                    copies.append(max(0, copy - SAME_GROUP + 1))
+                    rest.append(part if len(part) < bytes_each else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(doc, pa.int64())), *(pa.array(x, pa.int64()) for x in
-                 (start, length, crcs, tokens)), pa.array(rest, pa.binary())],
-                names=[id_col, "start", "length", "ids_crc32", "doc_tokens", "ids"])
+                 (start, length, crcs, tokens, copies)), pa.array(rest, pa.binary())],
+                names=[id_col, "start", "length", "ids_crc32", "doc_tokens", copy_name, "ids"])
 
     def pack(key: tuple, table: pa.Table) -> pa.Table:
         # an order of the rows that does not depend on how they arrived
@@ -151,7 +168,11 @@ def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
             names=[id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     cuts = docs.mapInArrow(cut, f"{id_ddl}, start long, length long, ids_crc32 long, "
-                                "doc_tokens long, ids binary")
-    dealt = cuts.withColumn(group_name, F.pmod(F.xxhash64(id_col, "start", "ids_crc32"),
-                                               F.lit(groups)).cast("long"))
-    return dealt.groupBy(group_name).applyInArrow(pack, f"{id_ddl}, {PIECE_FIELDS}")
+                                f"doc_tokens long, `{copy_name}` long, ids binary")
+    # the task and the copy's number there, for copies beyond the first few
+    salt = F.when(F.col(copy_name) > 0, F.xxhash64(F.spark_partition_id(), copy_name)).otherwise(0)
+    dealt = F.pmod(F.xxhash64(id_col, "start", "ids_crc32", salt), F.lit(groups)).cast("long")
+    apart = (1 + F.floor(F.col("start") / (WHOLE_GROUP * sequence))).cast("long") * F.lit(groups)
+    dealt = F.when(F.col("length") == sequence, dealt + apart).otherwise(dealt)
+    return cuts.withColumn(group_name, dealt).drop(copy_name) \
+               .groupBy(group_name).applyInArrow(pack, f"{id_ddl}, {PIECE_FIELDS}")

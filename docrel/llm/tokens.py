@@ -1,23 +1,24 @@
-"""Token ids of whole texts, with a bounded cache of pieces.
+"""Token ids of whole texts, with a bounded cache of words.
 
 The public word tokenizer cuts a normalised text into pieces (runs of letters,
 single digits, runs of other characters; white space is dropped) and no token
-spans two of them.  Each distinct piece is therefore merged once per task while
-the cache holds it, and texts are assembled from arrays.  Texts within Latin-1
-are normalised and cut here by the tokenizer's own rules and only merged by it;
-all others, and texts that may hold the strings of special tokens, go through
-the tokenizer whole.
+spans two of them, so none spans white space.  Each distinct word is therefore cut
+and merged once per task while the cache holds it, and a text's ids are its words'
+ids joined.  Texts within Latin-1 are normalised and cut here by the tokenizer's
+own rules and only merged by it; all others, and texts that may hold the strings of
+special tokens, go through the tokenizer whole.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 
-#: The cache starts anew when it holds so many pieces or characters of pieces.
-MAX_PIECES = 150_000
-MAX_CHARS = 8 << 20
+#: The cache starts anew when it holds so many words; longer words are not held.
+MAX_WORDS = 500_000
+MAX_CHARS = 64
 
 # How the tokenizer file cuts a lower-case text, for the characters of Latin-1.
 # (Fixed values: must equal its pattern and Unicode's letters, numbers and spaces.)
@@ -26,6 +27,8 @@ _NUMBER = "0-9²³¹¼-¾"
 _SPACE = "\t-\r \x85\xa0"
 PIECES = f"[{_LETTER}]+|[{_NUMBER}]|'s|'t|'re|'ve|'m|'ll|'d|[^{_SPACE}{_LETTER}{_NUMBER}]+"
 
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -44,16 +47,26 @@ def _byte_letters() -> list[str]:
     return out
 
 
-class _Index(dict):
-    """Numbers pieces in order of appearance and remembers the new ones."""
+class _Words(dict):
+    """Ids of lower-case words, as little-endian unsigned 32-bit bytes; cut and merged when first met."""
 
-    def __init__(self):
-        self.new: list[str] = []
+    def __init__(self, merged):
+        self.merged = merged
+        self.letters = _byte_letters()
+        self.cut = re.compile(PIECES).findall
 
-    def __missing__(self, piece: str) -> int:
-        n = self[piece] = len(self)
-        self.new.append(piece)
-        return n
+    def __missing__(self, word: str) -> bytes:
+        # letters alone are one piece, as most words are
+        if word.isalpha() or (pieces := self.cut(word)) == [word]:
+            name = word if word.isascii() and word.isprintable() else "".join(
+                [self.letters[b] for b in word.encode()])
+            ids = [t.id for t in self.merged(name)]
+            raw = struct.pack(f"<{len(ids)}I", *ids)
+        else:
+            raw = b"".join([self[p] for p in pieces])
+        if len(word) <= MAX_CHARS:
+            self[word] = raw
+        return raw
 
 
 class WordTokens:
@@ -63,63 +76,37 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
-        self.merged = self.full.model.tokenize
-        self.letters = _byte_letters()
-        self.cut = re.compile(PIECES).findall
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index, self.chars, self.known, self.end = _Index(), 0, 0, 0
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
-
-    def _learn(self) -> None:
-        ids, ends = [], []
-        for piece in self.index.new:
-            name = piece if piece.isascii() and piece.isprintable() else "".join([self.letters[b] for b in piece.encode()])
-            ids += [t.id for t in self.merged(name)]
-            ends.append(self.end + len(ids))
-            self.chars += len(piece)
-        while self.known + len(ends) >= len(self.starts):
-            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-        while self.end + len(ids) > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        self.flat[self.end:self.end + len(ids)] = ids
-        self.starts[self.known + 1:self.known + 1 + len(ends)] = ends
-        self.known += len(ends)
-        self.end += len(ids)
-        self.index.new.clear()
-
-    def _spans(self, text: str):
-        """Where the ids of each piece of the text are held, or None."""
+        self.words = _Words(self.full.model.tokenize)
+
+    def _split(self, text: str) -> list[str] | None:
+        """The text's words in lower case, or None where it needs the whole tokenizer."""
         if "<|" in text:
             return None
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
             return None
-        if self.known > MAX_PIECES or self.chars > MAX_CHARS:
-            self._clear()
-        pieces = self.cut(text.lower())
-        at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
-        if self.index.new:
-            self._learn()
-        first = self.starts[at]
-        return first, self.starts[at + 1] - first
+        # Python splits at these four too, the tokenizer does not
+        if not text.isprintable() and _SEPARATORS.search(text):
+            return None
+        if len(self.words) > MAX_WORDS:
+            self.words.clear()
+        return text.lower().split()
+
+    def raw(self, text: str) -> bytes:
+        """Token ids of a text, as little-endian unsigned 32-bit bytes."""
+        words = self._split(text)
+        if words is None:
+            return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(map(self.words.__getitem__, words))
 
     def ids(self, text: str) -> np.ndarray:
         """Token ids of a text, unsigned 32-bit."""
-        spans = self._spans(text)
-        if spans is None:
-            return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
-        first, size = spans
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(first - ends + size, size) + np.arange(total)]
+        return np.frombuffer(self.raw(text), "<u4")
 
     def count(self, text: str) -> int:
         """Number of token ids of a text."""
-        spans = self._spans(text)
-        if spans is None:
+        words = self._split(text)
+        if words is None:
             return len(self.full.encode(text, add_special_tokens=False).ids)
-        return int(spans[1].sum())
+        return sum(map(len, map(self.words.__getitem__, words))) // 4

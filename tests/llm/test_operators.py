@@ -204,6 +204,29 @@ def test_packing(odd):
     assert multiset(got) == multiset(packing.pieces(odd.repartition(3), group_docs=16).collect())
 
 
+@pytest.mark.parametrize("words_each", [90, 1])
+def test_packing_splits_equal_rows(spark, words_each):
+    text = " ".join(["stone"] * words_each)
+    df = spark.range(0, 24_000, 1, 16).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit(text + " "), F.col("id"))).otherwise(text).alias("text"))
+    got = packing.pieces(df, group_docs=256).withColumn(
+        "g", F.shiftright("sequence_id", packing.PLACE_BITS)).groupBy("g").agg(
+        F.sum("length").alias("n"), F.sum(F.when(F.col("start") == 0, 1).otherwise(0)).alias("docs")).collect()
+    docs = sorted(r.docs for r in got)
+    assert sum(docs) == 24_000 and docs[-1] <= 2 * docs[len(docs) // 2]
+    assert sum(r.n for r in got) == sum(8_000 * [words_each + 1]) + sum(
+        words_each + 1 + len(str(i)) for i in range(24_000) if i % 3)
+
+
+def test_packing_splits_a_long_text(spark):
+    df = spark.createDataFrame([(1, "stone " * (2048 * 200))], "doc_id long, text string")
+    got = packing.pieces(df).collect()
+    check_packed(got, [tuple(r) for r in df.collect()])
+    groups = Counter(r.sequence_id >> packing.PLACE_BITS for r in got)
+    assert max(groups.values()) <= packing.WHOLE_GROUP and len(got) == 201
+
+
 def test_packing_assigns_to_the_lowest_cost():
     placed, room = packing.assign([1000, 900, 800, 700, 600, 96])
     assert sum(room) == 4096 and len(placed) >= 6
