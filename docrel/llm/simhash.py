@@ -13,6 +13,9 @@
    verified on the fingerprints.  A large bucket is searched outward from one
    member at a time over the members not yet reached, so it gives at most one
    link per member instead of all pairs.
+   Buckets of more than ``BUCKET_BOUND`` nodes are cut further: the same principle
+   holds on the bits that are still free, so their nodes are dealt again, into buckets
+   that agree on two more blocks, until all buckets are within the bound.
 5. Components of the links (``components.py``).
 """
 
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -37,6 +41,10 @@ PIVOTS = 16
 SEED = 42
 #: Buckets with more nodes are searched outward instead of pair by pair.
 LARGE_BUCKET = 16
+#: Buckets with more nodes are dealt anew by further blocks.
+BUCKET_BOUND = 1 << 14
+#: Lists of so few large buckets are broadcast.
+_FEW_BUCKETS = 100_000
 #: Shingles whose bits are counted at once, and rows searched at once.
 _STEP = 1 << 15
 _CHUNK = 1 << 18
@@ -94,31 +102,73 @@ def pivot_table(fp: np.ndarray, refs: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fp[:, None] ^ refs[None, :]).astype(np.int8)
 
 
-def blocks(max_bits: int) -> list[int]:
-    """Masks of the choices of two of ``max_bits + 2`` blocks of the 64 bits."""
-    edges = np.linspace(0, 64, max_bits + 3).round().astype(int).tolist()
-    part = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:])]
+def blocks(max_bits: int, fixed: int = 0) -> list[int]:
+    """Masks of the choices of two of ``max_bits + 2`` blocks of the bits outside ``fixed``."""
+    free = [i for i in range(64) if not fixed >> i & 1]
+    edges = np.linspace(0, len(free), max_bits + 3).round().astype(int).tolist()
+    part = [sum(1 << i for i in free[a:b]) for a, b in zip(edges, edges[1:])]
     return [x | y for x, y in combinations(part, 2)]
 
 
+@lru_cache(maxsize=4096)
+def mask_of(choice: int, max_bits: int) -> int:
+    """The bits in which a bucket's nodes agree.  ``choice`` holds the choices of blocks
+    made so far, as digits from 1 on in a base of one more than the choices."""
+    if not choice:
+        return 0
+    choices = (max_bits + 2) * (max_bits + 1) // 2
+    before, digit = divmod(choice, choices + 1)
+    fixed = mask_of(before, max_bits)
+    return fixed | blocks(max_bits, fixed)[digit - 1]
+
+
 def _dealt(nodes: DataFrame, max_bits: int) -> DataFrame:
-    """(bucket, fp, table): each node in every bucket that it belongs to."""
-    masks, refs = np.array(blocks(max_bits), np.uint64), pivots()
+    """(bucket, choice, fp, table) of nodes (choice, fp): each in every bucket that it
+    belongs to among those that go on from its choice."""
+    refs = pivots()
+    choices = (max_bits + 2) * (max_bits + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            if not len(fp):
-                continue
-            rows = pivot_table(fp, refs)
-            buffer = pa.py_buffer(np.ascontiguousarray(rows))
-            table = pa.Array.from_buffers(pa.binary(len(refs)), len(fp), [None, buffer]).cast(pa.binary())
-            for i, m in enumerate(masks):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((fp & m).view(np.int64)), pa.array(np.full(len(fp), i, np.int32)),
-                     b.column(0), table], names=["bucket", "choice", "fp", "table"])
-
-    return nodes.select("fp").mapInArrow(run, "bucket long, choice int, fp long, table binary")
+            every = b.column(0).to_numpy(zero_copy_only=False)
+            fps = b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            for before in np.unique(every).tolist():
+                fp = fps[every == before]
+                rows = pivot_table(fp, refs)
+                buffer = pa.py_buffer(np.ascontiguousarray(rows))
+                table = pa.Array.from_buffers(pa.binary(len(refs)), len(fp), [None, buffer]).cast(pa.binary())
+                for i in range(1, choices + 1):
+                    choice = before * (choices + 1) + i
+                    mask = np.uint64(mask_of(choice, max_bits))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array((fp & mask).view(np.int64)), pa.array(np.full(len(fp), choice, np.int64)),
+                         pa.array(fp.view(np.int64)), table], names=["bucket", "choice", "fp", "table"])
+
+    return nodes.select("choice", "fp").mapInArrow(run, "bucket long, choice long, fp long, table binary")
+
+
+def bucketed(nodes: DataFrame, max_bits: int = MAX_BITS, bound: int | None = None) -> list[DataFrame]:
+    """Tables (bucket, choice, fp, table) whose buckets hold every linked pair of the
+    nodes (column ``fp``, distinct) together at least once and at most ``bound`` nodes each."""
+    # so few nodes may be left that no block can part them
+    bound = max(bound or BUCKET_BOUND, 1 << max_bits)
+    now, out = nodes.select(F.lit(0).cast("long").alias("choice"), "fp"), []
+    left = nodes.count()
+    while True:
+        dealt = _dealt(now, max_bits)
+        # a bucket is never larger than the table, nor than its free bits can tell apart
+        if left <= bound:
+            return [*out, dealt]
+        large = stored(dealt.groupBy("choice", "bucket").agg(F.count(F.lit(1)).alias("n"))
+                       .filter(F.col("n") > bound).select("choice", "bucket", "n"), "buckets")
+        found, left = large.agg(F.count(F.lit(1)), F.max("n")).first()
+        if not found:
+            return [*out, dealt]
+        large = large.drop("n")
+        if found <= _FEW_BUCKETS:
+            large = F.broadcast(large)
+        out.append(dealt.join(large, ["choice", "bucket"], "left_anti").select("bucket", "choice", "fp", "table"))
+        now = stored(dealt.join(large, ["choice", "bucket"], "left_semi").select("choice", "fp"), "redealt")
 
 
 def _near(fp, table, one_fp, one_table, max_bits):
@@ -173,12 +223,17 @@ def _links_of(bucket, fp, table, max_bits):
 def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(u, v): links that join the same components as all pairs of distinct
     fingerprints (column ``fp``) with at most ``max_bits`` differing bits."""
-    dealt = _dealt(nodes, max_bits).repartition("choice", "bucket") \
-                                   .sortWithinPartitions("choice", "bucket")
+    found = [_linked(part, max_bits) for part in bucketed(nodes, max_bits)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _linked(dealt: DataFrame, max_bits: int) -> DataFrame:
+    """Links within the buckets of one table."""
+    dealt = dealt.repartition("choice", "bucket").sortWithinPartitions("choice", "bucket")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        rows, enough = 0, _CHUNK
+        rows, enough, last, number = 0, _CHUNK, None, 0
 
         def out(*done):
             a, b = _links_of(*done, max_bits)
@@ -190,8 +245,14 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 continue
             raw = batch.column(3).cast(pa.binary(PIVOTS))
             table = np.frombuffer(raw.buffers()[1], np.int8, n * PIVOTS, raw.offset * PIVOTS)
-            choice = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)
-            key = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) ^ (choice << np.uint64(57))
+            choice = batch.column(1).to_numpy(zero_copy_only=False)
+            bucket = batch.column(0).to_numpy(zero_copy_only=False)
+            new = np.ones(n, bool)  # rows that begin a bucket
+            new[1:] = (bucket[1:] != bucket[:-1]) | (choice[1:] != choice[:-1])
+            new[0] = last != (choice[0], bucket[0])
+            last = (choice[-1], bucket[-1])
+            key = np.cumsum(new) + number
+            number = int(key[-1])
             held.append((key, batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64),
                          table.reshape(n, PIVOTS)))
             rows += n

@@ -144,6 +144,36 @@ def test_simhash_links_are_complete(spark):
     assert len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
+def test_simhash_hot_buckets_are_split(spark, monkeypatch):
+    """Fingerprints that agree in 26 bits: no task gets more than a bound of them, no link is lost."""
+    from docrel.llm.components import components
+    r = np.random.default_rng(8)
+    hot = simhash.blocks(3)[4]
+    free = [i for i in range(64) if not hot >> i & 1]
+    fps = set()
+    for _ in range(1500):  # in one bucket, few bits apart from a neighbour each
+        f = int(r.integers(0, 2 ** 63)) & ~hot | (0x123456789ABCDEF0 & hot)
+        fps |= {f} | {f ^ sum(1 << int(b) for b in r.choice(free, n, replace=False)) for n in (1, 3, 5)[:r.integers(0, 4)]}
+    fps = sorted(fps | {int(x) for x in r.integers(0, 2 ** 63, 200)})
+    nodes = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
+    whole = simhash.links(nodes)
+    monkeypatch.setattr(simhash, "BUCKET_BOUND", 64)
+    parts = simhash.bucketed(nodes)
+    assert len(parts) > 1
+    for part in parts:
+        assert part.groupBy("choice", "bucket").count().agg(F.max("count")).first()[0] <= 64
+        task = part.repartition(32, "choice", "bucket").groupBy(F.spark_partition_id()).count()
+        n = [x["count"] for x in task.collect()]
+        assert max(n) < sum(n) / 4
+    split = simhash.links(nodes).collect()
+    assert all(((a ^ b) & (2 ** 64 - 1)).bit_count() <= 3 for a, b in split)
+    roots = [{x.node: x.root for x in components(y).collect()} for y in
+             (whole, spark.createDataFrame(split, "u long, v long"))]
+    assert roots[0] == roots[1]
+    want = brute_components(fps)
+    assert len({want[f] for f in fps}) == len(fps) - len(roots[0])
+
+
 def test_components_of_chains(spark):
     from docrel.llm.components import components
     edges = [(i, i + 1) for i in range(0, 60)] + [(200, 100), (100, 300), (7, 7)]
