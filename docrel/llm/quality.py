@@ -10,7 +10,8 @@ the logarithm of its length.
 
 Fitting uses a bounded sample: at most about ``PER_CLASS`` texts of each class,
 chosen by a hash of the id, ``DICTIONARY_SHARE`` of them for the dictionaries and
-the rest for calibration.  Scoring reads every text whole.
+the rest for calibration.  Only dictionary texts come to the driver, at most
+``CLASS_BYTES`` a class; the others are measured in tasks.  Scoring reads every text whole.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docrel.llm.common import stored
+
 #: Bounds of the sample: texts of a class, and bytes of a class for its dictionary.
 PER_CLASS = 2000
 CLASS_BYTES = 6 << 20
@@ -37,8 +40,8 @@ def held_out(id_col: str):
 
 
 def _sampled(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-             per_class: int) -> list[tuple[int, int, str]]:
-    """(label, part, text) of the sample, in a fixed order; part 0 is for dictionaries."""
+             per_class: int) -> DataFrame:
+    """(label, part, text, unit, tie, size) of the sample; part 0 is for dictionaries."""
     rows = labels.filter(F.col(label_col).isin(0, 1) & ~held_out(id_col)) \
                  .select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).distinct()
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # two rows
@@ -51,30 +54,62 @@ def _sampled(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     # the ids of the sample: 2 * per_class rows, about, so no text is shuffled to find its own
     got = docs.join(F.broadcast(picked), "id").filter("text is not null and text <> ''")
     part = (F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(1000)) >= int(1000 * DICTIONARY_SHARE)).cast("int")
-    return [tuple(r) for r in got.select("label", part, "text", "unit").distinct()
-            .orderBy("unit", "label", F.xxhash64("text")).drop("unit").collect()]
+    return stored(got.select("label", part.alias("part"), "text", "unit").distinct().select(
+        "*", F.xxhash64("text").alias("tie"), F.octet_length("text").alias("size")), "quality_sample")
+
+
+def _dictionary_texts(sample: DataFrame) -> list[tuple[int, bytes]]:
+    """(label, text) for the dictionaries, in a fixed order: those that fit into ``CLASS_BYTES``.
+    Their sizes come to the driver first, so no more than that does."""
+    part = sample.filter("part = 0")
+    room, chosen = {0: CLASS_BYTES, 1: CLASS_BYTES}, []
+    for r in part.select("unit", "label", "tie", "size").orderBy("unit", "label", "tie").collect():
+        if r["size"] <= room[r["label"]]:
+            room[r["label"]] -= r["size"]
+            chosen.append((r["unit"], r["label"], r["tie"]))
+    keys = sample.sparkSession.createDataFrame(chosen, "unit long, label long, tie long")
+    got = part.join(F.broadcast(keys), ["unit", "label", "tie"], "left_semi")
+    return [(r["label"], r["text"].encode()) for r in
+            got.orderBy("unit", "label", "tie").select("label", "text").collect()]
+
+
+def _measured(sample: DataFrame, model: Model) -> list[tuple[int, int, float, float, float]]:
+    """(label, part, measures) of the sample in a fixed order, measured in tasks: numbers only."""
+    held = sample.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = held.value
+        for b in batches:
+            got = np.array([m.measures(x.as_py().encode()) for x in b.column(4)], float).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], *(pa.array(got[:, i]) for i in range(3))],
+                                             names=["label", "part", "unit", "tie", "m0", "m1", "m2"])
+
+    src = sample.select(F.col("label").cast("long"), F.col("part").cast("long"), "unit", "tie", "text")
+    out = src.mapInArrow(run, "label long, part long, unit long, tie long, m0 double, m1 double, m2 double")
+    return [(r["label"], r["part"], r["m0"], r["m1"], r["m2"]) for r in
+            out.orderBy("unit", "label", "tie").collect()]
 
 
 class Model:
     """Dictionaries of the classes and the calibration's weights."""
 
-    def __init__(self, sample: list[tuple[int, int, str]]):
+    def __init__(self, texts: list[tuple[int, bytes]]):
         import zstandard
 
         self.dictionaries = []
         for label in (0, 1):
-            texts, size = [], 0
-            for y, part, text in sample:
-                if y == label and part == 0 and size + len(raw := text.encode()) <= CLASS_BYTES:
-                    texts.append(raw)
-                    size += len(raw)
-            self.dictionaries.append(self._dictionary(zstandard, texts, size))
+            own = [t for y, t in texts if y == label]
+            self.dictionaries.append(self._dictionary(zstandard, own, sum(map(len, own))))
+        self.weights = np.zeros(4)
         self._open()
-        xy = [(self.measures(t.encode()), y) for y, part, t in sample if part == 1]
-        if len({y for _, y in xy}) < 2:
-            xy = [(self.measures(t.encode()), y) for y, _, t in sample]
-        self.weights = _logistic(np.array([x for x, _ in xy]).reshape(-1, 3),
-                                 np.array([y for _, y in xy], float))
+
+    def calibrate(self, rows: list[tuple[int, int, float, float, float]]) -> None:
+        """Fit the weights to (label, part, measures): to part 1, or to all where it has one class."""
+        own = [r for r in rows if r[1] == 1]
+        if len({r[0] for r in own}) < 2:
+            own = rows
+        self.weights = _logistic(np.array([r[2:] for r in own], float).reshape(-1, 3),
+                                 np.array([r[0] for r in own], float))
 
     @staticmethod
     def _dictionary(zstandard, texts: list[bytes], size: int) -> bytes:
@@ -137,7 +172,10 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", per_class: int = PER_CLASS) -> Model:
     """Fit on a bounded sample of the labelled rows outside the held-out fold."""
-    return Model(_sampled(df, labels, id_col, text_col, label_col, per_class))
+    sample = _sampled(df, labels, id_col, text_col, label_col, per_class)
+    model = Model(_dictionary_texts(sample))
+    model.calibrate(_measured(sample, model))
+    return model
 
 
 def scored(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",

@@ -1,10 +1,10 @@
 """Edit-aware token counts.
 
 Each document keeps a segment tree over its pre-tokens: a leaf covers a run of
-``LEAF_WORDS`` words and starts at a word, an inner node holds the sum of its
-children.  The tokenizer never joins words, so the counts of leaves add up to the
-document's, and an edit changes only the leaves that it touches and, where it may
-join words over a leaf's end, the leaves beside them.  Those are encoded anew as
+``LEAF_WORDS`` words, or of about ``LEAF_CHARS`` code points where those are longer,
+and starts where a pre-token does; an inner node holds the sum of its children.
+The tokenizer joins no pre-tokens, so the counts of leaves add up to the document's, and an edit changes only the leaves that it touches and, where it may
+join pre-tokens over a leaf's end, the leaves beside them.  Those are encoded anew as
 one region and the sums above them are brought up to date; the rest of the text
 is not encoded again.
 
@@ -27,15 +27,33 @@ from docrel.llm.common import stored, text_of
 from docrel.llm.tokens import WordTokens, default_path
 
 LEAF_WORDS = 64
+LEAF_CHARS = 1024
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-_SPACE = re.compile(r"[\x20\x09-\x0D]")
-
-
-def leaf_starts(text: str, leaf_words: int = LEAF_WORDS) -> list[int]:
-    """Offsets at which leaves start: 0 and every ``leaf_words``-th word's."""
+# Letters of common scripts, and signs that no contraction or special token holds.
+_LETTERS = ("A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f\u0391-\u03a1\u03a3-\u03a9\u03b1-\u03c9\u0400-\u0481"
+            "\u048a-\u052f\u05d0-\u05ea\u0620-\u064a\u0e01-\u0e30\u3041-\u3096\u30a1-\u30fa"
+            "\u4e00-\u9fff\uac00-\ud7a3")
+_SIGNS = r'!"#$%&()*+,\-./:;=?@\[\\\]^_`{}~\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f'
+#: Places where a text may be cut without any change of its pre-tokens, whatever lies
+#: beyond the two characters there: after a space, beside a digit, and between a
+#: letter and a sign after it.
+_CUT = re.compile(r"(?<=[\x20\x09-\x0D])|(?<=[0-9])(?!$)|(?<=[^'])(?=[0-9])"
+                  f"|(?<=[{_LETTERS}])(?=[{_SIGNS}])")
+
+
+def leaf_starts(text: str, leaf_words: int = LEAF_WORDS, leaf_chars: int = LEAF_CHARS) -> list[int]:
+    """Offsets at which leaves start: 0, every ``leaf_words``-th word's, and the first
+    place to cut after each ``leaf_chars`` code points of a longer leaf."""
     at = [m.start() for i, m in enumerate(_WORDS.finditer(text)) if i % leaf_words == 0]
-    return [0, *at[1:]]
+    out: list[int] = []
+    for a, b in zip([0, *at[1:]], [*at[1:], len(text)]):
+        out.append(a)
+        while b - out[-1] > leaf_chars and (cut := _CUT.search(text, out[-1] + leaf_chars, b)):
+            if cut.start() >= b:
+                break
+            out.append(cut.start())
+    return out
 
 
 def build(counts: list[int]) -> np.ndarray:
@@ -76,19 +94,22 @@ def edit(text: str, starts: np.ndarray, tree: np.ndarray, at: int, length: int,
     """
     at = max(0, min(at, len(text)))
     length = max(0, min(length, len(text) - at))
-    spaced = lambda i: bool(_SPACE.match(text, i - 1))
-    # from the leaf's start, if a space before it still parts its first word from the last leaf
+    # the characters there, unlike the text around them, are copied in no time
+    near = lambda i: text[max(0, i - 1):min(i, at)] + (new + text[at + length:at + length + 1] if i == at
+                                                       else text[i:i + 1])[:1]
+    # from the leaf's start, if the text may still be cut there
     first = int(np.searchsorted(starts, at, "right")) - 1
-    while first and not spaced(int(starts[first])):
+    while first and not _CUT.match(near(int(starts[first])), 1):
         first -= 1
-    # to the next leaf's start, if a space before it is left
+    # to the next leaf's start, if the characters beside it are left
     last = int(np.searchsorted(starts, at + length, "right")) - 1
-    while last + 1 < len(starts) and not (starts[last + 1] > at + length and spaced(int(starts[last + 1]))):
+    while last + 1 < len(starts) and not (starts[last + 1] > at + length
+                                          and _CUT.match(text[starts[last + 1] - 1:starts[last + 1] + 1], 1)):
         last += 1
     begin = int(starts[first])
     end = int(starts[last + 1]) if last + 1 < len(starts) else len(text)
     region = text[begin:at] + new + text[at + length:end]
-    # the region's words keep to its leaves as evenly as its words allow
+    # the region's pre-tokens keep to its leaves as evenly as they allow
     own = leaf_starts(region)
     per = -(-len(own) // (last - first + 1))
     cuts = own[::per] + [len(region)] * (last - first + 1 - len(own[::per]))

@@ -372,6 +372,47 @@ def test_random_edits_keep_the_tree_right():
             assert (np.diff(starts) >= 0).all() and starts[-1] <= len(text)
 
 
+@pytest.mark.parametrize("kind", ["base64", "code", "chinese", "few blanks"])
+def test_edits_of_unspaced_texts_stay_local(kind):
+    import random
+    r, w = random.Random(6), tokens.WordTokens(tokens.default_path())
+    letters = [chr(c) for c in range(0x4e00, 0x4e40)]
+    unit = {"base64": lambda: r.choice("ABCdefGHIjkl0123456789+/"),
+            "code": lambda: r.choice(["var a=", "f(x);", "if(b){", "it's", "}", "0x1f", "''", "ab,", "y.z"]).replace(" ", ""),
+            "chinese": lambda: r.choice(letters) if r.random() < 0.9 else r.choice("，。"),
+            "few blanks": lambda: "x" * 500 + " "}[kind]
+    text = ""
+    while len(text) < (1_000_000 if kind != "chinese" else 100_000):
+        text += "".join(unit() for _ in range(1000))
+    starts = token_counts.leaf_starts(text)
+    tree = token_counts.build([w.count(text[a:b]) for a, b in zip(starts, [*starts[1:], len(text)])])
+    starts = np.array(starts, np.int32)
+    assert token_counts.total(tree) == w.count(text)
+    for _ in range(6):
+        at = int(r.choice(starts)) + r.choice([-1, 0, 0, 1, 300])
+        text, encoded, _ = token_counts.edit(text, starts, tree, at, r.randrange(3), r.choice(["", "'s", "7", " ", "q", "，"]),
+                                             w.count)
+        assert encoded < 4000 and token_counts.total(tree) == w.count(text)
+
+
+def test_random_edits_of_long_leaves(monkeypatch):
+    import random
+    monkeypatch.setattr(token_counts.leaf_starts, "__defaults__", (3, 4))
+    r, w = random.Random(7), tokens.WordTokens(tokens.default_path())
+    bits = ["ab", "c", " ", "'", "'s", "l", "9", "é", "e\u0301", "\u0301", "中", ".", ",", "<|endoftext|>", "<", "|", "-", "²", "。"]
+    for _ in range(150):
+        text = "".join(r.choice(bits) for _ in range(r.randrange(0, 80)))
+        starts = token_counts.leaf_starts(text)
+        tree = token_counts.build([w.count(text[a:b]) for a, b in zip(starts, [*starts[1:], len(text)])])
+        starts = np.array(starts, np.int32)
+        assert token_counts.total(tree) == len(full_ids(text)) - 1, text
+        for _ in range(8):
+            at, n = r.randrange(0, len(text) + 3), r.randrange(0, 9)
+            text, _, _ = token_counts.edit(text, starts, tree, at, n, "".join(r.choices(bits, k=r.randrange(3))), w.count)
+            assert token_counts.total(tree) == len(full_ids(text)) - 1, text
+            assert (np.diff(starts) >= 0).all() and starts[-1] <= len(text)
+
+
 def test_token_ids_match_the_tokenizer():
     w = tokens.WordTokens(tokens.default_path())
     every = ["".join(map(chr, range(256))), " ".join(map(chr, range(256))), "ΑΣ İ ſ K", "!'s ''S x'll"]
