@@ -1,8 +1,8 @@
 """Relational division — "entities related to *all* items of a set".
 
-AGG-8 ``divide``: count-based.  Distinct (entity, item) pairs are semi-joined to
-the divisor and counted per entity; an entity qualifies when its count equals
-the divisor's size.  Every step is a shuffle on a key or a partial aggregate, so
+AGG-8 ``divide``: count-based.  (entity, item) pairs are semi-joined to the
+divisor, made distinct and counted per entity; an entity qualifies when its count
+equals the divisor's size.  Every step is a shuffle on a key or a partial aggregate, so
 neither the dividend nor the divisor has to fit anywhere.
 
 AGG-9 ``divide_by_containment``: set-based (``$setIsSubset``).  The divisor is a
@@ -53,11 +53,12 @@ def divide(dividend: DataFrame, divisor: DataFrame, entity: str, item: str, *,
         need_items = reshuffled_agg(need_items, g + [item])  # distinct, re-shuffled for the join
     need = (reshuffled_agg(need_items, g, F.count(F.lit(1)).alias("_need")) if g
             else need_items.agg(F.count(F.lit(1)).alias("_need")))
-    pairs = dividend.select(*g, entity, item).filter(F.col(entity).isNotNull())
+    # semi join first: only pairs with a divisor item are made distinct and shuffled
+    pairs = (dividend.select(*g, entity, item).filter(F.col(entity).isNotNull())
+             .join(need_items, g + [item], "left_semi"))
     if not unique_pairs:
         pairs = pairs.distinct()
-    have = (pairs.join(need_items, g + [item], "left_semi")
-            .groupBy(*g, entity).agg(F.count(F.lit(1)).alias("_have")))
+    have = pairs.groupBy(*g, entity).agg(F.count(F.lit(1)).alias("_have"))
     return _matching(have, need, g, entity, empty_divisor, entities if entities is not None else dividend)
 
 

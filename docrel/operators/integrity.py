@@ -197,7 +197,8 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str], id_col: str = "id", *,
     w = Window.partitionBy(*g).orderBy("_part") \
               .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.withColumn("_off", F.sum("_cnt").over(w) - F.col("_cnt")).drop("_cnt")
-    out = frozen.join(offsets, ["_part", *g])
+    # without groups there is one offset a partition: so few that the rows need not move again
+    out = frozen.join(offsets if g else F.broadcast(offsets), ["_part", *g])
     out = out.withColumn(id_col, (F.lit(start) + F.col("_off") + F.col("_local") - F.col("_first"))
                          .cast("long"))
     return out.drop("_pos", "_part", "_local", "_off", "_first")
