@@ -11,11 +11,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from docrel import schemas
-from docrel.operators.grouping import reshuffled_agg
 from docrel.session import drop_scratch, ensure_checkpoint_dir, scratch_path
 
 
@@ -62,27 +61,27 @@ def key_violation_counts(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> Da
     """Number of violating key values for several key sets of one table in one
     pass: ``(set_index, violations)``, one row per set.
 
-    One aggregation over grouping sets (a table's PRIMARY KEY and UNIQUE
-    constraints together); ``grouping_id()`` tells the sets apart, and groups
+    Several sets are one aggregation over grouping sets (a table's PRIMARY KEY and
+    UNIQUE constraints together); ``grouping_id()`` tells the sets apart, and groups
     with a NULL in their key are dropped (UNIQUE ignores them).
     """
     sets = [list(ks) for ks in key_sets]
+    given = [" and ".join(f"`{k}` is not null" for k in ks) for ks in sets]
+    if len(sets) == 1:  # nothing to expand
+        return df.filter(given[0]).groupBy(*sets[0]).count().filter("count > 1") \
+                 .selectExpr("0 as set_index", "count(*) as violations")
     cols = sorted({c for ks in sets for c in ks})
     gids = [sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in ks) for ks in sets]
     agg = df.select(*cols).groupingSets(sets, *cols) \
             .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
-    keyed = F.lit(False)
-    for gid, ks in zip(gids, sets):
-        nn = F.lit(True)
-        for k in ks:
-            nn = nn & F.col(k).isNotNull()
-        keyed = keyed | ((F.col("_gid") == gid) & nn)
-    bad = agg.filter((F.col("_n") > 1) & keyed).groupBy("_gid").agg(F.count(F.lit(1)).alias("_v"))
-    index = F.create_map(*[x for i, gid in enumerate(gids) for x in (F.lit(gid), F.lit(i))])
-    per_set = df.sparkSession.range(len(sets)).select(F.col("id").cast("int").alias("set_index"))
-    counted = bad.select(F.element_at(index, F.col("_gid")).alias("set_index"), "_v")
-    return per_set.join(counted, "set_index", "left") \
-                  .select("set_index", F.coalesce("_v", F.lit(0).cast("long")).alias("violations"))
+    one = agg.filter("_n > 1").selectExpr(
+        *[f"count_if(_gid = {gid} and {nn}) as _v{i}" for i, (gid, nn) in enumerate(zip(gids, given))])
+    return one.selectExpr(_stacked([str(i) for i in range(len(sets))], "set_index"))
+
+
+def _stacked(labels: Sequence[str], names: str) -> str:
+    """SQL that turns one row ``_v0, _v1, ...`` into a row a value, each after its label (SQL literals)."""
+    return f"stack({len(labels)}, {', '.join(f'{x}, _v{i}' for i, x in enumerate(labels))}) as ({names}, violations)"
 
 
 # SCH-4 ------------------------------------------------------------------------
@@ -114,20 +113,14 @@ def _rule_pass(name: str, df: DataFrame, tables: Mapping[str, DataFrame], row_ru
         if parent not in tables:
             continue
         own = [f"_p{i}_{k}" for k in range(len(pcols))]
-        keys = reshuffled_agg(tables[parent].select(*[F.col(p).alias(o) for p, o in zip(pcols, own)]), own) \
-            .withColumn(f"_hit{i}", F.lit(True))
-        on, given = F.lit(True), F.lit(True)
-        for c, o in zip(ccols, own):
-            on, given = on & (F.col(c) == F.col(o)), given & F.col(c).isNotNull()
-        rows = rows.join(keys, on, "left")
+        # distinct in one struct, so that the keys are shuffled again for the join (see reshuffled_agg)
+        keys = tables[parent].selectExpr(f"struct({', '.join(f'`{p}` as {o}' for p, o in zip(pcols, own))}) as _gk") \
+                             .distinct().selectExpr("_gk.*", f"true as _hit{i}")
+        rows = rows.join(keys, F.expr(" and ".join(f"`{c}` = {o}" for c, o in zip(ccols, own))), "left")
         labels.append((f"foreign_key:{parent}", ",".join(ccols)))
-        flags.append(given & F.col(f"_hit{i}").isNull())
-    one = rows.agg(*[F.coalesce(F.sum(f.cast("long")), F.lit(0).cast("long")).alias(f"_v{i}")
-                     for i, f in enumerate(flags)])
-    each = F.explode(F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(col).alias("column_name"),
-                                        F.col(f"_v{i}").alias("violations"))
-                               for i, (rule, col) in enumerate(labels)]))
-    return one.select(each.alias("r")).select(F.lit(name).alias("table_name"), "r.*")
+        flags.append(" and ".join([*(f"`{c}` is not null" for c in ccols), f"_hit{i} is null"]))
+    one = rows.selectExpr(*[f"count_if({f}) as _v{i}" for i, f in enumerate(flags)])
+    return one.selectExpr(f"'{name}' as table_name", _stacked([f"'{rule}', '{c}'" for rule, c in labels], "rule, column_name"))
 
 
 def integrity_report(tables: Mapping[str, DataFrame], *, row_rules: bool = True) -> DataFrame:
@@ -148,11 +141,11 @@ def integrity_report(tables: Mapping[str, DataFrame], *, row_rules: bool = True)
         key_sets = ([("primary_key", schemas.PRIMARY_KEYS[name])] if name in schemas.PRIMARY_KEYS else []) \
             + [("unique", u) for u in schemas.UNIQUE_KEYS.get(name, [])]
         if key_sets:
-            v = key_violation_counts(df, [k for _, k in key_sets])
-            rule = F.element_at(F.array(*[F.lit(r) for r, _ in key_sets]), F.col("set_index") + 1)
-            col = F.element_at(F.array(*[F.lit(",".join(k)) for _, k in key_sets]), F.col("set_index") + 1)
-            parts.append(v.select(F.lit(name).alias("table_name"), rule.alias("rule"),
-                                  col.alias("column_name"), "violations"))
+            rules, cols = (", ".join(f"'{x}'" for x in xs) for xs in
+                           ([r for r, _ in key_sets], [",".join(k) for _, k in key_sets]))
+            parts.append(key_violation_counts(df, [k for _, k in key_sets]).selectExpr(
+                f"'{name}' as table_name", f"element_at(array({rules}), set_index + 1) as rule",
+                f"element_at(array({cols}), set_index + 1) as column_name", "violations"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -205,18 +198,17 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str], id_col: str = "id", *,
 
 
 # SCH-2 while loading ------------------------------------------------------------
-def _row_rules(name: str) -> list[tuple[str, str, Column]]:
-    """(rule, column, whether a row violates it) of a table's rules that need no other row."""
-    return [("not_null", c, F.col(c).isNull()) for c in schemas.not_null_columns(name)] \
-        + [(f"varchar({n})", c, F.length(F.col(c)) > n) for c, n in schemas.VARCHAR_LIMITS.get(name, {}).items()]
+def _row_rules(name: str) -> list[tuple[str, str, str]]:
+    """(rule, column, SQL of whether a row violates it) of a table's rules that need no other row."""
+    return [("not_null", c, f"`{c}` is null") for c in schemas.not_null_columns(name)] \
+        + [(f"varchar({n})", c, f"length(`{c}`) > {n}") for c, n in schemas.VARCHAR_LIMITS.get(name, {}).items()]
 
 
 def observed(name: str, df: DataFrame) -> tuple[DataFrame, Observation]:
     """``df`` and an observation that counts its rows and the violations of the table's
     NOT NULL and VARCHAR rules while ``df`` is written: no read of its own."""
     seen = Observation(f"rules_{name}")
-    sums = [F.coalesce(F.sum(bad.cast("long")), F.lit(0).cast("long")).alias(f"v{i}")
-            for i, (_, _, bad) in enumerate(_row_rules(name))]
+    sums = [F.expr(f"count_if({bad})").alias(f"v{i}") for i, (_, _, bad) in enumerate(_row_rules(name))]
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *sums), seen
 
 
