@@ -132,3 +132,16 @@ def test_hot_parent_is_split_into_bounded_chunks(spark):
     assert flat == sorted(v for k, v in rows if k == 1)          # nothing lost or added
     assert sum(7 in r["arr"] for r in hot) == 1                  # repeats share a chunk
     assert sorted((r["k"], r["_chunk"], r["arr"]) for r in out if r["k"] != 1) == [(2, 0, [5, 5])]
+
+
+def test_dense_ids_do_not_move_the_rows_again(spark):
+    """One offset a partition is broadcast to the frozen rows, whatever the size threshold."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = integrity.assign_ids(spark.range(1000).select(F.xxhash64("id").alias("x")), ["x"], "id", num_partitions=5)
+        plan = ids._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted(r.id for r in ids.collect()) == list(range(1, 1001))
