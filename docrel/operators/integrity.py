@@ -245,7 +245,8 @@ def load_serial(spark: SparkSession, path: str, batch: DataFrame, batch_id: str,
     ``load=<batch_id>`` a batch.  The highest id there is the high-water mark.  A key that
     was loaded before keeps its id, so a replayed batch gets its old ids and leaves no
     gap; a batch that failed half way is replaced by its repetition.  Keys are unique
-    in a batch and not NULL; loads of one table follow one another.
+    in a batch and not NULL; loads of one table follow one another.  The result holds
+    the batch's ids apart from the table, so it stays as it is over later loads.
     """
     keys = list(keys)
     fields = ", ".join(f"`{k}` {batch.schema[k].dataType.simpleString()}" for k in keys)
@@ -268,4 +269,9 @@ def load_serial(spark: SparkSession, path: str, batch: DataFrame, batch_id: str,
          .option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(path)
     drop_scratch(spark, staged)
     spark.catalog.refreshByPath(path)
-    return batch.join(spark.read.schema(schema).parquet(path).select(*keys, id_col), keys)
+    # Later loads replace files that a plan over the table has listed, and Spark takes all scans of
+    # one path as equal, whatever files they list: in a plan over two loads one would stand for both.
+    ids = scratch_path(spark, "loaded")
+    spark.read.schema(schema).parquet(path).select(*keys, id_col) \
+         .join(batch.select(*keys), keys, "left_semi").write.parquet(ids)
+    return batch.join(spark.read.schema(f"{fields}, `{id_col}` long").parquet(ids), keys)

@@ -269,6 +269,24 @@ def test_serial_goes_on_over_loads_and_replays(spark, tmp_path):
     assert integrity.load_serial(spark, path, frame([]), "b4", ["k"], ["o"]).collect() == []
 
 
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_serial_results_stay_over_later_loads(spark, tmp_path, broadcast):
+    path = str(tmp_path / "ids")
+    frame = lambda b: spark.createDataFrame(b, "k string, o long")
+    rows = [(f"k{i}", i) for i in range(60)]
+    batches = {"a": rows[:20], "b": [rows[3], *rows[20:40]], "c": rows[40:]}
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        held = [(x, integrity.load_serial(spark, path, frame(batches[x]), x, ["k"], ["o"])) for x in "abacb"]
+        for x, df in held:  # read only now, after "a" and "b" were loaded again
+            assert sorted((r.k, r.id) for r in df.collect()) == sorted((k, o + 1) for k, o in batches[x])
+        together = held[2][1].unionByName(held[1][1]).unionByName(held[3][1])
+        assert Counter((r.k, r.id) for r in together.collect()) == Counter((k, o + 1) for x in "abc" for k, o in batches[x])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
 def test_scalars_are_checked_once_a_student(spark):
     from docrel.plans import registry
     got = {(r.table_name, r.rule, r.column_name): r.violations for r in registry.sch_2_notnull(spark, SF).collect()}
