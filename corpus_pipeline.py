@@ -13,7 +13,7 @@ from docrel.llm.common import documents, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: those without a letter go."""
+    """Documents whose language can be told: those without a letter or too ambiguous go."""
     return langid.accepted(docs)
 
 

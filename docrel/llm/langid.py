@@ -283,13 +283,14 @@ def identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def accepted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             least: float = 0.0) -> DataFrame:
-    """The rows of ``df`` with a language: not ``und`` and a score of over ``least``."""
+             least: float = AMBIGUOUS) -> DataFrame:
+    """The rows of ``df`` whose language can be told: not ``und`` and a score of at least
+    ``least``, by default those that are not flagged as ambiguous."""
     model = train(df, lang_col, id_col, text_col)
     cols = list(df.columns)
     got = predict(df, model, cols, text_col)
     lang, score = got.columns[len(cols):len(cols) + 2]
-    return got.filter((F.col(lang) != UNDETERMINED) & (F.col(score) > least)) \
+    return got.filter((F.col(lang) != UNDETERMINED) & (F.col(score) >= least)) \
               .select(*[F.col(f"`{c}`") for c in cols])
 
 

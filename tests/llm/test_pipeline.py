@@ -8,11 +8,11 @@ import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline
-from docrel.llm import queries
+from docrel.llm import langid, queries
 from docrel.llm.common import stored
 from tests.harness import compare, duck
 
-from .conftest import odd_rows
+from .conftest import SCHEMA, odd_rows
 from .test_operators import SPACE, brute_components, brute_simhash, check_packed, words
 
 SF = "/root/testdata/sf0.001"
@@ -39,6 +39,18 @@ def test_language_drops_texts_without_letters(stages):
     assert Counter(map(tuple, kept)) == Counter(r for r in given if any(c.isalpha() for c in r[1] or ""))
 
 
+def test_language_drops_what_the_classifier_cannot_tell(spark):
+    letters = {"aa": "abc", "bb": "def", "cc": "ghi", "dd": "jkl"}
+    rows = [(10 * i + j, " ".join([chars, chars[::-1], chars * 2] * 5), lang, "s", 5)
+            for i, (lang, chars) in enumerate(letters.items()) for j in range(10)]
+    rows += [(100, "z", "aa", "s", 1), (101, "z?", None, "s", 2), (102, "1 2", "bb", "s", 3), (103, "abc cba", None, "s", 7)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    score = {r.doc_id: r.score for r in langid.identified(docs).collect()}
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, "unused").collect()}
+    assert score[100] < langid.AMBIGUOUS and 0 < score[101] < langid.AMBIGUOUS <= score[103]
+    assert kept == {r[0] for r in rows} - {100, 101, 102}
+
+
 def test_exact_keeps_the_smallest_id(stages):
     given, kept, *_ = stages["exact_dedup"]
     groups = {}
